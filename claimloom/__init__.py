@@ -9,11 +9,11 @@ from claimloom.operators.near_duplicates import (
     with_near_duplicates,
 )
 from claimloom.operators.numbering import assign_uids, with_row_ids
-from claimloom.plans.corpus import clean_corpus, flag_corpus, merge_corpora, preview, run
+from claimloom.plans.corpus import clean_corpus, flag_corpus, merge_corpora, preview, run, run_to
 from claimloom.sources.scan import Corpus, read_corpora, read_responses
 
 __all__ = [
     "Corpus", "NearDuplicateSettings", "assign_uids", "clean_corpus", "enrich_with_reviews",
     "ensure_schema", "flag_corpus", "iso_date", "merge_corpora", "near_duplicate_pairs", "preview",
-    "read_corpora", "read_responses", "run", "unify_urls", "with_near_duplicates", "with_row_ids",
+    "read_corpora", "read_responses", "run", "run_to", "unify_urls", "with_near_duplicates", "with_row_ids",
 ]

@@ -9,7 +9,7 @@ from claimloom.functions.text import strip
 _TIME = r"(?:[01]?[0-9]|2[0-3]):[0-5]?[0-9](?::[0-5]?[0-9](?:\.[0-9]+)?)?"
 _ZONE = r"(?: ?(?:Z|UTC|[+-][0-9]{2}:?[0-9]{2}))?"
 # Month abbreviations in calendar order.
-_MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
+_MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
 # Dates outside this span have no nanosecond timestamp and read as null.
 _FIRST_YEAR, _LAST_YEAR = 1678, 2261
 
@@ -20,8 +20,8 @@ def _rearranged(c: Column, pattern: str, order: str) -> Column:
 
 
 def _month_number(name: Column) -> Column:
-    short = F.substring(F.lower(name), 1, 3)
-    return F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), short).cast("string")
+    place = F.instr(F.lit(_MONTHS), F.substring(F.lower(name), 1, 3))
+    return ((place + 3) / 4).cast("int").cast("string")
 
 
 def _named_month(c: Column, pattern: str, day: int, month: int, year: int) -> Column:

@@ -10,14 +10,13 @@ from pyspark.sql import Column, functions as F
 
 from claimloom.functions.unicode_tables import (
     WHITESPACE,
-    WHITESPACE_CLASS,
+    WHITESPACE_PATTERN,
     accent_tables,
     emoji_pattern,
 )
 
 _HANGUL_FIRST = 0xAC00
 _HANGUL_LAST = 0xD7A3
-_HANGUL_RUN = "[\\x{AC00}-\\x{D7A3}]"
 
 
 def strip(c: Column) -> Column:
@@ -39,7 +38,7 @@ def remove_emojis(c: Column) -> Column:
 
 def normalize_spaces(c: Column) -> Column:
     """Every whitespace run becomes one space; none at the ends."""
-    return F.trim(F.regexp_replace(c, f"[{WHITESPACE_CLASS}]+", " "))
+    return F.trim(F.regexp_replace(c, f"{WHITESPACE_PATTERN}+", " "))
 
 
 def _fold_single(c: Column) -> Column:
@@ -47,23 +46,29 @@ def _fold_single(c: Column) -> Column:
     return F.translate(c, source, target)
 
 
+def _expanding() -> str:
+    """Regex for one character that becomes several; the lookahead spares the rest."""
+    expansions = accent_tables()[2]
+    low, high = ord(min(expansions)), ord(max(expansions))
+    members = f"\\x{{AC00}}-\\x{{D7A3}}{''.join(expansions)}"
+    return f"(?:(?=[\\x{{{low:X}}}-\\x{{{high:X}}}])[{members}])"
+
+
 def _needs_expansion(c: Column) -> Column:
-    _, _, expansions = accent_tables()
-    return c.rlike(f"[\\x{{AC00}}-\\x{{D7A3}}{''.join(expansions)}]")
+    return c.rlike(_expanding())
 
 
 def _expand(c: Column) -> Column:
     """Decompose the characters whose canonical form is longer than one."""
     _, _, expansions = accent_tables()
-    for char, plain in expansions.items():
-        c = F.replace(c, F.lit(char), F.lit(plain))
-
+    pairs = ", ".join(f"'{char}', '{plain}'" for char, plain in expansions.items())
+    table = F.expr(f"map({pairs})")
     leads = F.lit("".join(map(chr, range(0x1100, 0x1113))))
     vowels = F.lit("".join(map(chr, range(0x1161, 0x1176))))
     tails = F.lit("".join(map(chr, range(0x11A8, 0x11C3))))
 
-    def jamo(ch: Column) -> Column:
-        index = F.ascii(ch) - F.lit(_HANGUL_FIRST)
+    def jamo(syllable: Column) -> Column:
+        index = F.ascii(syllable) - F.lit(_HANGUL_FIRST)
         tail = (index % 28).cast("int")
         return F.concat(
             F.substring(leads, F.floor(index / 588).cast("int") + 1, F.lit(1)),
@@ -71,15 +76,13 @@ def _expand(c: Column) -> Column:
             F.when(tail == 0, F.lit("")).otherwise(F.substring(tails, tail, F.lit(1))),
         )
 
-    # Cut the text around every syllable so that only syllables are looked at.
-    pieces = F.split(c, f"(?={_HANGUL_RUN})|(?<={_HANGUL_RUN})")
-    return F.array_join(
-        F.transform(
-            pieces,
-            lambda p: F.when(p.between(chr(_HANGUL_FIRST), chr(_HANGUL_LAST)) & (F.length(p) == 1), jamo(p)).otherwise(p),
-        ),
-        "",
-    )
+    def plain(piece: Column) -> Column:
+        syllable = (F.length(piece) == 1) & piece.between(chr(_HANGUL_FIRST), chr(_HANGUL_LAST))
+        return F.coalesce(F.try_element_at(table, piece), F.when(syllable, jamo(piece)).otherwise(piece))
+
+    # Cut the text around every such character; the pieces between stay whole.
+    cut = f"(?={_expanding()})|(?<={_expanding()})"
+    return F.array_join(F.transform(F.split(c, cut), plain), "")
 
 
 def normalize_accents(c: Column) -> Column:

@@ -18,9 +18,14 @@ WHITESPACE = (
 )
 # The same set as the inside of a regex character class.
 WHITESPACE_CLASS = (
-    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x20\x85\xa0\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+# One whitespace character, tried cheaply: almost all text fails both tests at once.
+WHITESPACE_PATTERN = (
+    r"(?:[\x09\x0a\x0b\x0c\x0d\x1c\x1d\x1e\x1f\x20\x85\xa0]"
+    r"|(?=[\x{1680}-\x{3000}])[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}])"
+)
 
 # Code points with the Unicode property Emoji=Yes, without the
 # ASCII digits, "#", "*" (only emoji inside a keycap) and the regional
@@ -87,11 +92,11 @@ def accent_tables() -> tuple[str, str, dict[str, str]]:
         if unicodedata.category(char) == "Mn":
             marks.append(char)
             continue
+        if unicodedata.is_normalized("NFD", char):
+            continue
         plain = "".join(
             c for c in unicodedata.normalize("NFD", char) if unicodedata.category(c) != "Mn"
         )
-        if plain == char:
-            continue
         if len(plain) == 1:
             source.append(char)
             target.append(plain)

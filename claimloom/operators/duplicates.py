@@ -42,11 +42,16 @@ def keep_first_copies(
 
 
 def with_clean_text(df: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``text_no_url``, ``extracted_urls`` and ``text_clean``."""
+    """Add ``text_no_url``, ``extracted_urls`` and ``text_clean``.
+
+    The last step is an explode of a one-element array: filters on
+    ``text_clean`` then stay above it. Pushed below a plain projection they
+    would repeat the whole cleaning chain, once per mention of the column.
+    """
     return (
         df.withColumn("extracted_urls", find_urls(F.col(text)))
         .withColumn("text_no_url", drop_urls(F.col(text), F.col("extracted_urls")))
-        .withColumn("text_clean", clean_text(F.col("text_no_url")))
+        .withColumn("text_clean", F.explode(F.array(clean_text(F.col("text_no_url")))))
     )
 
 

@@ -81,18 +81,19 @@ def ensure_schema(
     ``probe=False`` skips the check for an all-null text column (streams).
     """
     text = _text_column(df, probe)
-    date_name = first_existing(df, DATE_COLUMNS)
-    date = pick_first(df, DATE_COLUMNS)
+    missing = F.lit(None).cast("string")
+    date = first_existing(df, DATE_COLUMNS)
+    label = first_existing(df, LABEL_COLUMNS)
     claim = pick_first(
         df, URL_CLAIM_COLUMNS, first_url(F.col("text").cast("string")) if "text" in df.columns else None
     )
     columns = {
         "orig_id": pick_first(df, ID_COLUMNS).cast("string"),
-        "text": F.lit(None).cast("string") if text is None else text,
-        "label": mapping_label(pick_first(df, LABEL_COLUMNS)),
+        "text": missing if text is None else text,
+        "label": mapping_label(F.col(f"`{label}`")) if label else missing,
         "url_claim": claim.cast("string"),
         "url_review": pick_first(df, URL_REVIEW_COLUMNS).cast("string"),
-        "date_iso": iso_date(date, df.schema[date_name].dataType if date_name else None),
+        "date_iso": iso_date(F.col(f"`{date}`"), df.schema[date].dataType) if date else missing,
         "dataset_name": F.lit(dataset_name),
         "source_type": F.lit(source_type),
         "source_description": F.lit(source_description or f"Dataset {dataset_name}"),

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from claimloom.operators.audit import dataset_stats
 from claimloom.operators.duplicates import (
     flag_duplicates,
     keep_first_copies,
@@ -18,7 +19,9 @@ from claimloom.operators.enrich import enrich_with_reviews
 from claimloom.operators.mapping import CLEAN_ORDER, reorder, unify_urls
 from claimloom.operators.merge import TWEET_DATASETS, drop_null_texts, union_corpora
 from claimloom.operators.near_duplicates import NearDuplicateSettings, with_near_duplicates
+from claimloom.session import ensure_checkpoint_dir
 from claimloom.sources.scan import Corpus
+from claimloom.sources.sinks import write_csv, write_dataset_stats, write_parquet
 
 
 def merge_corpora(
@@ -51,7 +54,7 @@ def clean_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFr
 
 @dataclass(frozen=True)
 class CorpusResult:
-    """Lazy tables of every stage; write or preview the ones you need."""
+    """Tables of every stage; write or preview the ones you need."""
 
     normalized: DataFrame
     merged: DataFrame
@@ -66,10 +69,17 @@ def run(
     min_tokens: int = 3,
     order_by: Sequence[str] | None = None,
 ) -> CorpusResult:
-    """The whole job as one graph: merge, clean, and the optional stages."""
+    """The whole job: merge, clean, and the optional stages.
+
+    The clean table is read several times by the optional stages, so it is
+    checkpointed once in front of them.
+    """
     normalized = union_corpora(corpora, order_by)
     merged = drop_null_texts(normalized)
     clean = clean_corpus(merged, min_tokens)
+    if near_duplicates is not None or responses is not None:
+        ensure_checkpoint_dir(clean.sparkSession)
+        clean = clean.checkpoint()
     final = clean
     if near_duplicates is not None:
         final = with_near_duplicates(final, "uid", "text_clean", near_duplicates)
@@ -78,6 +88,45 @@ def run(
     return CorpusResult(normalized, merged, clean, final)
 
 
+def run_to(
+    out_dir: str,
+    corpora: Sequence[Corpus],
+    responses: DataFrame | None = None,
+    near_duplicates: NearDuplicateSettings | None = None,
+    min_tokens: int = 3,
+    order_by: Sequence[str] | None = None,
+    csv: bool = True,
+) -> dict[str, str]:
+    """The whole job with every stage written below ``out_dir``; path by table.
+
+    Each stage reads the table written before it, so a lost executor never
+    costs more than the current stage.
+    """
+    base = out_dir.rstrip("/")
+    paths: dict[str, str] = {}
+
+    def written(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
+        paths[f"{name}_parquet"] = f"{base}/{name}.parquet"
+        write_parquet(df, paths[f"{name}_parquet"], partition_by)
+        stored = df.sparkSession.read.parquet(paths[f"{name}_parquet"]).select(*df.columns)
+        if csv:
+            paths[f"{name}_csv"] = f"{base}/{name}.csv"
+            write_csv(stored, paths[f"{name}_csv"])
+        return stored
+
+    normalized = union_corpora(corpora, order_by)
+    merged = written("merged", drop_null_texts(normalized), "dataset_name")
+    paths["dataset_stats"] = f"{base}/dataset_stats.json"
+    write_dataset_stats(dataset_stats(normalized), paths["dataset_stats"])
+    clean = written("clean", clean_corpus(merged, min_tokens), "dataset_name")
+    final = clean
+    if near_duplicates is not None:
+        final = written("near_duplicates", with_near_duplicates(final, "uid", "text_clean", near_duplicates))
+    if responses is not None:
+        written("factchecked", unify_urls(enrich_with_reviews(final, responses)))
+    return paths
+
+
 def preview(df: DataFrame, key: str = "uid", n: int = 5) -> DataFrame:
     """The first ``n`` rows by key, for a look at a stage."""
     return df.orderBy(key).limit(n)

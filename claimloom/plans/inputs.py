@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from claimloom.sources.scan import POSITION, Corpus, read_parquet
+from claimloom.sources.scan import POSITION, Corpus, read_parquet, spread_small_input
 
 # Raw spellings, chosen by id; they cover every branch of both label maps.
 LABEL_SPELLINGS = (
@@ -15,13 +15,21 @@ LABEL_SPELLINGS = (
 ROLE_VERDICTS = {"user": "Verdadeiro", "assistant": " FALSO", "system": "misleading"}
 
 
+# Tables of long texts and their keys: worth sharing out when they are one file.
+_TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+
+
+def _spread(df: DataFrame, name: str) -> DataFrame:
+    return spread_small_input(df, *_TEXT_KEYS[name]) if name in _TEXT_KEYS else df
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One given table, with each row's place in its file."""
-    return read_parquet(spark, f"{folder}/{name}.parquet")
+    return _spread(read_parquet(spark, f"{folder}/{name}.parquet"), name)
 
 
 def plain(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return _spread(spark.read.parquet(f"{folder}/{name}.parquet"), name)
 
 
 def pick(spellings: tuple[str, ...], key: Column) -> Column:

@@ -81,6 +81,16 @@ def _position(row: Column) -> Column:
     return F.struct(F.col("_metadata.file_path").alias("file"), row.alias("row")).alias(POSITION)
 
 
+def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
+    """Share out a table that comes in fewer files than there are cores.
+
+    One file may well be one task, and cleaning text is CPU work. Tables in
+    many files, as on a cluster, are left as they lie: no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+
+
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
     return read_parquet(spark, path) if path.lower().rstrip("/").endswith(".parquet") else read_csv(spark, path)
 
