@@ -78,30 +78,20 @@ def shared_buckets(banded: DataFrame, settings: NearDuplicateSettings = DEFAULTS
     )
 
 
-def listed_peers(shared: DataFrame, settings: NearDuplicateSettings = DEFAULTS) -> DataFrame:
-    """(text_id, peer), each once, for the buckets small enough to be listed."""
-    buckets = (
-        shared.where(F.col("n_rows") <= settings.list_limit)
-        .groupBy("bucket")
-        .agg(F.collect_list("text_id").alias("peers"))  # at most list_limit entries
-    )
-    # Near copies share many buckets with the same members: one of them is enough.
-    member_lists = buckets.select(F.array_sort("peers").alias("peers")).distinct()
-    return (
-        member_lists.select(F.explode("peers").alias("text_id"), "peers")
-        .select("text_id", F.explode("peers").alias("peer"))
-        .distinct()
-    )
-
-
 def near_duplicate_pairs(
     df: DataFrame, key: str, text: str, settings: NearDuplicateSettings = DEFAULTS
 ) -> DataFrame:
-    """Candidate pairs (id_a < id_b) of distinct texts, from the listed buckets."""
+    """Candidate pairs (id_a < id_b) of distinct texts, from the buckets small enough to list."""
     banded = band_buckets(distinct_texts(df, key, text), settings)
-    peers = listed_peers(shared_buckets(banded, settings), settings)
-    return peers.where(F.col("text_id") < F.col("peer")).select(
-        F.col("text_id").alias("id_a"), F.col("peer").alias("id_b")
+    small = shared_buckets(banded, settings).where(F.col("n_rows") <= settings.list_limit)
+    members = small.groupBy("bucket").agg(F.array_sort(F.collect_list("text_id")).alias("ids"))
+    # Near copies share many buckets with the same members: one of them is enough.
+    return (
+        members.select("ids")
+        .distinct()
+        .select(F.explode("ids").alias("id_a"), "ids")
+        .select("id_a", F.explode(F.filter("ids", lambda other: other > F.col("id_a"))).alias("id_b"))
+        .distinct()
     )
 
 
@@ -125,13 +115,23 @@ def with_near_duplicates(
         hot=hot_keys(banded, "digest", min_rows=settings.min_hot_rows, weight="copies"),
     ).select("_key", "text_id", "copies")
 
+    # Lists of row keys: of each text's copies, of each small bucket, of each text.
     copies = rows.where(small_text).groupBy("text_id").agg(F.collect_list("_key").alias("keys"))
-    itself = banded.where(small_text).select("text_id", F.col("text_id").alias("peer"))
-    peers = listed_peers(shared, settings).where(F.col("text_id") != F.col("peer")).unionByName(itself)
+    buckets = (
+        shared.where(F.col("n_rows") <= limit)
+        .join(copies, "text_id")
+        .groupBy("bucket")
+        .agg(
+            F.array_sort(F.collect_list("text_id")).alias("ids"),
+            F.array_sort(F.flatten(F.collect_list("keys"))).alias("keys"),
+        )
+    )
+    # Near copies share many buckets with the same members: one of them is enough.
+    member_lists = buckets.select("ids", "keys").distinct().select(F.explode("ids").alias("text_id"), "keys")
     lists = (
-        peers.join(copies.withColumnRenamed("text_id", "peer"), "peer")
+        member_lists.unionByName(copies)
         .groupBy("text_id")
-        .agg(F.array_sort(F.flatten(F.collect_list("keys"))).alias("near_duplicates"))
+        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("near_duplicates"))
     )
     groups = (
         shared.where(F.col("n_rows") > limit)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
@@ -56,6 +57,15 @@ def list_raw_files(spark: SparkSession, folder: str) -> list[str]:
     return [row.path for row in datasets.orderBy("path").toLocalIterator()]
 
 
+def files_directly_in(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of the files in ``folder`` itself, not in folders below it."""
+    place = re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", folder.rstrip("/"))
+    parent = F.regexp_extract("path", r"^(?:[a-zA-Z][\w+.-]*:(?://[^/]*(?=/))?)?(.*)/[^/]+$", 1)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
+    inside = parent == place if place.startswith("/") else parent.endswith(f"/{place}")
+    return [row.path for row in files.where(inside).orderBy("path").toLocalIterator()]
+
+
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header, all columns strings, NA literals as nulls.
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from claimloom.sources.scan import files_directly_in
+
 # Columns that are text in every written table.
 TEXT_COLUMNS = (
     "label", "text", "text_clean", "url_claim", "url_review", "dataset_name", "source_type",
@@ -33,18 +35,18 @@ def write_csv(df: DataFrame, path: str) -> None:
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Name, sha256 and size of every file directly in ``folder``, by name.
 
-    Each file is hashed whole by one task, so keep part files below 2 GB.
+    Only those files are opened. Each is hashed whole by one task, so keep
+    part files below 2 GB.
     """
-    files = spark.read.format("binaryFile").load(f"{folder.rstrip('/')}/*")
-    return (
-        files.select(
-            F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
-            F.sha2("content", 256).alias("sha256"),
-            F.col("length").alias("bytes"),
-        )
-        .where(F.col("name") != "manifest.json")
-        .orderBy("name")
-    )
+    paths = [p for p in files_directly_in(spark, folder) if not p.endswith("/manifest.json")]
+    if not paths:
+        return spark.createDataFrame([], "name string, sha256 string, bytes long")
+    files = spark.read.format("binaryFile").load(paths)
+    return files.select(
+        F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
+        F.sha2("content", 256).alias("sha256"),
+        F.col("length").alias("bytes"),
+    ).orderBy("name")
 
 
 def write_manifest(spark: SparkSession, folder: str, target: str) -> None:
