@@ -5,6 +5,7 @@ from claimloom.operators.enrich import enrich_with_reviews
 from claimloom.operators.mapping import ensure_schema, unify_urls
 from claimloom.operators.near_duplicates import (
     NearDuplicateSettings,
+    find_near_duplicates,
     near_duplicate_pairs,
     with_near_duplicates,
 )
@@ -14,6 +15,6 @@ from claimloom.sources.scan import Corpus, read_corpora, read_responses
 
 __all__ = [
     "Corpus", "NearDuplicateSettings", "assign_uids", "clean_corpus", "enrich_with_reviews",
-    "ensure_schema", "flag_corpus", "iso_date", "merge_corpora", "near_duplicate_pairs", "preview",
+    "ensure_schema", "find_near_duplicates", "flag_corpus", "iso_date", "merge_corpora", "near_duplicate_pairs", "preview",
     "read_corpora", "read_responses", "run", "run_to", "unify_urls", "with_near_duplicates", "with_row_ids",
 ]

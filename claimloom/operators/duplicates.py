@@ -15,30 +15,26 @@ def first_copies(df: DataFrame, key: str, text: str, within: str | None) -> Data
     A plain minimum per digest: copies are combined before the shuffle, so a
     text that makes up a third of all rows costs no more than any other.
     """
+    within = within if within in df.columns else None
     group = [text_digest(F.col(text)).alias("_digest"), *([F.col(within)] if within else [])]
     return df.groupBy(*group).agg(F.min(key).alias(key)).select(key)
 
 
-def flag_duplicates(
-    df: DataFrame, key: str = "uid", text: str = "text_clean", within: str | None = "dataset_name"
-) -> DataFrame:
-    """``is_duplicated``: true for every occurrence but the first. Nulls are equal.
+def mark_duplicates(df: DataFrame, first: DataFrame, key: str = "uid") -> DataFrame:
+    """``is_duplicated``: false for the rows whose key is in ``first``, else true.
 
-    Rows find their flag over the unique ``key``, not over the text, so no
-    task ever receives all copies of one text.
+    Rows find their flag over the unique key, not over the text, so no task
+    ever receives all copies of one text.
     """
-    within = within if within in df.columns else None
-    first = first_copies(df, key, text, within).withColumn("_first", F.lit(True))
-    flagged = df.join(first, key, "left")
-    return flagged.withColumn("is_duplicated", F.col("_first").isNull()).drop("_first")
+    marked = df.join(first.withColumn("_first", F.lit(True)), key, "left")
+    return marked.withColumn("is_duplicated", F.col("_first").isNull()).drop("_first")
 
 
-def keep_first_copies(
+def flag_duplicates(
     df: DataFrame, key: str = "uid", text: str = "text_clean", within: str | None = "dataset_name"
 ) -> DataFrame:
-    """Only the first occurrence of every text."""
-    within = within if within in df.columns else None
-    return df.join(first_copies(df, key, text, within), key, "left_semi")
+    """Mark every occurrence of a text but the first. Nulls count as equal."""
+    return mark_duplicates(df, first_copies(df, key, text, within), key)
 
 
 def with_clean_text(df: DataFrame, text: str = "text") -> DataFrame:

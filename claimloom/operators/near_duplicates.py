@@ -95,11 +95,14 @@ def near_duplicate_pairs(
     )
 
 
-def with_near_duplicates(
+def find_near_duplicates(
     df: DataFrame, key: str, text: str, settings: NearDuplicateSettings = DEFAULTS
 ) -> DataFrame:
-    """Add ``near_duplicates`` (sorted keys, the row itself included) and
-    ``near_duplicate_groups`` (ids of the groups too large to be listed)."""
+    """(key, near_duplicates, near_duplicate_groups), one row per row of ``df``.
+
+    ``near_duplicates`` holds sorted keys, the row's own included;
+    ``near_duplicate_groups`` the ids of the groups too large to be listed.
+    """
     limit = settings.list_limit
     banded = band_buckets(distinct_texts(df, key, text), settings)
     shared = shared_buckets(banded, settings)
@@ -147,12 +150,17 @@ def with_near_duplicates(
         rows, found, "text_id", row_id="_key",
         hot=hot_keys(banded, "text_id", min_rows=settings.min_hot_rows, weight="copies"),
     )
-    return (
-        df.join(answers.withColumnRenamed("_key", key).drop("text_id", "copies"), key, "left")
-        .withColumns(
-            {
-                name: F.coalesce(name, F.array().cast(answers.schema[name].dataType))
-                for name in ("near_duplicates", "near_duplicate_groups")
-            }
-        )
+    return answers.select(
+        F.col("_key").alias(key),
+        *[
+            F.coalesce(name, F.array().cast(answers.schema[name].dataType)).alias(name)
+            for name in ("near_duplicates", "near_duplicate_groups")
+        ],
     )
+
+
+def with_near_duplicates(
+    df: DataFrame, key: str, text: str, settings: NearDuplicateSettings = DEFAULTS
+) -> DataFrame:
+    """``df`` with the two list columns added."""
+    return df.join(find_near_duplicates(df, key, text, settings), key, "left")

@@ -26,8 +26,8 @@ from claimloom.operators.mapping import CLEAN_ORDER, ensure_schema, reorder, uni
 from claimloom.operators.merge import describe_datasets, normalize_corpus, union_corpora
 from claimloom.operators.near_duplicates import (
     NearDuplicateSettings,
+    find_near_duplicates,
     near_duplicate_pairs,
-    with_near_duplicates,
 )
 from claimloom.operators.numbering import with_row_ids
 from claimloom.plans import inputs
@@ -339,7 +339,7 @@ def near_duplicate_pairs_query(spark, folder):
 
 def near_duplicate_lists(spark, folder):
     documents = plain(spark, folder, "documents").select("doc_id", "text")
-    found = with_near_duplicates(documents, "doc_id", "text")
+    found = find_near_duplicates(documents, "doc_id", "text")
     return found.select(
         "doc_id",
         F.array_join(F.transform("near_duplicates", lambda k: k.cast("string")), " ").alias("near_duplicates"),

@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from claimloom.operators.audit import dataset_stats
 from claimloom.operators.duplicates import (
-    flag_duplicates,
-    keep_first_copies,
+    first_copies,
     keep_labelled,
+    mark_duplicates,
     with_clean_text,
     with_quality_flags,
 )
@@ -33,23 +33,30 @@ def merge_corpora(
     return drop_null_texts(union_corpora(corpora, order_by, tweet_datasets))
 
 
+def _cleaned(df: DataFrame, min_tokens: int) -> DataFrame:
+    return with_quality_flags(with_clean_text(df), min_tokens)
+
+
 def flag_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
     """Labelled rows with cleaned text and all three quality flags, none dropped."""
-    flagged = with_quality_flags(with_clean_text(keep_labelled(df)), min_tokens)
-    return flag_duplicates(flagged, key)
+    labelled = keep_labelled(df)
+    first = first_copies(with_clean_text(labelled), key, "text_clean", "dataset_name")
+    return _cleaned(mark_duplicates(labelled, first, key), min_tokens)
 
 
 def clean_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
     """Labelled rows with cleaned text, without null, short and duplicate ones.
 
-    Copies of a text are all short or all long, so short rows go before the
-    duplicate check: fewer rows to shuffle, same survivors.
+    Copies of a text are all short or all long, so short rows may go before
+    the duplicate check. The shuffle by key carries the raw text alone: the
+    text is cleaned once to find the survivors and again behind the shuffle,
+    which is cheaper than moving it in three versions.
     """
-    good = with_quality_flags(with_clean_text(keep_labelled(df)), min_tokens).where(
-        ~F.col("is_null") & ~F.col("too_short")
-    )
-    survivors = keep_first_copies(good, key).withColumn("is_duplicated", F.lit(False))
-    return reorder(survivors.drop("language"), CLEAN_ORDER)
+    labelled = keep_labelled(df)
+    good = _cleaned(labelled, min_tokens).where(~F.col("is_null") & ~F.col("too_short"))
+    first = first_copies(good, key, "text_clean", "dataset_name")
+    survivors = _cleaned(labelled.join(first, key, "left_semi"), min_tokens)
+    return reorder(survivors.withColumn("is_duplicated", F.lit(False)).drop("language"), CLEAN_ORDER)
 
 
 @dataclass(frozen=True)

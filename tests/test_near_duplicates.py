@@ -114,12 +114,15 @@ def test_a_third_of_the_rows_is_one_text(spark):
 def test_true_near_copies_are_found(spark):
     """Of pairs with Jaccard similarity 0.9 a band catches 1 - (1 - 0.9^9)^14 = 99.9 %."""
     documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
-    rows = [(r.doc_id, {r.text[i : i + 5] for i in range(max(1, len(r.text) - 4))}) for r in documents.collect()]
+    first = {}
+    for r in documents.orderBy("doc_id").collect():
+        first.setdefault(r.text, r.doc_id)
+    rows = [(key, {t[i : i + 5] for i in range(max(1, len(t) - 4))}) for t, key in first.items()]
     close = {
         (a, b)
         for i, (a, x) in enumerate(rows)
         for b, y in rows[i + 1 :]
-        if x != y and 0.9 <= len(x & y) / len(x | y)
+        if 0.9 <= len(x & y) / len(x | y)
     }
     found = {tuple(r) for r in near_duplicate_pairs(documents, "doc_id", "text").collect()}
     assert close and len(close & found) >= 0.95 * len(close)
