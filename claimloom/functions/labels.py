@@ -8,11 +8,11 @@ from claimloom.functions.text import strip
 
 # Raw spellings and the label they mean, per stage.
 MAPPING_LABELS = {
-    "falso": "fake", "falsa": "fake", "mentira": "fake", "fake": "fake", "1": "fake",
+    "falso": "fake", "falsa": "fake", "mentira": "fake", "fake": "fake",
     "misleading": "mixed", "duvidoso": "mixed", "parcialmente falso": "mixed",
     "partly false": "mixed", "partly_true": "mixed", "mixed": "mixed",
     "verdadeiro": "true", "verdadeira": "true", "real": "true", "true": "true",
-    "verdade": "true", "0": "true",
+    "verdade": "true", "1": "fake", "0": "true",
 }
 MAPPING_NULLS = ("-1", "none", "nan")
 CLEANING_LABELS = {

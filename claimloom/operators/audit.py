@@ -38,7 +38,7 @@ def url_audit(mapped: DataFrame, cleaned: DataFrame) -> DataFrame:
 
 
 def stage_audit(normalized: DataFrame, clean: DataFrame) -> DataFrame:
-    """Row counts along the job: (stage, n_rows)."""
+    """Row counts along the job: (stage, n_rows). ``clean`` may be its keys alone."""
     has_text = F.col("text").isNotNull()
     kept = has_text & F.coalesce(is_kept_label(cleaning_label(F.col("label"))), F.lit(False))
     counts = normalized.agg(

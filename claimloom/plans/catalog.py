@@ -31,9 +31,9 @@ from claimloom.operators.near_duplicates import (
 )
 from claimloom.operators.numbering import with_row_ids
 from claimloom.plans import inputs
-from claimloom.plans.corpus import clean_corpus, flag_corpus, merge_corpora, preview, run
+from claimloom.plans.corpus import clean_corpus, flag_corpus, merge_corpora, preview, run, survivors
 from claimloom.plans.inputs import plain, table
-from claimloom.sources.scan import POSITION, dataset_name_column, landed_files
+from claimloom.sources.scan import POSITION, dataset_name_column, landed_files, spread_small_input
 from claimloom.sources.sinks import manifest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,7 +310,8 @@ def url_audit(spark, folder):
 
 def stage_audit(spark, folder):
     normalized = normalized_corpora(spark, folder)
-    return audit.stage_audit(normalized, clean_corpus(normalized.where(F.col("text").isNotNull())))
+    with_text = spread_small_input(normalized.where(F.col("text").isNotNull()), "uid")
+    return audit.stage_audit(normalized, survivors(with_text))
 
 
 def merged_preview(spark, folder):

@@ -20,7 +20,7 @@ from claimloom.operators.mapping import CLEAN_ORDER, reorder, unify_urls
 from claimloom.operators.merge import TWEET_DATASETS, drop_null_texts, union_corpora
 from claimloom.operators.near_duplicates import NearDuplicateSettings, with_near_duplicates
 from claimloom.session import ensure_checkpoint_dir
-from claimloom.sources.scan import Corpus
+from claimloom.sources.scan import Corpus, spread_small_input
 from claimloom.sources.sinks import write_csv, write_dataset_stats, write_parquet
 
 
@@ -39,24 +39,32 @@ def _cleaned(df: DataFrame, min_tokens: int) -> DataFrame:
 
 def flag_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
     """Labelled rows with cleaned text and all three quality flags, none dropped."""
-    labelled = keep_labelled(df)
+    labelled = keep_labelled(spread_small_input(df, key))
     first = first_copies(with_clean_text(labelled), key, "text_clean", "dataset_name")
     return _cleaned(mark_duplicates(labelled, first, key), min_tokens)
 
 
+def survivors(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
+    """Keys of the rows that stay: labelled, not null, not short, first of their copies.
+
+    Copies of a text are all short or all long, so short rows may go before
+    the duplicate check.
+    """
+    good = _cleaned(keep_labelled(df), min_tokens).where(~F.col("is_null") & ~F.col("too_short"))
+    return first_copies(good, key, "text_clean", "dataset_name")
+
+
 def clean_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
     """Labelled rows with cleaned text, without null, short and duplicate ones.
 
-    Copies of a text are all short or all long, so short rows may go before
-    the duplicate check. The shuffle by key carries the raw text alone: the
-    text is cleaned once to find the survivors and again behind the shuffle,
-    which is cheaper than moving it in three versions.
+    The shuffle by key carries the raw text alone: the text is cleaned once
+    to find the survivors and again behind the shuffle, which is cheaper than
+    moving it in three versions.
     """
-    labelled = keep_labelled(df)
-    good = _cleaned(labelled, min_tokens).where(~F.col("is_null") & ~F.col("too_short"))
-    first = first_copies(good, key, "text_clean", "dataset_name")
-    survivors = _cleaned(labelled.join(first, key, "left_semi"), min_tokens)
-    return reorder(survivors.withColumn("is_duplicated", F.lit(False)).drop("language"), CLEAN_ORDER)
+    rows = spread_small_input(df, key)
+    kept = keep_labelled(rows).join(survivors(rows, min_tokens, key), key, "left_semi")
+    clean = _cleaned(kept, min_tokens).withColumn("is_duplicated", F.lit(False))
+    return reorder(clean.drop("language"), CLEAN_ORDER)
 
 
 @dataclass(frozen=True)

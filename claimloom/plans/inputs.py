@@ -19,17 +19,14 @@ ROLE_VERDICTS = {"user": "Verdadeiro", "assistant": " FALSO", "system": "mislead
 _TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
 
 
-def _spread(df: DataFrame, name: str) -> DataFrame:
-    return spread_small_input(df, *_TEXT_KEYS[name]) if name in _TEXT_KEYS else df
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One given table, with each row's place in its file."""
-    return _spread(read_parquet(spark, f"{folder}/{name}.parquet"), name)
+    return read_parquet(spark, f"{folder}/{name}.parquet")
 
 
 def plain(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return _spread(spark.read.parquet(f"{folder}/{name}.parquet"), name)
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread_small_input(df, *_TEXT_KEYS[name]) if name in _TEXT_KEYS else df
 
 
 def pick(spellings: tuple[str, ...], key: Column) -> Column:

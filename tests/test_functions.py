@@ -21,16 +21,16 @@ def test_whitespace_is_what_python_strips():
 
 
 def test_clean_text(spark):
-    values = ['  "Olá, MúndO!!!"  ', "a  b\n\nc\x1d d", "", None, '"a\nb"', "Fim 👍🏽 já"]
+    values = ['  "Atenção, CIDADÃO!?"  ', "a  b\n\nc\x1d d", "", None, '"a\nb"', "Fim 👍🏽 já"]
     assert apply(spark, values, text.clean_text) == [
-        "ola, mundo!!!", "a b c d", "", None, '"a b"', "fim ja",
+        "atencao, cidadao!?", "a b c d", "", None, '"a b"', "fim ja",
     ]
 
 
 def test_outer_quotes(spark):
-    values = ['"texto"', "'texto'", "  texto  ", "\"mixed'", '"', '""', '"a\nb"', '""x""']
+    values = ['"boato"', "'boato'", "  boato  ", "\"mixed'", '"', '""', '"a\nb"', '""x""']
     assert apply(spark, values, text.remove_outer_quotes) == [
-        "texto", "texto", "texto", "mixed", '"', "", '"a\nb"', '"x"',
+        "boato", "boato", "boato", "mixed", '"', "", '"a\nb"', '"x"',
     ]
 
 
@@ -41,7 +41,7 @@ def test_accents_of_every_character_match_nfd(spark):
         "".join(c for c in unicodedata.normalize("NFD", v) if unicodedata.category(c) != "Mn") for v in values
     ]
     assert apply(spark, values, text.normalize_accents) == want
-    assert apply(spark, ["Olá, ação, informação!"], text.normalize_accents) == ["Ola, acao, informacao!"]
+    assert apply(spark, ["Não há vacinação às três, José."], text.normalize_accents) == ["Nao ha vacinacao as tres, Jose."]
 
 
 def test_emojis(spark):
@@ -51,8 +51,8 @@ def test_emojis(spark):
 
 def test_spaces_and_tokens(spark):
     spaced = lambda c: text.normalize_spaces(c)
-    assert apply(spark, ["texto   com   espaços \n\n extras", "\x1fa\x85b　"], spaced) == [
-        "texto com espaços extras", "a b",
+    assert apply(spark, ["muitas   linhas \t\n  em    branco", "\x1fa\x85b　"], spaced) == [
+        "muitas linhas em branco", "a b",
     ]
     values = ["um dois  três", "", "   ", "a\tb"]
     got = apply(spark, values, lambda c: text.token_count(text.normalize_spaces(c)))
@@ -60,7 +60,7 @@ def test_spaces_and_tokens(spark):
 
 
 def test_clean_text_is_stable_on_clean_text(spark):
-    values = ["Olá MUNDO", "Straße ß", "한글 각", "x ẛ̣ y", "  \"'q'\"  "]
+    values = ["Boa NOITE já", "Straße ß", "한글 각", "x ẛ̣ y", "  \"'q'\"  "]
     once = apply(spark, values, text.clean_text)
     again = apply(spark, once, text.clean_text)
     # Outer quotes go one pair at a time; everything else is settled at once.

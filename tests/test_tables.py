@@ -40,16 +40,16 @@ def rows(df, *columns):
 def test_ensure_schema_maps_raw_columns(spark):
     raw = spark.createDataFrame(
         [
-            (1, "Notícia falsa", "falso", "2024-01-10", "http://exemplo.com/a"),
-            (2, "Notícia verdadeira", "verdadeiro", "10/01/2024", "http://exemplo.com/b"),
+            (1, "Boato sem fonte", "falso", "2024-01-10", "http://jornal.example/x"),
+            (2, "Fato com fonte", "verdadeiro", "10/01/2024", "http://jornal.example/y"),
         ],
         "id int, texto string, classificacao string, data string, url string",
     )
-    out = ensure_schema(raw, "Fake.br", "news", "Teste")
+    out = ensure_schema(raw, "Boatos", "news", "Um teste")
     assert out.columns == CANONICAL
     assert rows(out, "orig_id", "text", "label", "date_iso", "url_claim", "dataset_name", "source_description") == [
-        ("1", "Notícia falsa", "fake", "2024-01-10", "http://exemplo.com/a", "Fake.br", "Teste"),
-        ("2", "Notícia verdadeira", "true", "2024-01-10", "http://exemplo.com/b", "Fake.br", "Teste"),
+        ("1", "Boato sem fonte", "fake", "2024-01-10", "http://jornal.example/x", "Boatos", "Um teste"),
+        ("2", "Fato com fonte", "true", "2024-01-10", "http://jornal.example/y", "Boatos", "Um teste"),
     ]
 
 
@@ -166,25 +166,25 @@ def test_csv_na_literals_become_null(spark, tmp_path):
 
 def test_clean_corpus_small(spark):
     data = [
-        ("D1", "1", 1, "Notícia falsa sobre algo http://exemplo.com/a", "falso", "pt"),
-        ("D1", "2", 2, "Notícia verdadeira sobre algo http://exemplo.com/b", "verdadeiro", "pt"),
-        ("D1", "3", 3, "Linha com label inválido", "none", "pt"),
-        ("D1", "4", 4, "Muito curta", "fake", "pt"),
-        ("D1", "5", 5, "curta", "fake", "pt"),
-        ("D1", "6", 6, "http://exemplo.com/b", "fake", "pt"),
+        ("D1", "1", 1, "Vacina CAUSA gripe forte http://jornal.example/x", "falso", "pt"),
+        ("D1", "2", 2, "Vacina não causa gripe http://jornal.example/y", "verdadeiro", "pt"),
+        ("D1", "3", 3, "Quem sabe o que houve", "none", "pt"),
+        ("D1", "4", 4, "Duas palavras", "fake", "pt"),
+        ("D1", "5", 5, "Uma", "fake", "pt"),
+        ("D1", "6", 6, "http://jornal.example/y", "fake", "pt"),
         ("D1", "7", 7, None, "fake", "pt"),
-        ("D1", "8", 8, "NOTICIA falsa  sobre algo", "true", "pt"),
-        ("D2", "9", 9, "notícia falsa sobre algo", "true", "pt"),
+        ("D1", "8", 8, "VACINA causa  gripe forte", "true", "pt"),
+        ("D2", "9", 9, "vacina causa gripe forte", "true", "pt"),
     ]
     df = spark.createDataFrame(
         data, "dataset_name string, orig_id string, uid long, text string, label string, language string"
     )
     clean = clean_corpus(df, min_tokens=2)
     assert rows(clean, "orig_id", "label", "text_clean") == [
-        ("1", "fake", "noticia falsa sobre algo"),
-        ("2", "true", "noticia verdadeira sobre algo"),
-        ("4", "fake", "muito curta"),
-        ("9", "true", "noticia falsa sobre algo"),
+        ("1", "fake", "vacina causa gripe forte"),
+        ("2", "true", "vacina nao causa gripe"),
+        ("4", "fake", "duas palavras"),
+        ("9", "true", "vacina causa gripe forte"),
     ]
     assert "language" not in clean.columns and clean.columns[0] == "dataset_name"
     flags = {r.orig_id: (r.is_duplicated, r.is_null, r.too_short) for r in flag_corpus(df, 2).collect()}
@@ -237,13 +237,13 @@ def test_salted_join_equals_plain_join(spark):
 
 def test_lookup_keeps_every_row_once(spark):
     base = spark.createDataFrame(
-        [(0, "Texto 1 de teste"), (1, "Texto 2 de teste"), (2, ""), (3, None), (4, " "), (5, "Texto 1 de teste"),
+        [(0, "Primeira alegação"), (1, "Segunda alegação"), (2, ""), (3, None), (4, " "), (5, "Primeira alegação"),
          (6, "x" * 600)],
         "uid long, text string",
     )
     full = json.dumps({"claims": [{"claimant": "c", "claimReview": [{"textualRating": "F", "url": "u"}]}]})
     answers = spark.createDataFrame(
-        [("Texto 1 de teste", full), ("Texto 2 de teste", "{}"), ("", full), ("x" * 512, full)],
+        [("Primeira alegação", full), ("Segunda alegação", "{}"), ("", full), ("x" * 512, full)],
         "query string, response_json string",
     )
     got = enrich_with_reviews(base, answers, min_hot_rows=1).orderBy("uid").collect()
