@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from claimloom.functions.labels import cleaning_label, is_kept_label
 from claimloom.functions.text import clean_text, text_digest, token_count
 from claimloom.functions.urls import drop_urls, find_urls
 
 
+def _copy_group(df: DataFrame, text: str, within: str | None) -> list[Column]:
+    """Rows with equal values here are copies of each other; the digest stands for the text."""
+    return [text_digest(F.col(text)).alias("_digest"), *([F.col(within).alias("_within")] if within in df.columns else [])]
+
+
 def first_copies(df: DataFrame, key: str, text: str, within: str | None) -> DataFrame:
     """Key of the first row of every distinct text (per ``within`` if given).
 
     A plain minimum per digest: copies are combined before the shuffle, so a
     text that makes up a third of all rows costs no more than any other.
     """
-    within = within if within in df.columns else None
-    group = [text_digest(F.col(text)).alias("_digest"), *([F.col(within)] if within else [])]
-    return df.groupBy(*group).agg(F.min(key).alias(key)).select(key)
+    return df.groupBy(*_copy_group(df, text, within)).agg(F.min(key).alias(key)).select(key)
+
+
+def keep_first_copies(df: DataFrame, key: str, text: str, within: str | None) -> DataFrame:
+    """The whole first row of every distinct text, in one shuffle.
+
+    ``min_by`` is combined before the shuffle like any aggregate: each task
+    sends at most one row per text, however often the text occurs.
+    """
+    first = F.min_by(F.struct(*df.columns), key).alias("_row")
+    return df.groupBy(*_copy_group(df, text, within)).agg(first).select("_row.*")
 
 
 def mark_duplicates(df: DataFrame, first: DataFrame, key: str = "uid") -> DataFrame:

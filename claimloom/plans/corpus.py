@@ -7,9 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from claimloom.functions.urls import drop_urls
 from claimloom.operators.audit import dataset_stats
 from claimloom.operators.duplicates import (
     first_copies,
+    keep_first_copies,
     keep_labelled,
     mark_duplicates,
     with_clean_text,
@@ -44,27 +46,37 @@ def flag_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFra
     return _cleaned(mark_duplicates(labelled, first, key), min_tokens)
 
 
-def survivors(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
-    """Keys of the rows that stay: labelled, not null, not short, first of their copies.
+def _long_enough(df: DataFrame, min_tokens: int) -> DataFrame:
+    """Labelled, cleaned rows that are neither null nor short.
 
-    Copies of a text are all short or all long, so short rows may go before
+    Copies of a text are all short or all long, so these rows may go before
     the duplicate check.
     """
-    good = _cleaned(keep_labelled(df), min_tokens).where(~F.col("is_null") & ~F.col("too_short"))
-    return first_copies(good, key, "text_clean", "dataset_name")
+    return _cleaned(keep_labelled(df), min_tokens).where(~F.col("is_null") & ~F.col("too_short"))
+
+
+def survivors(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
+    """Only the keys of ``clean_corpus``: for counts, no text is shuffled."""
+    return first_copies(_long_enough(df, min_tokens), key, "text_clean", "dataset_name")
 
 
 def clean_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
     """Labelled rows with cleaned text, without null, short and duplicate ones.
 
-    The shuffle by key carries the raw text alone: the text is cleaned once
-    to find the survivors and again behind the shuffle, which is cheaper than
-    moving it in three versions.
+    Each text is cleaned once, and its rows are shuffled once. The shuffle
+    carries the text and its clean form; the form in between is cut again
+    from the URLs found, which is cheap.
     """
-    rows = spread_small_input(df, key)
-    kept = keep_labelled(rows).join(survivors(rows, min_tokens, key), key, "left_semi")
-    clean = _cleaned(kept, min_tokens).withColumn("is_duplicated", F.lit(False))
-    return reorder(clean.drop("language"), CLEAN_ORDER)
+    good = _long_enough(spread_small_input(df, key), min_tokens).drop("text_no_url")
+    clean = keep_first_copies(good, key, "text_clean", "dataset_name").withColumns(
+        {
+            "text_no_url": drop_urls(F.col("text"), F.col("extracted_urls")),
+            "is_duplicated": F.lit(False),
+        }
+    )
+    added = ["text_no_url", "extracted_urls", "is_duplicated", "is_null", "too_short"]
+    kept = [name for name in df.columns if name != "language"] + ["text_clean"]
+    return reorder(clean.select(*kept, *added), CLEAN_ORDER)
 
 
 @dataclass(frozen=True)
