@@ -93,9 +93,13 @@ def normalize_accents(c: Column) -> Column:
 def clean_text(c: Column) -> Column:
     """strip, emoji, outer quotes, accents, lower case, spaces; null stays null."""
     bare = remove_outer_quotes(remove_emojis(strip(c)))
-    # The test reads the raw column, so that no step above is evaluated twice.
-    folded = F.when(_needs_expansion(c), _fold_single(_expand(bare))).otherwise(_fold_single(bare))
-    return normalize_spaces(F.lower(folded))
+    # Both tests read the raw column, so that no step is evaluated twice. Plain
+    # ASCII has neither emoji nor accents and takes the short way.
+    return (
+        F.when(F.octet_length(c) == F.length(c), normalize_spaces(F.lower(remove_outer_quotes(c))))
+        .when(_needs_expansion(c), normalize_spaces(F.lower(_fold_single(_expand(bare)))))
+        .otherwise(normalize_spaces(F.lower(_fold_single(bare))))
+    )
 
 
 def token_count(c: Column) -> Column:

@@ -37,11 +37,12 @@ def url_audit(mapped: DataFrame, cleaned: DataFrame) -> DataFrame:
     return before.join(after, "dataset_name")
 
 
-def stage_audit(normalized: DataFrame, clean: DataFrame) -> DataFrame:
-    """Row counts along the job: (stage, n_rows). ``clean`` may be its keys alone."""
+def stage_audit(normalized: DataFrame, clean: DataFrame, n_files: int) -> DataFrame:
+    """Counts along the job: (stage, n_rows). ``clean`` may be its keys alone."""
     has_text = F.col("text").isNotNull()
     kept = has_text & F.coalesce(is_kept_label(cleaning_label(F.col("label"))), F.lit(False))
     counts = normalized.agg(
+        F.lit(n_files).cast("long").alias("files_scanned"),
         F.count("*").alias("normalized"),
         F.count_if(~has_text).alias("null_text_removed"),
         F.count_if(has_text).alias("merged"),

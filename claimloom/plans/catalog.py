@@ -20,10 +20,10 @@ from claimloom.functions.text import (
 )
 from claimloom.functions.urls import drop_urls, find_urls, first_url, is_number_like, plausible_url, tweet_id
 from claimloom.operators import audit
-from claimloom.operators.duplicates import flag_duplicates, with_clean_text, with_quality_flags
+from claimloom.operators.duplicates import flag_duplicates, with_quality_flags
 from claimloom.operators.enrich import enrich_with_reviews
-from claimloom.operators.mapping import CLEAN_ORDER, ensure_schema, reorder, unify_urls
-from claimloom.operators.merge import describe_datasets, normalize_corpus, union_corpora
+from claimloom.operators.mapping import ensure_schema, unify_urls
+from claimloom.operators.merge import describe_datasets, union_corpora
 from claimloom.operators.near_duplicates import (
     NearDuplicateSettings,
     find_near_duplicates,
@@ -309,9 +309,10 @@ def url_audit(spark, folder):
 
 
 def stage_audit(spark, folder):
-    normalized = normalized_corpora(spark, folder)
+    corpora = inputs.corpora(spark, folder)
+    normalized = union_corpora(corpora)
     with_text = spread_small_input(normalized.where(F.col("text").isNotNull()), "uid")
-    return audit.stage_audit(normalized, survivors(with_text))
+    return audit.stage_audit(normalized, survivors(with_text), len(corpora))
 
 
 def merged_preview(spark, folder):

@@ -321,7 +321,8 @@ def oracle_sql() -> dict[str, str]:
                       FROM normalized GROUP BY 1)
             SELECT * FROM before JOIN after USING (dataset_name)""",
         "stage_audit": f"""WITH {_FLAGGED}
-            SELECT 'normalized' AS stage, count(*) AS n_rows FROM normalized
+            SELECT 'files_scanned' AS stage, 4 AS n_rows
+            UNION ALL SELECT 'normalized', count(*) FROM normalized
             UNION ALL SELECT 'null_text_removed', count(*) FROM normalized WHERE text IS NULL
             UNION ALL SELECT 'merged', count(*) FROM merged
             UNION ALL SELECT 'labelled', count(*) FROM labelled

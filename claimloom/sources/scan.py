@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import os
 import re
+import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The strings a CSV reader takes for a missing value.
@@ -110,14 +113,20 @@ def read_corpora(
 ) -> list[Corpus]:
     """One lazily read corpus per raw dataset; schemas may all differ.
 
-    ``descriptions`` maps a dataset name to (source type, description).
+    ``descriptions`` maps a dataset name to (source type, description). A
+    dataset whose schema cannot be read is left out with a warning.
     """
     known = descriptions or {}
     corpora = []
     for path in list_raw_files(spark, folder):
         name = dataset_name(path)
         source_type, description = known.get(name, ("news", None))
-        corpora.append(Corpus(name, read_raw(spark, path), source_type, description))
+        try:
+            frame = read_raw(spark, path)
+        except (PySparkException, Py4JJavaError) as error:
+            warnings.warn(f"{path} is left out: {str(error).splitlines()[0]}", stacklevel=2)
+            continue
+        corpora.append(Corpus(name, frame, source_type, description))
     return corpora
 
 

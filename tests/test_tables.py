@@ -138,6 +138,16 @@ def test_raw_zone_listing(spark, raw_zone):
     assert sorted(map(scan.dataset_name, paths)) == ["A.b_1", "C", "FakeTweetBr"]
 
 
+def test_unreadable_dataset_is_left_out(spark, raw_zone):
+    with open(f"{raw_zone}/broken.parquet", "w") as f:
+        f.write("not parquet")
+    open(f"{raw_zone}/void.csv", "w").close()
+    with pytest.warns(UserWarning, match="broken.parquet"):
+        corpora = read_corpora(spark, raw_zone)
+    assert sorted(c.name for c in corpora) == ["A.b_1", "C", "FakeTweetBr"]  # an empty file is no dataset
+    assert merge_corpora(corpora).count() == 6
+
+
 def test_merge_reads_numbers_and_drops_null_texts(spark, raw_zone):
     corpora = read_corpora(spark, raw_zone, {"C": ("web", "Corpus C")})
     merged = merge_corpora(corpora)
@@ -283,8 +293,8 @@ def test_audits(spark):
     assert [tuple(r) for r in audit.label_counts(df).collect()] == [("fake", 2), (None, 1)]
     stats = {(r.dataset_name, r.is_total): (r.normalized_rows, r.merged_rows) for r in audit.dataset_stats(df).collect()}
     assert stats == {("a", False): (2, 1), (None, False): (1, 1), (None, True): (3, 2)}
-    stages = {r.stage: r.n_rows for r in audit.stage_audit(df, df.limit(1)).collect()}
-    assert stages == {"normalized": 3, "null_text_removed": 1, "merged": 2, "labelled": 2, "clean": 1}
+    stages = {r.stage: r.n_rows for r in audit.stage_audit(df, df.limit(1), 2).collect()}
+    assert stages == {"files_scanned": 2, "normalized": 3, "null_text_removed": 1, "merged": 2, "labelled": 2, "clean": 1}
     urls = audit.url_audit(df, df.withColumn("url_claim", F.lit(None).cast("string"))).collect()
     assert [tuple(r) for r in urls] == [("a", 1, 0, True)]
 
