@@ -12,6 +12,11 @@ from pyspark.sql import Column, functions as F
 MERSENNE_PRIME = (1 << 61) - 1
 MAX_HASH = (1 << 32) - 1
 
+# Letters hashed together: at most 128 MB of permuted hashes per Python worker.
+CHUNK_CHARS = 250_000
+# Shingles whose hash is remembered.
+KNOWN_SHINGLES = 200_000
+
 
 def _area(f, low: float, high: float, steps: int = 1000) -> float:
     width = (high - low) / steps
@@ -42,7 +47,7 @@ def band_digests(text: Column, ngram: int, num_perm: int, seed: int, bands: int,
     a band is ``rows`` successive minima. The digest also covers the band's
     number, so digests of different bands never meet.
     """
-    prime, mask = MERSENNE_PRIME, MAX_HASH
+    prime, mask, chunk_chars, known_max = MERSENNE_PRIME, MAX_HASH, CHUNK_CHARS, KNOWN_SHINGLES
 
     # Self-contained, so that executors need nothing but numpy and pandas.
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -64,36 +69,84 @@ def band_digests(text: Column, ngram: int, num_perm: int, seed: int, bands: int,
 
             def __missing__(self, shingle):
                 value = int.from_bytes(hashlib.sha1(shingle.encode("utf8")).digest()[:4], "little")
-                if len(self) < 1_000_000:
+                if len(self) < known_max:
                     self[shingle] = value
                 return value
 
         known = ShingleHashes()
 
-        def minima(value: str) -> np.ndarray:
-            shingles = {value[i : i + ngram] for i in range(max(1, len(value) - ngram + 1))}
-            hashes = np.fromiter(map(known.__getitem__, shingles), np.uint64, len(shingles))
-            least = np.full(num_perm, mask, dtype=np.uint32)
+        def permuted(hashes: np.ndarray) -> np.ndarray:
+            out = np.empty((len(hashes), num_perm), dtype=np.uint32)
             for start in range(0, len(hashes), 512):  # blocks that stay in cache
                 block = hashes[start : start + 512, None] * factor
                 block += offset
-                # Modulo 2^61-1 by folding; only the low 32 bits are kept.
+                # Modulo 2^61-1 by folding; the cast keeps the low 32 bits.
                 high = block >> shift
                 block &= low61
                 block += high
                 block += block >= low61
-                np.minimum(least, block.astype(np.uint32).min(axis=0), out=least)
+                out[start : start + 512] = block
+            return out
+
+        def minima(pieces: list[str]) -> Iterator[np.ndarray]:
+            """Minima of each piece; a shingle that several pieces share is permuted once."""
+            joined = "".join(pieces)
+            points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
+            letters = np.unique(points, return_inverse=True)[1]
+            lengths = np.array([len(piece) for piece in pieces])
+            ends = np.repeat(np.cumsum(lengths), lengths)
+            starts = np.flatnonzero(ends - ngram >= np.arange(len(letters)))
+            # One number per n-gram, digit by digit; renumbered before it overflows.
+            base = int(letters.max()) + 1
+            codes, size = letters[starts], base
+            for i in range(1, ngram):
+                if size * base >= 1 << 62:
+                    codes = np.unique(codes, return_inverse=True)[1]
+                    size = int(codes.max()) + 1
+                codes = codes * base + letters[starts + i]
+                size *= base
+            _, first, row = np.unique(codes, return_index=True, return_inverse=True)
+            shingles = (known[joined[at : at + ngram]] for at in starts[first].tolist())
+            table = permuted(np.fromiter(shingles, np.uint64, len(first)))
+            done = 0
+            for count in (lengths - ngram + 1).tolist():
+                yield table[row[done : done + count]].min(axis=0)
+                done += count
+
+        def signatures(values: list[str]) -> np.ndarray:
+            least = np.full((len(values), num_perm), mask, dtype=np.uint32)
+            rows_held, pieces, chars = [], [], 0
+
+            def flush() -> None:
+                for row, found in zip(rows_held, minima(pieces)):
+                    np.minimum(least[row], found, out=least[row])
+
+            for row, value in enumerate(values):
+                if len(value) < ngram:
+                    least[row] = permuted(np.array([known[value]], dtype=np.uint64))[0]
+                    continue
+                # A long text comes in pieces that overlap by one n-gram less a letter.
+                for start in range(0, len(value) - ngram + 1, chunk_chars):
+                    rows_held.append(row)
+                    pieces.append(value[start : start + chunk_chars + ngram - 1])
+                    chars += len(pieces[-1])
+                    if chars >= chunk_chars:
+                        flush()
+                        rows_held, pieces, chars = [], [], 0
+            if pieces:
+                flush()
             return least
 
-        def bands_of(value: str) -> list[bytes]:
-            signature = minima(value).astype("<u4").tobytes()
-            size = 4 * rows
+        def bands_of(signature: np.ndarray) -> list[bytes]:
+            data, size = signature.astype("<u4").tobytes(), 4 * rows
             return [
-                hashlib.blake2b(signature[i * size : (i + 1) * size], digest_size=16, salt=i.to_bytes(4, "little")).digest()
+                hashlib.blake2b(
+                    data[i * size : (i + 1) * size], digest_size=16, salt=i.to_bytes(4, "little")
+                ).digest()
                 for i in range(bands)
             ]
 
         for batch in batches:
-            yield batch.map(bands_of)
+            yield pd.Series([bands_of(s) for s in signatures(batch.tolist())], index=batch.index)
 
     return F.pandas_udf(digests, "array<binary>")(F.coalesce(text, F.lit("")))

@@ -81,18 +81,31 @@ def shared_buckets(banded: DataFrame, settings: NearDuplicateSettings = DEFAULTS
 def near_duplicate_pairs(
     df: DataFrame, key: str, text: str, settings: NearDuplicateSettings = DEFAULTS
 ) -> DataFrame:
-    """Candidate pairs (id_a < id_b) of distinct texts, from the buckets small enough to list."""
+    """Candidate pairs of distinct texts: (id_a, id_b, bucket) with id_a < id_b.
+
+    Buckets of more than ``list_limit`` rows are not paired up: each of their
+    texts gives one row (id_a, null, bucket), and texts of the same bucket
+    are candidates of each other.
+    """
     banded = band_buckets(distinct_texts(df, key, text), settings)
-    small = shared_buckets(banded, settings).where(F.col("n_rows") <= settings.list_limit)
-    members = small.groupBy("bucket").agg(F.array_sort(F.collect_list("text_id")).alias("ids"))
+    shared = shared_buckets(banded, settings)
+    small = F.col("n_rows") <= settings.list_limit
+    members = shared.where(small).groupBy("bucket").agg(F.array_sort(F.collect_list("text_id")).alias("ids"))
     # Near copies share many buckets with the same members: one of them is enough.
-    return (
+    pairs = (
         members.select("ids")
         .distinct()
         .select(F.explode("ids").alias("id_a"), "ids")
         .select("id_a", F.explode(F.filter("ids", lambda other: other > F.col("id_a"))).alias("id_b"))
         .distinct()
+        .withColumn("bucket", F.lit(None).cast("string"))
+    )
+    grouped = shared.where(~small).select(
+        F.col("text_id").alias("id_a"),
+        F.lit(None).cast(pairs.schema["id_b"].dataType).alias("id_b"),
+        F.lower(F.hex("bucket")).alias("bucket"),
     )
+    return pairs.unionByName(grouped)
 
 
 def find_near_duplicates(

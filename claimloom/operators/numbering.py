@@ -75,7 +75,8 @@ def _assign_by_key(
     ensure_checkpoint_dir(frames[0].sparkSession)
     tagged = [frame.withColumn("_frame", F.lit(i)) for i, frame in enumerate(frames)]
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    keys = ["_frame", *order_by]
+    # The hash keeps rows with equal keys from ending up in one partition.
+    keys = ["_frame", *order_by, F.xxhash64(*together.columns)]
     placed = (
         together.repartitionByRange(*keys)
         .sortWithinPartitions(*keys)

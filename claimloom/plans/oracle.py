@@ -334,7 +334,7 @@ def oracle_sql() -> dict[str, str]:
         "unify_urls": f"""WITH {_CHECKED}
             SELECT text, coalesce(url_review, url_claim) AS url_review, uid AS row_key FROM texts""",
         "near_duplicates": f"""WITH src AS (SELECT doc_id AS id, text AS body FROM documents), {_near("src")}
-            SELECT a AS id_a, b AS id_b FROM reps WHERE a < b""",
+            SELECT a AS id_a, b AS id_b, {NULL_TEXT} AS bucket FROM reps WHERE a < b""",
         "near_dup_lists": f"""WITH src AS (SELECT doc_id AS id, text AS body FROM documents), {_near("src")}, {_LISTS}
             SELECT a AS doc_id, near_duplicates, '' AS near_duplicate_groups FROM lists""",
         "whole_run": f"""WITH {_FLAGGED}, src AS (SELECT uid AS id, text_clean AS body FROM good), {_near("src")}, {_LISTS},

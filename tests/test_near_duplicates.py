@@ -93,8 +93,16 @@ def test_pairs_are_the_candidates_of_distinct_texts(spark, texts):
     distinct = [(key, t) for t, key in first.items()]
     want = {(a, b) for a, others in candidates(distinct, settings).items() for b in others if a < b}
     df = spark.createDataFrame(texts, "id long, t string")
-    got = [tuple(r) for r in near_duplicate_pairs(df, "id", "t", settings).collect()]
+    got = [(r.id_a, r.id_b) for r in near_duplicate_pairs(df, "id", "t", settings).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+    # Small lists: the rest is told by shared buckets.
+    small = near_duplicate_pairs(df, "id", "t", NearDuplicateSettings(list_limit=3)).collect()
+    buckets = {}
+    for r in small:
+        if r.bucket:
+            buckets.setdefault(r.bucket, set()).add(r.id_a)
+    told = {(a, b) for ids in buckets.values() for a in ids for b in ids if a < b}
+    assert buckets and told | {(r.id_a, r.id_b) for r in small if not r.bucket} == want
 
 
 def test_a_third_of_the_rows_is_one_text(spark):
@@ -124,5 +132,30 @@ def test_true_near_copies_are_found(spark):
         for b, y in rows[i + 1 :]
         if 0.9 <= len(x & y) / len(x | y)
     }
-    found = {tuple(r) for r in near_duplicate_pairs(documents, "doc_id", "text").collect()}
+    found = {(r.id_a, r.id_b) for r in near_duplicate_pairs(documents, "doc_id", "text").collect()}
     assert close and len(close & found) >= 0.95 * len(close)
+
+
+def test_long_texts_are_hashed_whole(spark, monkeypatch):
+    """Texts cut into pieces of 50 letters give the digests of the whole text."""
+    from claimloom.functions import minhash
+
+    rng = random.Random(7)
+    values = ["".join(rng.choice("abcdeção 한👍") for _ in range(n)) for n in (0, 3, 5, 49, 50, 51, 54, 55, 333, 1000)]
+    df = spark.createDataFrame(list(enumerate(values)), "id long, t string")
+
+    def digests():
+        rows = df.select("id", minhash.band_digests(F.col("t"), 5, 128, 3, 14, 9).alias("d")).orderBy("id")
+        return [r.d for r in rows.collect()]
+
+    whole = digests()
+    monkeypatch.setattr(minhash, "CHUNK_CHARS", 50)
+    monkeypatch.setattr(minhash, "KNOWN_SHINGLES", 4)
+    assert digests() == whole
+    settings = NearDuplicateSettings()
+    for value, found in zip(values, whole):
+        data = np.array(signature(value, settings), dtype="<u4").tobytes()
+        assert found == [
+            hashlib.blake2b(data[i * 36 : (i + 1) * 36], digest_size=16, salt=i.to_bytes(4, "little")).digest()
+            for i in range(14)
+        ]
