@@ -30,7 +30,7 @@ class NearDuplicateSettings:
     ngram: int = 5
     seed: int = 3
     num_perm: int = 128
-    list_limit: int = 1000
+    list_limit: int = 100
     min_hot_rows: int = MIN_HOT_ROWS
 
 

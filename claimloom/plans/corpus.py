@@ -20,7 +20,7 @@ from claimloom.operators.duplicates import (
 from claimloom.operators.enrich import enrich_with_reviews
 from claimloom.operators.mapping import CLEAN_ORDER, reorder, unify_urls
 from claimloom.operators.merge import TWEET_DATASETS, drop_null_texts, union_corpora
-from claimloom.operators.near_duplicates import NearDuplicateSettings, with_near_duplicates
+from claimloom.operators.near_duplicates import NearDuplicateSettings, find_near_duplicates, with_near_duplicates
 from claimloom.session import ensure_checkpoint_dir
 from claimloom.sources.scan import Corpus, spread_small_input
 from claimloom.sources.sinks import write_csv, write_dataset_stats, write_parquet
@@ -108,10 +108,12 @@ def run(
         ensure_checkpoint_dir(clean.sparkSession)
         clean = clean.checkpoint()
     final = clean
+    if responses is not None:
+        final = enrich_with_reviews(final, responses)
     if near_duplicates is not None:
-        final = with_near_duplicates(final, "uid", "text_clean", near_duplicates)
+        final = final.join(find_near_duplicates(clean, "uid", "text_clean", near_duplicates), "uid", "left")
     if responses is not None:
-        final = unify_urls(enrich_with_reviews(final, responses))
+        final = unify_urls(final)
     return CorpusResult(normalized, merged, clean, final)
 
 
