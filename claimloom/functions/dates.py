@@ -16,7 +16,7 @@ _FIRST_YEAR, _LAST_YEAR = 1678, 2261
 
 def _rearranged(c: Column, pattern: str, order: str) -> Column:
     """``c`` rewritten as year-month-day where it matches, as a date if it is one."""
-    return F.when(c.rlike(pattern), F.regexp_replace(c, pattern, order).try_cast("date"))
+    return F.when(c.rlike(rf"^{pattern}\z"), F.regexp_replace(c, rf"^{pattern}\z", order).try_cast("date"))
 
 
 def _month_number(name: Column) -> Column:
@@ -25,9 +25,9 @@ def _month_number(name: Column) -> Column:
 
 
 def _named_month(c: Column, pattern: str, day: int, month: int, year: int) -> Column:
-    part = lambda i: F.regexp_extract(c, pattern, i)
+    part = lambda i: F.regexp_extract(c, rf"^{pattern}\z", i)
     text = F.concat_ws("-", part(year), _month_number(part(month)), part(day))
-    return F.when(c.rlike(pattern), text.try_cast("date"))
+    return F.when(c.rlike(rf"^{pattern}\z"), text.try_cast("date"))
 
 
 def parse_date(c: Column) -> Column:
@@ -37,17 +37,28 @@ def parse_date(c: Column) -> Column:
     English month names. Everything else is null.
     """
     s = strip(c.cast("string"))
+    year_first = F.coalesce(
+        _rearranged(s, rf"([0-9]{{4}})([-/])([0-9]{{1,2}})\2([0-9]{{1,2}})(?:[ T]{_TIME}{_ZONE})?", "$1-$3-$4"),
+        _rearranged(s, r"([0-9]{4})([0-9]{2})([0-9]{2})", "$1-$2-$3"),
+        _rearranged(s, r"([0-9]{4})-([0-9]{1,2})", "$1-$2"),
+        _rearranged(s, r"([0-9]{4})", "$1"),
+    )
+    numeric = r"([0-9]{1,2})([-/])([0-9]{1,2})\2([0-9]{4})"
+    year_last = F.coalesce(
+        _rearranged(s, numeric, "$4-$3-$1"),
+        _rearranged(s, rf"{numeric}(?: {_TIME})?", "$4-$1-$3"),
+        _rearranged(s, rf"{numeric} {_TIME}", "$4-$3-$1"),
+    )
     month_name = r"((?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-zA-Z]*)\.?"
-    numeric = r"^([0-9]{1,2})([-/])([0-9]{1,2})\2([0-9]{4})"
-    day = F.coalesce(
-        _rearranged(s, rf"^([0-9]{{4}})([-/])([0-9]{{1,2}})\2([0-9]{{1,2}})(?:[ T]{_TIME}{_ZONE})?\z", "$1-$3-$4"),
-        _rearranged(s, rf"{numeric}\z", "$4-$3-$1"),
-        _rearranged(s, rf"{numeric}(?: {_TIME})?\z", "$4-$1-$3"),
-        _rearranged(s, rf"{numeric} {_TIME}\z", "$4-$3-$1"),
-        _rearranged(s, r"^([0-9]{4})([0-9]{2})([0-9]{2})\z", "$1-$2-$3"),
-        F.when(s.rlike(r"^[0-9]{4}(-[0-9]{1,2})?\z"), s.try_cast("date")),
-        _named_month(s, rf"^{month_name} ([0-9]{{1,2}}),? ([0-9]{{4}})\z", day=2, month=1, year=3),
-        _named_month(s, rf"^([0-9]{{1,2}}) {month_name} ([0-9]{{4}})\z", day=1, month=2, year=3),
+    named = F.coalesce(
+        _named_month(s, rf"{month_name} ([0-9]{{1,2}}),? ([0-9]{{4}})", day=2, month=1, year=3),
+        _named_month(s, rf"([0-9]{{1,2}}) {month_name} ([0-9]{{4}})", day=1, month=2, year=3),
+    )
+    # The beginning tells the order, so few patterns are tried per value.
+    day = (
+        F.when(s.rlike("^[0-9]{4}"), year_first)
+        .when(s.rlike("^[0-9]{1,2}[-/]"), year_last)
+        .otherwise(named)
     )
     return F.when(F.year(day).between(_FIRST_YEAR, _LAST_YEAR), day)
 

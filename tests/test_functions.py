@@ -1,3 +1,4 @@
+import random
 import re
 import unicodedata
 
@@ -156,3 +157,23 @@ def test_url_pattern_covers_all_country_domains():
     codes = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
     known = [c for c in codes if re.fullmatch(urls.COUNTRY_DOMAINS, c)]
     assert {"br", "pt", "us", "uk", "io", "de"} <= set(known) and "ou" not in known
+
+
+def python_clean(value):
+    """The cleaning steps, emoji aside, as plain Python."""
+    value = re.sub(r"""^["'](.*)["']$""", r"\1", value.strip().strip())
+    value = "".join(c for c in unicodedata.normalize("NFD", value) if unicodedata.category(c) != "Mn")
+    return re.sub(r"\s+", " ", value.lower()).strip()
+
+
+def test_clean_text_of_random_texts(spark):
+    rng = random.Random(11)
+    alphabet = (
+        "abcXYZ 019.,;:!?\"'\n\t\x1c\x85\xa0  　"
+        "áÀâÃçÇéêíóôõúüÜñÑßøŁđœǼ̧ΑΣσάЖйЙёあが한글각ḍ̇İıſﬁ"
+    )
+    values = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    values += [f"\"{v}'" for v in values[:300]]
+    got = apply(spark, values, text.clean_text)
+    wrong = [(v, g, python_clean(v)) for v, g in zip(values, got) if g != python_clean(v)]
+    assert not wrong, wrong[:3]
