@@ -53,7 +53,7 @@ def assign_uids(
     numbered = []
     for i, frame in enumerate(frames):
         own = offsets.where(F.col("_frame") == i).select("_file", "_first", "_offset")
-        if len(frame.inputFiles()) <= MAX_BROADCAST_FILES:
+        if 0 < len(frame.inputFiles()) <= MAX_BROADCAST_FILES:
             own = F.broadcast(own)
         uid = F.col("_offset") + row - F.col("_first") + F.lit(start)
         numbered.append(

@@ -20,6 +20,8 @@ NA_LITERALS = (
 # Fixed value: a landed file below this many bytes is not valid.
 MIN_FILE_BYTES = 1024
 POSITION = "_position"
+# A scan gives a task to about every 128 MB.
+SPLIT_BYTES = 128 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -95,13 +97,19 @@ def _position(row: Column) -> Column:
 
 
 def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
-    """Share out a table that comes in fewer files than there are cores.
+    """Share out a file table too small to give every core a task.
 
-    One file may well be one task, and cleaning text is CPU work. Tables in
-    many files, as on a cluster, are left as they lie: no shuffle.
+    One file may well be one task, and cleaning text is CPU work. Only file
+    sizes are looked at; tables of many or large files stay as they lie.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if len(df.inputFiles()) < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not 0 < len(files) < cores:
+        return df
+    listing = spark.read.format("binaryFile").load(files)
+    size = listing.agg(F.sum("length")).first()[0] or 0
+    return df.repartition(cores, *keys) if size < cores * SPLIT_BYTES else df
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:

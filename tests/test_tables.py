@@ -318,6 +318,22 @@ def test_manifest_and_landed_files(spark, tmp_path):
     assert rows(scan.landed_files(spark, str(tmp_path), ["c.bin"]), "name") == [("c.bin",)]
 
 
+def test_only_small_file_tables_are_spread(spark, tmp_path, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    spread = scan.spread_small_input(one, "id")
+    assert spread.select(F.spark_partition_id()).distinct().count() == cores
+    assert rows(spread, "id") == rows(one, "id")
+    spark.range(100).repartition(cores).write.parquet(str(tmp_path / "many"))
+    many = spark.read.parquet(str(tmp_path / "many"))
+    assert scan.spread_small_input(many, "id") is many
+    in_memory = spark.range(5)
+    assert scan.spread_small_input(in_memory, "id") is in_memory
+    monkeypatch.setattr(scan, "SPLIT_BYTES", 10)
+    assert scan.spread_small_input(one, "id") is one
+
+
 def test_responses_from_json_and_parquet(spark, tmp_path):
     df = spark.createDataFrame([("q", "{}")], "query string, response_json string")
     df.write.json(str(tmp_path / "r.json"))
