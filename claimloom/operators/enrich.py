@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from claimloom.functions.reviews import REVIEW_COLUMNS, review_fields
 from claimloom.functions.text import has_text, query_text, text_digest
-from claimloom.operators.skew import MIN_HOT_ROWS, salted_left_join
+from claimloom.operators.skew import ROWS_PER_TASK, salted_left_join
 
 
 def lookup_key(text: Column, max_query_chars: int) -> Column:
@@ -28,7 +28,7 @@ def enrich_with_reviews(
     key: str = "uid",
     text: str = "text",
     max_query_chars: int = 512,
-    min_hot_rows: int = MIN_HOT_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join with ``responses(query, response_json)``: every row is kept once.
 
@@ -37,5 +37,5 @@ def enrich_with_reviews(
     """
     own = F.concat(F.lit("none:"), F.col(key).cast("string"))
     keyed = df.withColumn("_query", F.coalesce(lookup_key(F.col(text), max_query_chars), own))
-    joined = salted_left_join(keyed, parsed_reviews(responses), "_query", key, min_rows=min_hot_rows)
+    joined = salted_left_join(keyed, parsed_reviews(responses), "_query", key, rows_per_task=rows_per_task)
     return joined.select(*df.columns, *REVIEW_COLUMNS)

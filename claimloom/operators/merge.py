@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, functions as F
 from claimloom.functions.urls import plausible_url, tweet_id
 from claimloom.operators.mapping import MERGED_ORDER, ensure_schema, reorder
 from claimloom.operators.numbering import assign_uids
-from claimloom.operators.skew import salted_left_join
 from claimloom.sources.scan import Corpus
 
 # Fixed value: the datasets whose claim URLs are tweets.
@@ -42,12 +41,13 @@ def drop_null_texts(df: DataFrame) -> DataFrame:
     return reorder(df.where(F.col("text").isNotNull()), MERGED_ORDER)
 
 
-def describe_datasets(df: DataFrame, dimension: DataFrame, row_id: str = "uid") -> DataFrame:
+def describe_datasets(df: DataFrame, dimension: DataFrame) -> DataFrame:
     """Look up (source_type, source_description) by dataset name, with defaults.
 
-    A dataset name may hold any share of the rows, hence the salted join.
+    A plain left join: the dimension is small, and the engine broadcasts it
+    after its own size check.
     """
-    joined = salted_left_join(df, dimension, "dataset_name", row_id)
+    joined = df.join(dimension, "dataset_name", "left")
     return joined.withColumns(
         {
             "source_type": F.coalesce("source_type", F.lit("news")),

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from claimloom.functions.minhash import band_digests, lsh_bands
 from claimloom.functions.text import text_digest
-from claimloom.operators.skew import MIN_HOT_ROWS, hot_keys, salted_left_join
+from claimloom.operators.skew import ROWS_PER_TASK, hot_keys, salted_left_join
 from claimloom.session import ensure_checkpoint_dir
 
 
@@ -31,7 +31,7 @@ class NearDuplicateSettings:
     seed: int = 3
     num_perm: int = 128
     list_limit: int = 100
-    min_hot_rows: int = MIN_HOT_ROWS
+    rows_per_task: int = ROWS_PER_TASK
 
 
 DEFAULTS = NearDuplicateSettings()
@@ -74,7 +74,7 @@ def shared_buckets(banded: DataFrame, settings: NearDuplicateSettings = DEFAULTS
         "bucket",
         row_id="text_id",
         how="inner",
-        hot=hot_keys(sizes, "bucket", min_rows=settings.min_hot_rows, weight="n_texts"),
+        hot=hot_keys(sizes, "bucket", rows_per_task=settings.rows_per_task, weight="n_texts"),
     )
 
 
@@ -128,7 +128,7 @@ def find_near_duplicates(
         banded.select("digest", "text_id", "copies"),
         "digest",
         row_id="_key",
-        hot=hot_keys(banded, "digest", min_rows=settings.min_hot_rows, weight="copies"),
+        hot=hot_keys(banded, "digest", rows_per_task=settings.rows_per_task, weight="copies"),
     ).select("_key", "text_id", "copies")
 
     # Lists of row keys: of each text's copies, of each small bucket, of each text.
@@ -161,7 +161,7 @@ def find_near_duplicates(
     found = lists.join(groups, "text_id", "full").select("text_id", "near_duplicates", "near_duplicate_groups")
     answers = salted_left_join(
         rows, found, "text_id", row_id="_key",
-        hot=hot_keys(banded, "text_id", min_rows=settings.min_hot_rows, weight="copies"),
+        hot=hot_keys(banded, "text_id", rows_per_task=settings.rows_per_task, weight="copies"),
     )
     return answers.select(
         F.col("_key").alias(key),

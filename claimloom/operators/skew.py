@@ -4,25 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A hot key holds more than this share of the rows, so there are at most
-# 1 / HOT_SHARE of them, however large the data: that bounds the broadcast.
-HOT_SHARE = 0.001
-MIN_HOT_ROWS = 100_000
-SALTS = 64
+# What one task should take of a single key. A key is hot beyond this, or beyond
+# a thousandth of all rows where that is more: at most 1,000 keys are hot, however
+# large the data, and that bounds the broadcast.
+ROWS_PER_TASK = 1_000_000
+MAX_HOT_KEYS = 1_000
 
 
 def hot_keys(
     df: DataFrame,
     key: str,
-    share: float = HOT_SHARE,
-    min_rows: int = MIN_HOT_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
     weight: str | None = None,
 ) -> DataFrame:
-    """Keys holding more than ``share`` of all rows (or of ``sum(weight)``)."""
+    """(key, _pieces): the hot keys and into how many pieces each is to be cut.
+
+    Pieces follow a key's rows (or its ``sum(weight)``), so all pieces are of
+    about the same size, and there are at most 2,000 in total.
+    """
     amount = F.count("*") if weight is None else F.sum(weight)
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(amount.alias("_n"))
     total = df.agg(amount.alias("n")).scalar()
-    counts = df.groupBy(key).agg(amount.alias("_n"))
-    return counts.where((F.col("_n") > F.lit(share) * total) & (F.col("_n") > min_rows)).select(key)
+    piece = F.greatest(F.lit(rows_per_task), F.coalesce(total, F.lit(0)) / F.lit(MAX_HOT_KEYS))
+    return counts.where(F.col("_n") > piece).select(key, F.ceil(F.col("_n") / piece).cast("int").alias("_pieces"))
 
 
 def salted_left_join(
@@ -31,27 +35,26 @@ def salted_left_join(
     key: str,
     row_id: str,
     how: str = "left",
-    salts: int = SALTS,
-    share: float = HOT_SHARE,
-    min_rows: int = MIN_HOT_ROWS,
+    rows_per_task: int = ROWS_PER_TASK,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``left`` to ``right``, whose ``key`` is unique, on one key column.
 
-    Rows of a hot key are spread over ``salts`` tasks by their id, and only
-    the matching rows of ``right`` are repeated that often. Null keys match
+    Rows of a hot key are spread over its pieces by their id, and only the
+    matching rows of ``right`` are repeated that often. Null keys match
     nothing and are spread too. All other keys are joined as usual.
     """
-    hot = hot_keys(left, key, share, min_rows) if hot is None else hot
-    marks = F.broadcast(hot.select(F.col(key), F.lit(True).alias("_hot")))
-    spread = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
+    hot = hot_keys(left, key, rows_per_task) if hot is None else hot
+    marks = F.broadcast(hot.select(key, "_pieces"))
+    pieces = F.when(F.col(key).isNull(), F.lit(MAX_HOT_KEYS)).otherwise(F.coalesce("_pieces", F.lit(1)))
     left_salted = (
         left.join(marks, key, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), spread).otherwise(F.lit(0)))
-        .drop("_hot")
+        .withColumn("_salt", F.pmod(F.xxhash64(row_id), pieces).cast("int"))
+        .drop("_pieces")
     )
-    repeats = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right_salted = (
-        right.join(marks, key, "left").withColumn("_salt", F.explode(repeats)).drop("_hot")
+        right.join(marks, key, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_pieces", F.lit(1)) - 1)))
+        .drop("_pieces")
     )
     return left_salted.join(right_salted, [key, "_salt"], how).drop("_salt")

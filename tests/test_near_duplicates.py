@@ -60,8 +60,8 @@ def texts():
     [
         NearDuplicateSettings(),
         NearDuplicateSettings(threshold=0.85, ngram=3, num_perm=64),
-        NearDuplicateSettings(list_limit=3, min_hot_rows=1),
-        NearDuplicateSettings(threshold=0.5, list_limit=1, min_hot_rows=1),
+        NearDuplicateSettings(list_limit=3, rows_per_task=1),
+        NearDuplicateSettings(threshold=0.5, list_limit=1, rows_per_task=1),
     ],
     ids=["default", "other-banding", "small-lists", "groups-only"],
 )
@@ -106,7 +106,7 @@ def test_pairs_are_the_candidates_of_distinct_texts(spark, texts):
 
 
 def test_a_third_of_the_rows_is_one_text(spark):
-    settings = NearDuplicateSettings(list_limit=10, min_hot_rows=20)
+    settings = NearDuplicateSettings(list_limit=10, rows_per_task=20)
     df = spark.range(300).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit("o mesmo texto de sempre")).otherwise(
             F.sha2(F.col("id").cast("string"), 256)).alias("t"),

@@ -236,10 +236,10 @@ def test_salted_join_equals_plain_join(spark):
             F.concat(F.lit("k"), F.col("id") % 4000)).alias("k"),
     )
     right = left.where("k is not null").select("k").distinct().where("k <> 'k7'").withColumn("v", F.length("k"))
-    hot = hot_keys(left, "k", share=0.01, min_rows=100)
+    hot = hot_keys(left, "k", rows_per_task=100)
     assert [r.k for r in hot.where("k is not null").collect()] == ["hot"]
     for how in ("left", "inner"):
-        got = salted_left_join(left, right, "k", "id", how=how, salts=8, share=0.01, min_rows=100)
+        got = salted_left_join(left, right, "k", "id", how=how, rows_per_task=100)
         want = left.join(right, "k", how)
         assert got.count() == want.count()
         assert got.select("k", "id", "v").exceptAll(want.select("k", "id", "v")).count() == 0
@@ -256,7 +256,7 @@ def test_lookup_keeps_every_row_once(spark):
         [("Primeira alegação", full), ("Segunda alegação", "{}"), ("", full), ("x" * 512, full)],
         "query string, response_json string",
     )
-    got = enrich_with_reviews(base, answers, min_hot_rows=1).orderBy("uid").collect()
+    got = enrich_with_reviews(base, answers, rows_per_task=1).orderBy("uid").collect()
     assert [(r.uid, r.factcheck_rating, r.factcheck_claimant, r.factcheck_url) for r in got] == [
         (0, "F", "c", "u"), (1, None, None, None), (2, None, None, None), (3, None, None, None),
         (4, None, None, None), (5, "F", "c", "u"), (6, "F", "c", "u"),
