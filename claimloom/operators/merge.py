@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from claimloom.functions.urls import plausible_url, tweet_id
 from claimloom.operators.mapping import MERGED_ORDER, ensure_schema, reorder
-from claimloom.operators.numbering import assign_uids
-from claimloom.sources.scan import Corpus
+from claimloom.operators.numbering import number_frames
+from claimloom.sources.scan import POSITION, Corpus
 
 # Fixed value: the datasets whose claim URLs are tweets.
 TWEET_DATASETS = ("FakeTweetBr",)
@@ -31,9 +31,15 @@ def union_corpora(
     tweet_datasets: Sequence[str] = TWEET_DATASETS,
 ) -> DataFrame:
     """All normalised rows with their uid, rows without text included."""
-    frames = [normalize_corpus(corpus, tweet_datasets) for corpus in corpora]
-    numbered = assign_uids(frames, order_by)
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), numbered)
+    return number_frames([normalize_corpus(corpus, tweet_datasets) for corpus in corpora], order_by)
+
+
+def unnumbered_corpora(
+    corpora: Sequence[Corpus], tweet_datasets: Sequence[str] = TWEET_DATASETS
+) -> DataFrame:
+    """The same rows without uid, for counts: nothing is numbered or joined."""
+    frames = [normalize_corpus(corpus, tweet_datasets).drop(POSITION) for corpus in corpora]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def drop_null_texts(df: DataFrame) -> DataFrame:

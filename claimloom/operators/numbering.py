@@ -7,98 +7,122 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from claimloom.session import ensure_checkpoint_dir
 from claimloom.sources.scan import POSITION
+from claimloom.staging import stage
 
-# One offset row per file; beyond this many files they are joined by shuffle.
-MAX_BROADCAST_FILES = 20_000
 _ROW_BITS = (1 << 33) - 1
 
 
-def _running_offsets(sizes: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows before each file or partition; ``sizes`` has one row for each of them."""
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return sizes.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+def number_by_key(
+    df: DataFrame, order_by: Sequence[str], column: str, start: int = 1, within: Sequence[str] = ()
+) -> DataFrame:
+    """Number the rows from ``start`` in key order, per value of ``within`` if given.
 
+    A range sort, staged, then the offset of each partition: numbers and rows
+    must come from the very same partitions, also after an executor was lost.
+    """
+    # The hash keeps rows with equal keys from ending up in one partition.
+    keys = [*within, *order_by, F.xxhash64(*df.columns)]
+    placed = stage(
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
+        .withColumns(
+            {
+                "_part": F.spark_partition_id(),
+                "_row": F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
+            }
+        ),
+        "numbered",
+    )
+    group = [F.col(name).alias(f"_own_{name}") for name in within]
+    sizes = placed.groupBy(F.col("_part").alias("_own_part"), *group).agg(
+        F.count("*").alias("_rows"), F.min("_row").alias("_first")
+    )
+    before = (
+        Window.partitionBy(*[f"_own_{name}" for name in within])
+        .orderBy("_own_part")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    offsets = sizes.withColumn("_offset", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(name).eqNullSafe(F.col(f"_own_{name}")) for name in within],
+        F.col("_part") == F.col("_own_part"),
+    )
+    number = (F.col("_offset") + F.col("_row") - F.col("_first") + F.lit(start)).cast("long")
+    return placed.join(offsets, same).select(*df.columns, number.alias(column))
 
-def assign_uids(
+
+def number_frames(
     frames: Sequence[DataFrame],
     order_by: Sequence[str] | None = None,
     column: str = "uid",
     start: int = 1,
-) -> list[DataFrame]:
-    """Number the rows of all frames from ``start``, frame after frame, no gaps.
+) -> DataFrame:
+    """The union of all frames with its rows numbered, frame after frame, no gaps.
 
-    Frames read by ``claimloom.sources`` are numbered in file order: the scan
-    knows each row's place, so rows are not moved, only the file sizes are
-    summed up. Other frames need ``order_by``.
+    Rows read by ``claimloom.sources`` know their place in their file. Where the
+    frames still hold every row of their files, rows are not moved: one
+    aggregate over the union gives the files' sizes, one join adds the offsets.
+    Filtered or joined frames are numbered by a range sort over the place.
+    Frames without places need ``order_by``.
     """
-    if not frames:
-        return []
-    if order_by is not None:
-        return _assign_by_key(frames, order_by, column, start)
-    if not all(POSITION in frame.columns for frame in frames):
+    if order_by is None and not all(POSITION in frame.columns for frame in frames):
         raise ValueError("frames without file positions need order_by")
-    file, row = F.col(POSITION)["file"], F.col(POSITION)["row"]
-    sizes = reduce(
-        DataFrame.unionByName,
-        [
-            frame.groupBy(file.alias("_file"))
-            .agg(F.count("*").alias("_rows"), F.min(row).alias("_first"))
-            .withColumn("_frame", F.lit(i))
-            for i, frame in enumerate(frames)
-        ],
-    )
-    offsets = _running_offsets(sizes, ["_frame", "_file"])
-    numbered = []
-    for i, frame in enumerate(frames):
-        own = offsets.where(F.col("_frame") == i).select("_file", "_first", "_offset")
-        if 0 < len(frame.inputFiles()) <= MAX_BROADCAST_FILES:
-            own = F.broadcast(own)
-        uid = F.col("_offset") + row - F.col("_first") + F.lit(start)
-        numbered.append(
-            frame.join(own, file == F.col("_file"))
-            .withColumn(column, uid.cast("long"))
-            .drop("_file", "_first", "_offset", POSITION)
-        )
-    return numbered
-
-
-def _assign_by_key(
-    frames: Sequence[DataFrame], order_by: Sequence[str], column: str, start: int
-) -> list[DataFrame]:
-    """Range-sort by key, then add each partition's offset.
-
-    The sorted rows are checkpointed: offsets and rows must come from the very
-    same partitions, also after an executor was lost.
-    """
-    ensure_checkpoint_dir(frames[0].sparkSession)
     tagged = [frame.withColumn("_frame", F.lit(i)) for i, frame in enumerate(frames)]
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    # The hash keeps rows with equal keys from ending up in one partition.
-    keys = ["_frame", *order_by, F.xxhash64(*together.columns)]
-    placed = (
-        together.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .checkpoint()
-        .withColumns(
-            {
-                "_part": F.spark_partition_id(),
-                "_row": F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_BITS)),
-            }
-        )
+    if order_by is not None:
+        return number_by_key(together, ["_frame", *order_by], column, start).drop("_frame", POSITION)
+    placed = together.withColumns({"_file": F.col(POSITION)["file"], "_row": F.col(POSITION)["row"]}).drop(POSITION)
+    row = F.col("_row").cast("decimal(38,0)")
+    sizes = stage(
+        placed.groupBy("_frame", "_file").agg(
+            F.count("*").alias("_rows"),
+            F.min("_row").alias("_first"),
+            F.max("_row").alias("_last"),
+            # with the count, these tell a whole file from one with missing or repeated rows
+            F.sum(row).alias("_sum"),
+            F.sum(row * row).alias("_squares"),
+        ),
+        "file-sizes",
+    )
+    n, first = F.col("_rows").cast("decimal(38,0)"), F.col("_first").cast("decimal(38,0)")
+    whole = (
+        (F.col("_rows") == F.col("_last") - F.col("_first") + 1)
+        & (2 * F.col("_sum") == n * (2 * first + n - 1))
+        & (6 * F.col("_squares") == 6 * n * first * first + 6 * first * n * (n - 1) + (n - 1) * n * (2 * n - 1))
     )
-    sizes = placed.groupBy("_part").agg(F.count("*").alias("_rows"))
-    offsets = F.broadcast(_running_offsets(sizes, ["_part"]).drop("_rows"))  # one row per partition
-    numbered = placed.join(offsets, "_part").withColumn(
-        column, (F.col("_offset") + F.col("_row") + F.lit(start)).cast("long")
+    if not sizes.where(~whole).isEmpty():
+        return number_by_key(placed, ["_frame", "_file", "_row"], column, start).drop("_frame", "_file", "_row")
+    before = Window.orderBy("_frame", "_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_frame", "_file", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
     )
+    number = (F.col("_offset") + F.col("_row") - F.col("_first") + F.lit(start)).cast("long")
+    return (
+        placed.join(offsets, ["_frame", "_file"])
+        .withColumn(column, number)
+        .drop("_frame", "_file", "_row", "_first", "_offset")
+    )
+
+
+def assign_uids(
+    frames: Sequence[DataFrame],
+    order_by: Sequence[str] | None = None,
+    column: str = "uid",
+    start: int = 1,
+) -> list[DataFrame]:
+    """``number_frames``, given back frame by frame."""
+    if not frames:
+        return []
+    marked = [frame.withColumn("_of", F.lit(i)) for i, frame in enumerate(frames)]
+    numbered = number_frames(marked, order_by, column, start)
     return [
-        numbered.where(F.col("_frame") == i).select(*frame.columns, column)
+        numbered.where(F.col("_of") == i).select(*[c for c in frame.columns if c != POSITION], column)
         for i, frame in enumerate(frames)
     ]
 
 
 def with_row_ids(df: DataFrame, order_by: Sequence[str] | None = None) -> DataFrame:
     """0-based ``rid`` in file order (or by key)."""
-    return assign_uids([df], order_by, column="rid", start=0)[0]
+    return number_frames([df], order_by, column="rid", start=0)
