@@ -132,7 +132,6 @@ def train(
         for passage in passages(template)
     ]
     known = {g for _, p in rows for g in ngrams_of(p, sizes)}
-    seen = Counter(g for p in sample for g in set(ngrams_of(words_of(p), sizes)) & known)
     # notices are common among sampled paragraphs too: those that hold most of a template teach nothing
     whole = [set(ngrams_of(words_of(t), sizes)) for ts in templates.values() for t in ts]
     unknown = []
@@ -225,26 +224,25 @@ def scan_licenses(
     words = cut.select("row", "at", F.regexp_extract_all("lowered", F.lit("([a-z0-9]+)"), F.lit(1)).alias("words"))
     grams = words.select("row", "at", F.explode(_grams(F.col("words"), sizes)).alias("gram"))
 
-    classes = len(model.families)
     weights = spark.createDataFrame(
-        [(g, [float(v) for v in model.weights[i]]) for i, g in enumerate(model.features)], "gram string, w array<double>"
+        [
+            (gram, family, float(model.weights[i, c]), float(model.bias[c]))
+            for i, gram in enumerate(model.features)
+            for c, family in enumerate(model.families)
+        ],
+        "gram string, family string, w double, b double",
     )
-    sums = (
-        grams.join(F.broadcast(weights), "gram")  # one row per feature
-        .groupBy("row", "at")
-        .agg(*[(F.sum(F.col("w")[c]) + F.lit(float(model.bias[c]))).alias(f"z{c}") for c in range(classes)])
+    scored = (
+        grams.join(F.broadcast(weights), "gram")  # a row per feature and family
+        .groupBy("row", "at", "family")
+        .agg((F.sum("w") + F.min("b")).alias("z"))
     )
-    top = F.greatest(*[F.col(f"z{c}") for c in range(classes)])
-    total = sum((F.exp(F.col(f"z{c}") - F.col("top")) for c in range(classes)), F.lit(0.0))
-    best = F.array_max(
-        F.array(*[F.struct((F.exp(F.col(f"z{c}") - F.col("top")) / F.col("total")).alias("p"), F.lit(f).alias("f")) for c, f in enumerate(model.families)])
-    )
-    predicted = (
-        sums.withColumn("top", top).withColumn("total", total)
-        .select("row", "at", best.alias("best"))
-        .select("row", "at", F.col("best.f").alias("family"), F.col("best.p").alias("probability"))
-        .where((F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
+    best = scored.groupBy("row", "at").agg(
+        F.max(F.struct("z", "family")).alias("top"), F.sum(F.exp("z")).alias("total")
     )
+    predicted = best.select(
+        "row", "at", F.col("top.family").alias("family"), (F.exp("top.z") / F.col("total")).alias("probability")
+    ).where((F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
     # the template that the paragraph holds the most of confirms the prediction
     forms = [
         (family, sorted(set(ngrams_of(words_of(t), sizes)))) for family in sorted(templates) for t in templates[family]
