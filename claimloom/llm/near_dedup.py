@@ -12,14 +12,14 @@ node, so copies cost nothing. Bands only propose candidates; ``bands_for``
 makes so many that a pair at the threshold is missed with a probability below
 ``MISS``.
 
-No group is ever paired up whole. Per bucket, every member is verified against
-one leader; most buckets are then settled, as members of one component need no
-further test. What is left of small buckets is tested pair by pair. Large ones
-go on with their members' rarest shingles (prefix filter): two sets this
-similar share one of them whatever the order, so that nothing is lost, and
-texts that only have a frequent passage in common never meet. Buckets of rare
-shingles that are still large retire a few leaders per round, tested against
-everybody, until they are settled.
+No group's pairs are ever listed. Every member of a bucket is verified against
+one leader, which settles most buckets, as members of one component need no
+further test. Buckets that still hold several components are joined to
+families; in each, the texts outside the largest component are compared with
+everybody, tile by tile. A family too wide for that goes on with its members'
+rarest shingles (prefix filter): two sets this similar share one of them
+whatever the order, so that nothing is lost, and texts that only have a
+frequent passage in common never meet.
 
 Null and empty texts, and texts without words, have no shingles and link with
 nothing; texts with fewer words than a shingle have their whole word sequence
@@ -33,15 +33,16 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from claimloom.staging import stage
 
 ROWS_PER_BAND = 6
 MISS = 1e-7
-LEADERS = 8  # leaders per round of a large bucket of rare shingles
-SMALL_BUCKET = 40  # members up to which what is left is tested pair by pair
+LEADER_BLOCK, MEMBER_BLOCK = 256, 1024  # sets that meet in one tile
+WIDEST_FAMILY = 20_000  # texts beyond which rare shingles say who is compared
 _ROWS = 256
 _MAX_WORDS = 1_000_000  # entries of the word-hash memo
 
@@ -159,15 +160,12 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def verified(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): does 100 * |A and B| >= percent * |A or B| hold for the full sets."""
+    """(a, b) of ``edges`` for which 100 * |A and B| >= percent * |A or B| holds on the full sets."""
     a = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_a"))
     b = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_b"))
-    n_a, n_b = F.size("set_a"), F.size("set_b")
-    # sets whose sizes alone forbid a link are not intersected
-    possible = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
-    common = F.when(possible, F.size(F.array_intersect("set_a", "set_b"))).otherwise(0)
-    linked = 100 * common >= percent * (n_a + n_b - common)
-    return edges.join(b, "b").join(a, "a").select("a", "b", linked.alias("linked"))
+    common = F.size(F.array_intersect("set_a", "set_b"))
+    union = F.size("set_a") + F.size("set_b") - common
+    return edges.join(b, "b").join(a, "a").where(100 * common >= percent * union).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -182,88 +180,125 @@ def components(links: DataFrame) -> DataFrame:
         .distinct(),
         "links",
     )
-    seen = None
-    while True:
+    while not _is_star_forest(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where(F.col("u") != F.col("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-            .select("e.*")
-            .where(F.col("u") != F.col("v"))
-            .distinct()
-        )
-        edges = stage(small, "links")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
+        ends = F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))
+        small = large.join(least, "u").select(F.explode(ends).alias("e")).select("e.*")
+        edges = stage(small.where(F.col("u") != F.col("v")).distinct(), "links")
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
     )
 
 
-class _Links:
-    """Tested pairs and the components they make, round after round."""
-
-    def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent = sets, percent
-        self.tested: DataFrame | None = None
-        self.labels: DataFrame | None = None
-
-    def test(self, edges: DataFrame) -> None:
-        """Verify the pairs of ``edges(a, b)`` that have not been tested yet."""
-        pairs = edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested.select("a", "b"), ["a", "b"], "left_anti")
-        found = stage(verified(pairs, self.sets, self.percent), "tested")
-        self.tested = found if self.tested is None else self.tested.unionByName(found)
-        self.labels = stage(components(self.tested.where("linked")), "labels")
-
-    def labelled(self, members: DataFrame) -> DataFrame:
-        """``members`` with the component each belongs to so far."""
-        if self.labels is None:
-            return members.withColumn("component", F.col("id"))
-        known = members.join(self.labels, "id", "left")
-        return known.withColumn("component", F.coalesce("component", "id"))
-
-    def open_buckets(self, members: DataFrame) -> DataFrame:
-        """The members (with component) of buckets that hold several components."""
-        known = self.labelled(members)
-        several = (
-            known.groupBy("bucket")
-            .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
-            .where(F.col("lo") != F.col("hi"))
-            .select("bucket", "n")
-        )
-        return known.join(several, "bucket")
-
+def _is_star_forest(edges: DataFrame) -> bool:
+    """Has every node one parent at most, and no parent a parent of its own?"""
+    ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down"))
+    )
+    nodes = ends.groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.where(F.col("up") + F.col("down") > 1).isEmpty()
+
+
+def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels(id, component)`` after the components joined by ``links(a, b)`` became one."""
+    for end in ("a", "b"):
+        label = labels.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+        links = links.join(label, end)
+    merged = components(links.select(F.col("of_a").alias("a"), F.col("of_b").alias("b")))
+    merged = merged.select(F.col("id").alias("component"), F.col("component").alias("merged"))
+    joined = labels.join(merged, "component", "left")
+    return stage(joined.select("id", F.coalesce("merged", "component").alias("component")), "labels")
+
+
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(bucket, id, component) of the buckets of ``members`` that hold several components."""
+    known = members.select("bucket", "id").join(labels, "id")
+    several = (
+        known.groupBy("bucket")
+        .agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("first"))
+        .where(F.col("lo") != F.col("hi"))
+        .select("bucket", "first")
+    )
+    return stage(known.join(several, "bucket"), "open")
+
+
+def _overlaps(own: np.ndarray, keys: np.ndarray, starts: np.ndarray, owners: np.ndarray, n: int) -> np.ndarray:
+    """Shingles that ``own`` shares with each of ``n`` sets; these are given by shingle."""
+    at = np.searchsorted(keys, own)
+    at = at[(at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == own)]
+    counts = starts[at + 1] - starts[at]
+    places = np.repeat(starts[at] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+    return np.bincount(owners[places], minlength=n)
+
+
+def tile_links(table: pa.Table, percent: int) -> dict[str, list[int]]:
+    """Links of one tile: its leaders with its members, one per leader and other component."""
+    lead = table.filter(table.column("leads"))
+    rest = table.filter(pa.compute.invert(table.column("leads")))
+    out: dict[str, list[int]] = {"a": [], "b": []}
+    if not lead.num_rows or not rest.num_rows:
+        return out
+    flat = lead.column("shingles").combine_chunks()
+    sizes = flat.value_lengths().to_numpy()
+    owners = np.repeat(np.arange(lead.num_rows), sizes)
+    shingles = flat.flatten().to_numpy()
+    order = np.argsort(shingles, kind="stable")
+    owners = owners[order]
+    keys, starts = np.unique(shingles[order], return_index=True)
+    starts = np.append(starts, len(shingles))
+    ids, of = (lead.column(c).to_numpy() for c in ("id", "component"))
+    known = set()
+    for one, component, own in zip(rest.column("id").to_pylist(), rest.column("component").to_pylist(), rest.column("shingles")):
+        own = own.values.to_numpy()
+        common = _overlaps(own, keys, starts, owners, lead.num_rows)
+        linked = (100 * common >= percent * (len(own) + sizes - common)) & (of != component)
+        for other, other_component in zip(ids[linked].tolist(), of[linked].tolist()):
+            if (other_component, component) not in known:
+                known.add((other_component, component))
+                out["a"].append(other)
+                out["b"].append(one)
+    return out
 
-def _leaders(members: DataFrame, many: int = 1) -> DataFrame:
-    """(bucket, leader): up to ``many`` members of each bucket, the least id of each hash class."""
-    by_class = members.groupBy("bucket", F.pmod(F.xxhash64("id"), F.lit(many)).alias("class"))
-    return by_class.agg(F.min("id").alias("leader")).drop("class")
 
+def family_links(
+    members: DataFrame, sets: DataFrame, percent: int, leaders: int = LEADER_BLOCK, others: int = MEMBER_BLOCK
+) -> DataFrame:
+    """(a, b): links that join different components within the families of ``members(family, id, component)``.
 
-def _against_leaders(members: DataFrame, many: int = 1) -> DataFrame:
-    """(a, b): every member with its bucket's leaders."""
-    joined = members.join(_leaders(members, many), "bucket").where(F.col("id") != F.col("leader"))
-    return joined.select(F.col("leader").alias("a"), F.col("id").alias("b"))
+    The members outside a family's largest component lead: each is compared
+    with everybody of another component. Blocks of leaders meet blocks of
+    members in tiles, tasks of their own, so a set is sent once per tile, not
+    once per pair, and a large family is many tasks' work.
+    """
+    parts = members.groupBy("family", "component").agg(F.count("*").alias("c"))
+    plan = parts.groupBy("family").agg(F.max(F.struct("c", "component")).alias("top"), F.sum("c").alias("n"))
+    plan = plan.select(
+        "family", F.col("top.component").alias("main"),
+        F.ceil((F.col("n") - F.col("top.c")) / leaders).alias("lead_blocks"), F.ceil(F.col("n") / others).alias("blocks"),
+    ).where(F.col("lead_blocks") > 0)
+    planned = members.join(plan, "family").join(sets, "id")
+
+    def every(blocks: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
+
+    row = ["family", "id", "component", "shingles"]
+    place = F.xxhash64("id")
+    tiles = (
+        planned.where(F.col("component") != F.col("main"))
+        .select(*row, F.lit(True).alias("leads"), F.pmod(place, "lead_blocks").alias("x"), every("blocks").alias("y"))
+        .unionByName(
+            planned.select(*row, F.lit(False).alias("leads"), every("lead_blocks").alias("x"), F.pmod(place, "blocks").alias("y"))
+        )
+    )
 
+    def link(table: pa.Table) -> pa.Table:
+        return pa.table(tile_links(table, percent), schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """(a, b) of different components in small buckets: at most ``SMALL_BUCKET`` per member."""
-    groups = members.groupBy("bucket").agg(F.collect_list(F.struct("id", "component")).alias("all"))
-    other = F.filter("all", lambda x: (x["id"] > F.col("one.id")) & (x["component"] != F.col("one.component")))
-    return (
-        groups.select(F.explode("all").alias("one"), "all")
-        .select(F.col("one.id").alias("a"), F.explode(other).alias("other"))
-        .select("a", F.col("other.id").alias("b"))
-        .distinct()
-    )
+    return tiles.groupBy("family", "x", "y").applyInArrow(link, "a bigint, b bigint")
 
 
 def _rare_buckets(ids: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -274,13 +309,10 @@ def _rare_buckets(ids: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     shared = spread.join(counts.where(F.col("holders") > 1), "bucket")
     # shingles held once come first in every order and link nothing: they use up prefix places
     prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
-    held = shared.groupBy("id").agg(
-        F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("holders", "bucket"))).alias("s")
-    )
+    held = shared.groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("holders", "bucket"))).alias("s"))
     places = (prefix - (F.col("n") - F.size("s"))).cast("int")
-    return held.where(places > 0).select("id", F.explode(F.slice("s", F.lit(1), places)).alias("x")).select(
-        F.col("x.bucket").alias("bucket"), "id"
-    )
+    rarest = held.where(places > 0).select("id", F.explode(F.slice("s", F.lit(1), places)).alias("x"))
+    return rarest.select(F.col("x.bucket").alias("bucket"), "id")
 
 
 def link_components(
@@ -290,45 +322,44 @@ def link_components(
     words: int = 5,
     percent: int = 80,
     rows: int = ROWS_PER_BAND,
-    small: int = SMALL_BUCKET,
+    widest: int = WIDEST_FAMILY,
 ) -> DataFrame:
     """(id, n_shingles, component, kept), one row per row of ``docs``."""
     signed = stage(signatures(docs, id, text, words, bands_for(percent / 100, rows), rows), "signatures")
     full = signed.where(F.col("digest").isNotNull() & F.col("id").isNotNull())
     node = stage(full.groupBy("digest").agg(F.min("id").alias("node")), "nodes")
     nodes = full.join(node.select("node"), F.col("id") == F.col("node"), "left_semi")
-    members = nodes.select("id", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("bucket")
-    members = stage(members.join(shared, "bucket", "left_semi"), "buckets")
+    members = nodes.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("bucket"))
+    # of a bucket only its size and least member are needed, if it has two members at all
+    shared = members.groupBy("bucket").agg(F.min(F.struct("id", "n")).alias("least"), F.count("*").alias("held"))
+    shared = shared.where(F.col("held") > 1).select("bucket", F.col("least.id").alias("a"), F.col("least.n").alias("n_a"))
+    members = stage(members.join(shared, "bucket"), "buckets")
 
     candidates = members.select("id").distinct()
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     sets = shingle_sets(texts.join(candidates, "id", "left_semi"), words)
-    links = _Links(stage(sets, "shingles"), percent)
-
-    links.test(_against_leaders(members))
-    open_ = stage(links.open_buckets(members), "open")
-    links.test(_pairs(open_.where(F.col("n") <= small)))
-    large = links.open_buckets(open_.where(F.col("n") > small).select("bucket", "id"))
-    left = stage(large.select("id").distinct(), "left")
-    if not left.isEmpty():
-        rare = stage(_rare_buckets(left, links.sets, percent), "rare")
-        while True:
-            # members of one component and one bucket are settled among themselves
-            open_ = stage(links.open_buckets(rare), "open")
-            if open_.isEmpty():
-                break
-            links.test(
-                _pairs(open_.where(F.col("n") <= small)).unionByName(
-                    _against_leaders(open_.where(F.col("n") > small), LEADERS)
-                )
-            )
-            # tested against everybody: the leaders of large buckets, and whole small buckets
-            rest = open_.where(F.col("n") > small).select("bucket", "id")
-            retired = _leaders(rest, LEADERS).withColumnRenamed("leader", "id")
-            rare = stage(rest.join(retired, ["bucket", "id"], "left_anti"), "rare")
-
-    labels = links.labels.withColumnsRenamed({"id": "node", "component": "linked_to"})
+    sets = stage(sets, "shingles")
+
+    # every member with the least one of its bucket: near copies of one text are mostly settled by that
+    least = F.col("id") != F.col("a")
+    sized = 100 * F.least("n", "n_a") >= percent * F.greatest("n", "n_a")
+    stars = members.where(least & sized).select("a", F.col("id").alias("b")).distinct()
+    labels = merge(sets.select("id", F.col("id").alias("component")).distinct(), verified(stars, sets, percent))
+
+    # what shares a bucket but no component yet
+    open_ = _open(members, labels)
+    if not open_.isEmpty():
+        ties = components(open_.select(F.col("first").alias("a"), F.col("id").alias("b")))
+        family = ties.select("id", F.col("component").alias("family"))
+        rows_ = stage(open_.select("id", "component").distinct().join(family, "id"), "families")
+        wide = rows_.groupBy("family").agg(F.count("*").alias("n")).where(F.col("n") > widest).select("family")
+        labels = merge(labels, family_links(rows_.join(wide, "family", "left_anti"), sets, percent))
+        wide = rows_.join(wide, "family", "left_semi").select("id")
+        if not wide.isEmpty():
+            rare = _open(_rare_buckets(wide, sets, percent), labels).withColumnRenamed("bucket", "family")
+            labels = merge(labels, family_links(rare.drop("first"), sets, percent))
+
+    labels = labels.select(F.col("id").alias("node"), F.col("component").alias("linked_to"))
     named = stage(node.join(labels, "node", "left").select("digest", F.coalesce("linked_to", "node").alias("of")), "named")
     result = signed.select("id", "n_shingles", "digest").join(named, "digest", "left")
     linked = F.col("of").isNotNull() & F.col("id").isNotNull()

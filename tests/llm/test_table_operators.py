@@ -128,11 +128,11 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("n, percent, small", [(3, 85, 40), (3, 85, 3), (5, 80, 8)])
-def test_near_duplicates_equal_brute_force(spark, n, percent, small):
+@pytest.mark.parametrize("n, percent, widest", [(3, 85, 20_000), (3, 85, 3), (5, 80, 8)])
+def test_near_duplicates_equal_brute_force(spark, n, percent, widest):
     rows = near_rows()
     docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, kept int")
-    found = near_dedup.link_components(docs, words=n, percent=percent, small=small).collect()
+    found = near_dedup.link_components(docs, words=n, percent=percent, widest=widest).collect()
     assert {r.id: (r.n_shingles, r.component) for r in found} == components_by_hand(rows, n, percent)
     assert all(r.kept == (r.id == r.component) for r in found) and len(found) == len(rows)
 
