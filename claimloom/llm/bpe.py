@@ -1,14 +1,17 @@
 """BPE encoding and decoding through a table of distinct words.
 
 1. ``word_chunks`` splits texts into words. A chunk is a run of documents with
-   about ``chunk_chars`` characters: its distinct words once, and each
-   document's words as positions in that list.
-2. ``encode_words`` encodes every distinct word of the corpus once and decodes
-   it again through a join of its ids with the vocabulary's pieces.
-3. ``encode_documents`` joins the encoded words back to the chunks that hold
-   them and puts each document's words in order.
-
-Only (chunk, word) rows and positions are ever shuffled, never the texts.
+   about ``chunk_chars`` characters: its distinct words once, dealt into slots
+   by hash and sorted, and each document's words as places in that order.
+2. ``encode_words`` brings the slots of all chunks together. Equal words share a
+   slot, so every distinct word of the corpus is encoded once.
+3. ``encode_documents`` joins the ids back to their chunk by place, puts each
+   document's words in order, and decodes through a join of the ids with the
+   vocabulary's pieces (map-side: the vocabulary is as large as the tokenizer,
+   whatever the data).
+
+Texts are never shuffled, and places lie in buckets by chunk, so that only
+distinct words move, packed: there once and their ids back once.
 
 Null texts count as empty and have no tokens; special-token strings in a text
 give their ids, as the library does by default; repeated rows and null
@@ -20,16 +23,20 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
-import uuid
+import zlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from claimloom.staging import stage
+from claimloom.staging import stage_buckets
 
 CHUNK_CHARS = 8_000_000
+MAX_WORDS = 2_000_000  # distinct words a task keeps
 _ROWS = 256  # texts turned into Python strings at a time
 _WORDS = 4096  # words given to the tokenizer at a time
 
@@ -93,24 +100,37 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def word_chunks(
-    docs: DataFrame, id: str, text: str, tokenizer_json: str, chunk_chars: int = CHUNK_CHARS
+    docs: DataFrame, id: str, text: str, tokenizer_json: str, slots: int, chunk_chars: int = CHUNK_CHARS
 ) -> DataFrame:
-    """(chunk, doc_ids, lengths, positions, words), one row per chunk.
+    """(chunk, doc_ids, lengths, places, words), one row per chunk.
 
-    A longer text is a chunk of its own. ``positions`` holds 32-bit places in ``words``,
-    document after document.
+    A longer text is a chunk of its own. ``words`` has one packed list per slot
+    (a word holds no white space, so line ends part them); ``places`` counts
+    through all of them, document after document. Chunk numbers are unique in
+    one run of the job, so the result has to be staged before it is used twice.
     """
-    schema = "chunk string, doc_ids array<bigint>, lengths array<int>, positions binary, words array<string>"
+    schema = "chunk bigint, doc_ids array<bigint>, lengths array<int>, places binary, words array<binary>"
 
     def split(batches):
-        names = ["chunk", "doc_ids", "lengths", "positions", "words"]
-        words_of = word_splitter(tokenizer_json)
-        ids, lengths, places, table, chars = [], [], [], {}, 0
+        names = ["chunk", "doc_ids", "lengths", "places", "words"]
+        words_of, compress = word_splitter(tokenizer_json), zstandard.ZstdCompressor(level=3).compress
+        number = TaskContext.get().partitionId() << 32
+        ids, lengths, runs, table, chars = [], [], [], {}, 0
 
         def chunk():
-            positions = np.concatenate(places).astype("<i4").tobytes() if places else b""
-            arrays = [[uuid.uuid4().hex], [ids], [lengths], [positions], [list(table)]]
-            types = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.string())]
+            dealt = [[] for _ in range(slots)]
+            for word in table:
+                dealt[zlib.crc32(word.encode()) % slots].append(word)
+            order = np.empty(len(table), np.int32)
+            at = 0
+            for words in dealt:
+                words.sort()
+                order[[table[w] for w in words]] = np.arange(at, at + len(words))
+                at += len(words)
+            places = compress(order[np.concatenate(runs)].astype("<i4").tobytes())
+            packed = [compress("\n".join(words).encode()) for words in dealt]
+            arrays = [[number], [ids], [lengths], [places], [packed]]
+            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.binary())]
             return pa.RecordBatch.from_arrays([pa.array(a, t) for a, t in zip(arrays, types)], names=names)
 
         for doc, value in _texts(batches):
@@ -120,46 +140,68 @@ def word_chunks(
                     table[word] = len(table)
             ids.append(doc)
             lengths.append(len(words))
-            places.append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
+            runs.append(np.fromiter(map(table.__getitem__, words), np.int32, len(words)))
             chars += len(value or "")
             if chars >= chunk_chars:
                 yield chunk()
-                ids, lengths, places, table, chars = [], [], [], {}, 0
+                number += 1
+                ids, lengths, runs, table, chars = [], [], [], {}, 0
         if ids:
             yield chunk()
 
     return docs.select(F.col(id).cast("long"), F.col(text)).mapInArrow(split, schema)
 
 
-def encode_words(words: DataFrame, tokenizer_json: str) -> DataFrame:
-    """(word, n_ids, ids, pieces) for each distinct word.
+def encode_words(dealt: DataFrame, tokenizer_json: str) -> DataFrame:
+    """(chunk, slot, counts, ids) of ``dealt(chunk, slot, words)``: packed, in the order of the words.
 
-    ``ids`` and ``pieces`` are joined by one space. The pieces come from a join of the ids
-    with the vocabulary; it has as many rows as the tokenizer has tokens, whatever the data.
+    The table of a task's distinct words is kept while its slots pass by; it
+    starts anew beyond ``MAX_WORDS``.
     """
 
     def encode(batches):
-        encoder = word_encoder(tokenizer_json)
+        encoder, compress = word_encoder(tokenizer_json), zstandard.ZstdCompressor(level=3).compress
+        table: dict[str, list[int]] = {}
         for batch in batches:
-            for start in range(0, batch.num_rows, _WORDS):
-                column = batch.column(0).slice(start, _WORDS)
-                ids = pa.array(encoder(column.to_pylist()), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([column, ids], names=["word", "ids"])
-
-    encoded = words.select("word").distinct().mapInArrow(encode, "word string, ids array<int>")
+            for row in batch.to_pylist():
+                words = zstandard.decompress(row["words"]).decode().split("\n")
+                if words == [""]:
+                    continue
+                if len(table) > MAX_WORDS:
+                    table.clear()
+                new = [w for w in words if w not in table]
+                for start in range(0, len(new), _WORDS):
+                    part = new[start : start + _WORDS]
+                    table.update(zip(part, encoder(part)))
+                coded = [table[w] for w in words]
+                counts = np.array([len(x) for x in coded], "<u4")
+                ids = np.fromiter(chain.from_iterable(coded), "<u4", int(counts.sum()))
+                arrays = [[row["chunk"]], [row["slot"]], [compress(_planes(counts))], [compress(_planes(ids))]]
+                types = [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(a, t) for a, t in zip(arrays, types)], names=["chunk", "slot", "counts", "ids"]
+                )
+
+    schema = "chunk bigint, slot int, counts binary, ids binary"
+    return dealt.repartition("slot").select("chunk", "slot", "words").mapInArrow(encode, schema)
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """All low bytes, then all next bytes, and so on: packs better."""
+    return numbers.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpacked(data: bytes) -> list[int]:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().tolist()
+
+
+def vocabulary(tokenizer_json: str) -> list[str]:
+    """The piece of every id."""
     spec = json.loads(tokenizer_json)
-    vocabulary = {i: piece for piece, i in spec["model"]["vocab"].items()}
-    vocabulary |= {t["id"]: t["content"] for t in spec["added_tokens"]}
-    pieces = words.sparkSession.createDataFrame(sorted(vocabulary.items()), "id int, piece string")
-    placed = encoded.select("word", F.posexplode("ids").alias("at", "id"))
-    spelled = placed.join(F.broadcast(pieces), "id")
-    ordered = F.array_sort(F.collect_list(F.struct("at", "id", "piece")))
-    return spelled.groupBy("word").agg(ordered.alias("o")).select(
-        "word",
-        F.size("o").alias("n_ids"),
-        F.array_join(F.col("o.id").cast("array<string>"), " ").alias("ids"),
-        F.array_join("o.piece", " ").alias("pieces"),
-    )
+    known = {i: piece for piece, i in spec["model"]["vocab"].items()}
+    known |= {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return [known.get(i, "") for i in range(max(known) + 1)]
 
 
 def encode_documents(
@@ -177,33 +219,38 @@ def encode_documents(
     its decoded text, and makes the columns named in ``schema``: both strings
     themselves (see ``encode``), or digests of them.
     """
-    chunks = stage(word_chunks(docs, id, text, tokenizer_json, chunk_chars), "bpe-chunks")
-    places = chunks.select("chunk", F.posexplode("words").alias("at", "word"))
-    encoded = encode_words(places.select("word"), tokenizer_json)
-    entry = F.struct("at", "n_ids", "ids", "pieces")
-    tables = (
-        places.join(encoded, "word").groupBy("chunk").agg(F.array_sort(F.collect_list(entry)).alias("table"))
-    )
+    slots = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = stage_buckets(word_chunks(docs, id, text, tokenizer_json, slots, chunk_chars), "bpe_chunks", "chunk")
+    coded = encode_words(chunks.select("chunk", F.posexplode("words").alias("slot", "words")), tokenizer_json)
+    entry = F.struct("slot", "counts", "ids")
+    tables = coded.groupBy("chunk").agg(F.array_sort(F.collect_list(entry)).alias("table"))
     whole = chunks.drop("words").join(tables, "chunk", "left").select(
-        "doc_ids", "lengths", "positions",
-        *[F.col(f"table.{c}").alias(c) for c in ("n_ids", "ids", "pieces")],
+        "doc_ids", "lengths", "places", F.col("table.counts").alias("counts"), F.col("table.ids").alias("ids")
     )
+    pieces = vocabulary(tokenizer_json)
 
     def assemble(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                one = {name: batch.column(name)[row] for name in batch.schema.names}
-                places = np.frombuffer(one["positions"].as_py(), "<i4")
-                counts = np.asarray(one["n_ids"].as_py() or [0])
-                ids, pieces = one["ids"].as_py() or [], one["pieces"].as_py() or []
+                doc_ids, lengths, places, counts, coded = (batch.column(i)[row].as_py() for i in range(5))
+                places = np.frombuffer(zstandard.decompress(places), "<i4")
+                ids, spelled, sizes = [], [], []
+                for packed_counts, packed_ids in zip(counts or [], coded or []):
+                    flat, at = _unpacked(packed_ids), 0
+                    for n in _unpacked(packed_counts):
+                        own = flat[at : at + n]
+                        at += n
+                        sizes.append(n)
+                        ids.append(" ".join(map(str, own)))
+                        spelled.append(" ".join(map(pieces.__getitem__, own)))
+                sizes = np.array(sizes or [0])
                 end, out = 0, []
-                for doc, length in zip(one["doc_ids"].as_py(), one["lengths"].as_py()):
+                for doc, length in zip(doc_ids, lengths):
                     own = places[end : end + length]
                     end += length
                     order = own.tolist()
-                    text_ids = " ".join(map(ids.__getitem__, order))
-                    decoded = " ".join(map(pieces.__getitem__, order))
-                    out.append((doc, int(counts[own].sum()), *finish(text_ids, decoded)))
+                    decoded = " ".join(map(spelled.__getitem__, order))
+                    out.append((doc, int(sizes[own].sum()), *finish(" ".join(map(ids.__getitem__, order)), decoded)))
                     if len(out) == _ROWS:
                         yield _rows(out, fields)
                         out = []
