@@ -11,6 +11,19 @@ ROWS_PER_TASK = 1_000_000
 MAX_HOT_KEYS = 1_000
 
 
+# Rows of a few narrow columns: some tens of megabytes in every executor.
+MAX_BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else as it is.
+
+    For narrow tables that are read from storage: the rows are counted here.
+    Beyond the bound the join shuffles both sides; its result is the same.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def hot_keys(
     df: DataFrame,
     key: str,
