@@ -20,7 +20,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from claimloom.operators.skew import ROWS_PER_TASK, hot_keys, salted_left_join
+from claimloom.operators.skew import ROWS_PER_TASK, broadcast_if_small, hot_keys, salted_left_join
 from claimloom.staging import stage
 
 PREFIX_CHARS = 64
@@ -101,9 +101,10 @@ def drop_duplicates(docs: DataFrame, id: str, text: str) -> DataFrame:
     """The rows of ``docs`` that stay, all columns kept.
 
     The rows themselves stay where they are, unless the list of dropped
-    (id, hash) is too large to be broadcast.
+    (id, hash) is too long to be broadcast.
     """
     flagged = flag_duplicates(docs, id, text).where(~F.col("kept"))
-    dropped = stage(flagged.select(F.col("id").alias("_dropped"), F.col("text_sha256").alias("_hash")), "dedup-dropped")
-    same = docs[id].eqNullSafe(dropped["_dropped"]) & (full_hash(docs[text]) == dropped["_hash"])
-    return docs.join(dropped, same, "left_anti")
+    row = flagged.select(F.col("id").alias("_dropped"), F.xxhash64("text_sha256").alias("_hash"))
+    dropped = stage(row, "dedup-dropped")
+    same = docs[id].eqNullSafe(dropped["_dropped"]) & (F.xxhash64(full_hash(docs[text])) == dropped["_hash"])
+    return docs.join(broadcast_if_small(dropped), same, "left_anti")

@@ -37,6 +37,7 @@ import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimloom.operators.skew import broadcast_if_small
 from claimloom.staging import stage
 
 ROWS_PER_BAND = 6
@@ -335,7 +336,7 @@ def link_components(
     shared = shared.where(F.col("held") > 1).select("bucket", F.col("least.id").alias("a"), F.col("least.n").alias("n_a"))
     members = stage(members.join(shared, "bucket"), "buckets")
 
-    candidates = members.select("id").distinct()
+    candidates = broadcast_if_small(stage(members.select("id").distinct(), "candidates"))
     texts = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     sets = shingle_sets(texts.join(candidates, "id", "left_semi"), words)
     sets = stage(sets, "shingles")
@@ -373,4 +374,4 @@ def drop_near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text"
     """One row of each component stays: the one with its least id. All columns kept."""
     flagged = link_components(docs, id, text, **settings)
     dropped = stage(flagged.where(~F.col("kept")).select(F.col("id").alias("_dropped")), "near-dropped")
-    return docs.join(dropped, docs[id] == dropped["_dropped"], "left_anti")
+    return docs.join(broadcast_if_small(dropped), docs[id] == dropped["_dropped"], "left_anti")
