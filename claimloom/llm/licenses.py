@@ -4,7 +4,7 @@
 driver over a bounded set: passages of the templates, one class per
 family, and a sample of the corpus's own paragraphs as the unknown class. The
 features are sparse: an n-gram that a hundredth of the sampled paragraphs has
-is no feature. The temperature is fitted on held-out passages, and the unknown
+is no feature, nor is one without a rare word. The temperature is fitted on held-out passages, and the unknown
 class takes every paragraph whose best family stays below ``MIN_PROBABILITY``.
 
 ``scan_licenses`` is DataFrame functions only: paragraphs, their n-grams joined
@@ -28,7 +28,11 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimloom.staging import stage
+
 SAMPLE = 4_000  # paragraphs of the corpus in the unknown class
+SAMPLE_DOCS = 1_000  # documents they are taken from
+COMMON = 0.01  # share of the sampled paragraphs beyond which an n-gram or a word tells nothing
 SIZES = (2, 3)  # words of an n-gram
 MIN_PROBABILITY = 0.5
 MIN_OVERLAP = 0.6
@@ -106,12 +110,12 @@ def passages(template: str) -> list[list[str]]:
     return cuts
 
 
-def anchors_of(features: Sequence[str], common: Mapping[str, int]) -> list[str]:
+def anchors_of(features: Sequence[str], rare: Mapping[str, int]) -> list[str]:
     """Few words such that every feature holds one of them; rare words first."""
     left, chosen = set(features), []
     while left:
-        holders = Counter(w for f in left for w in set(f.split()) if len(w) > 1)
-        word = max(holders, key=lambda w: (holders[w] / (1 + common.get(w, 0)), w))
+        holders = Counter(w for f in left for w in set(f.split()) if w in rare)
+        word = max(holders, key=lambda w: (holders[w] / (1 + rare[w]), w))
         chosen.append(word)
         left = {f for f in left if word not in f.split()}
     return chosen
@@ -140,8 +144,11 @@ def train(
         if not any(len(own & w) >= MIN_OVERLAP * len(w) for w in whole):
             unknown.append(own)
     plain = Counter(g for own in unknown for g in own)
-    # bare digits and letters ("2 0") are no features either: nothing in them is a word
-    features = sorted(g for g in known if plain[g] <= 0.01 * max(1, len(unknown)) and any(len(w) > 1 for w in g.split()))
+    # a feature is rare itself and holds a word that is rare, even as a part of other words
+    lowered = [p.lower() for p in sample]
+    common = {w: sum(w in p for p in lowered) for w in {w for g in known for w in g.split()} if len(w) > 1}
+    rare = {w for w, n in common.items() if n <= COMMON * max(1, len(sample))}
+    features = sorted(g for g in known if plain[g] <= COMMON * max(1, len(unknown)) and rare & set(g.split()))
     index = {g: i for i, g in enumerate(features)}
     y = np.array([i for i, _ in rows] + [len(families) - 1] * len(unknown))
     x = np.zeros((len(y), len(features)))
@@ -171,9 +178,7 @@ def train(
         (0.25, 0.5, 1.0, 2.0, 4.0),
         key=lambda t: -np.mean(importance[held] * np.log(softmax(z * t)[np.arange(held.sum()), y[held]] + 1e-12)),
     )
-    lowered = [p.lower() for p in sample]
-    common = {w: sum(w in p for p in lowered) for w in {w for f in features for w in f.split()}}
-    anchors = anchors_of(features, common)
+    anchors = anchors_of(features, {w: n for w, n in common.items() if w in rare})
     return Model(families, tuple(features), w * heat, b * heat, tuple(anchors))
 
 
@@ -184,10 +189,11 @@ def paragraphs(docs: DataFrame, id: Column, text: str) -> DataFrame:
 
 
 def sample_paragraphs(docs: DataFrame, text: str, limit: int = SAMPLE) -> list[str]:
-    """The first paragraphs by hash, distinct: a bounded sample for the unknown class."""
-    place = F.xxhash64("paragraph")
-    drawn = paragraphs(docs, F.lit(0), text).select("paragraph").distinct().orderBy(place, "paragraph").limit(limit)
-    return [r.paragraph for r in drawn.collect()]
+    """At most ``limit`` distinct paragraphs of about ``SAMPLE_DOCS`` documents drawn by a hash of their text."""
+    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
+    place = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / F.lit(1 << 30)
+    drawn = paragraphs(docs.where(place < share), F.lit(0), text).select("paragraph").distinct()
+    return [r.paragraph for r in drawn.orderBy(F.xxhash64("paragraph"), "paragraph").limit(limit).collect()]
 
 
 def _grams(words: Column, sizes: Sequence[int]) -> Column:
@@ -221,7 +227,8 @@ def scan_licenses(
         holds = holds | F.contains(F.col("lowered"), F.lit(anchor))
     likely = docs.select("row", lowered.alias("lowered")).where(holds)
     cut = likely.select("row", F.posexplode(F.split("lowered", r"\n")).alias("at", "lowered")).where(holds)
-    words = cut.select("row", "at", F.regexp_extract_all("lowered", F.lit("([a-z0-9]+)"), F.lit(1)).alias("words"))
+    cut_words = F.regexp_extract_all("lowered", F.lit("([a-z0-9]+)"), F.lit(1)).alias("words")
+    words = stage(cut.select("row", "at", cut_words), "licence-words")  # few paragraphs are left
     grams = words.select("row", "at", F.explode(_grams(F.col("words"), sizes)).alias("gram"))
 
     weights = spark.createDataFrame(
