@@ -10,8 +10,6 @@ _TIME = r"(?:[01]?[0-9]|2[0-3]):[0-5]?[0-9](?::[0-5]?[0-9](?:\.[0-9]+)?)?"
 _ZONE = r"(?: ?(?:Z|UTC|[+-][0-9]{2}:?[0-9]{2}))?"
 # Month abbreviations in calendar order.
 _MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec"
-# Dates outside this span have no nanosecond timestamp and read as null.
-_FIRST_YEAR, _LAST_YEAR = 1678, 2261
 
 
 def _rearranged(c: Column, pattern: str, order: str) -> Column:
@@ -55,12 +53,11 @@ def parse_date(c: Column) -> Column:
         _named_month(s, rf"([0-9]{{1,2}}) {month_name} ([0-9]{{4}})", day=1, month=2, year=3),
     )
     # The beginning tells the order, so few patterns are tried per value.
-    day = (
+    return (
         F.when(s.rlike("^[0-9]{4}"), year_first)
         .when(s.rlike("^[0-9]{1,2}[-/]"), year_last)
         .otherwise(named)
     )
-    return F.when(F.year(day).between(_FIRST_YEAR, _LAST_YEAR), day)
 
 
 def iso_date(c: Column, data_type: T.DataType | None = None) -> Column:

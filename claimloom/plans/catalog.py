@@ -33,8 +33,7 @@ from claimloom.operators.numbering import with_row_ids
 from claimloom.plans import inputs
 from claimloom.plans.corpus import clean_corpus, flag_corpus, merge_corpora, preview, run, survivors
 from claimloom.plans.inputs import plain, table
-from claimloom.sources.scan import POSITION, dataset_name_column, landed_files, spread_small_input
-from claimloom.sources.sinks import manifest
+from claimloom.sources.scan import POSITION, dataset_name_column, spread_small_input
 
 Query = Callable[[SparkSession, str], DataFrame]
 TABLES = (
@@ -362,14 +361,6 @@ def whole_run(spark, folder):
     return _listed_as_text(final)
 
 
-def file_manifest(spark, folder):
-    return manifest(spark, folder)
-
-
-def landed(spark, folder):
-    return landed_files(spark, folder, [f"{name}.parquet" for name in TABLES], min_bytes=5000)
-
-
 QUERIES: dict[str, Query] = {
     "clean_text": clean_text_query,
     "outer_quotes": outer_quotes,
@@ -414,6 +405,4 @@ QUERIES: dict[str, Query] = {
     "near_duplicates": near_duplicate_pairs_query,
     "near_dup_lists": near_duplicate_lists,
     "whole_run": whole_run,
-    "manifest": file_manifest,
-    "landed_files": landed,
 }

@@ -23,7 +23,7 @@ from claimloom.operators.merge import TWEET_DATASETS, drop_null_texts, union_cor
 from claimloom.operators.near_duplicates import NearDuplicateSettings, find_near_duplicates, with_near_duplicates
 from claimloom.session import ensure_checkpoint_dir
 from claimloom.sources.scan import Corpus, spread_small_input
-from claimloom.sources.sinks import write_csv, write_dataset_stats, write_parquet
+from claimloom.sources.sinks import as_text_columns, write_csv, write_dataset_stats, write_parquet
 
 
 def merge_corpora(
@@ -137,7 +137,9 @@ def run_to(
     def written(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         paths[f"{name}_parquet"] = f"{base}/{name}.parquet"
         write_parquet(df, paths[f"{name}_parquet"], partition_by)
-        stored = df.sparkSession.read.parquet(paths[f"{name}_parquet"]).select(*df.columns)
+        # with the written schema: a dataset named 001 must not come back as the number 1
+        schema = as_text_columns(df).schema
+        stored = df.sparkSession.read.schema(schema).parquet(paths[f"{name}_parquet"]).select(*df.columns)
         if csv:
             paths[f"{name}_csv"] = f"{base}/{name}.csv"
             write_csv(stored, paths[f"{name}_csv"])
@@ -152,7 +154,8 @@ def run_to(
     if near_duplicates is not None:
         final = written("near_duplicates", with_near_duplicates(final, "uid", "text_clean", near_duplicates))
     if responses is not None:
-        written("factchecked", unify_urls(enrich_with_reviews(final, responses)))
+        # the key is dropped here, so the rows are put in its order first
+        written("factchecked", unify_urls(enrich_with_reviews(final, responses).orderBy("uid")))
     return paths
 
 

@@ -117,12 +117,16 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_corpora(
-    spark: SparkSession, folder: str, descriptions: dict[str, tuple[str, str]] | None = None
+    spark: SparkSession,
+    folder: str,
+    descriptions: dict[str, tuple[str, str]] | None = None,
+    skip_unreadable: bool = False,
 ) -> list[Corpus]:
     """One lazily read corpus per raw dataset; schemas may all differ.
 
     ``descriptions`` maps a dataset name to (source type, description). A
-    dataset whose schema cannot be read is left out with a warning.
+    dataset whose schema cannot be read is an error; with ``skip_unreadable``
+    it is left out with a warning.
     """
     known = descriptions or {}
     corpora = []
@@ -132,6 +136,8 @@ def read_corpora(
         try:
             frame = read_raw(spark, path)
         except (PySparkException, Py4JJavaError) as error:
+            if not skip_unreadable:
+                raise
             warnings.warn(f"{path} is left out: {str(error).splitlines()[0]}", stacklevel=2)
             continue
         corpora.append(Corpus(name, frame, source_type, description))

@@ -39,17 +39,17 @@ def rows(df, *columns):
 
 def test_ensure_schema_maps_raw_columns(spark):
     raw = spark.createDataFrame(
-        [
-            (1, "Boato sem fonte", "falso", "2024-01-10", "http://jornal.example/x"),
-            (2, "Fato com fonte", "verdadeiro", "10/01/2024", "http://jornal.example/y"),
-        ],
-        "id int, texto string, classificacao string, data string, url string",
-    )
-    out = ensure_schema(raw, "Boatos", "news", "Um teste")
+        [("k9", "chuva de peixes", "Parcialmente Falso", "3/2/2019", None, "check.example.net/9", 5),
+         ("k3", "eclipse total", None, "Feb 29, 2020", "www.ceu.example.org", None, 6),
+         ("k5", "sem data", "outra coisa", "29/02/2021", "x", None, 7)],
+        "ID string, noticia string, rotulo string, date string, link string, url_review string, ignored int",
+    )
+    out = ensure_schema(raw, "ceu", "web", None)
     assert out.columns == CANONICAL
-    assert rows(out, "orig_id", "text", "label", "date_iso", "url_claim", "dataset_name", "source_description") == [
-        ("1", "Boato sem fonte", "fake", "2024-01-10", "http://jornal.example/x", "Boatos", "Um teste"),
-        ("2", "Fato com fonte", "true", "2024-01-10", "http://jornal.example/y", "Boatos", "Um teste"),
+    assert rows(out, "orig_id", "text", "label", "date_iso", "url_review", "source_type", "source_description") == [
+        ("k3", "eclipse total", None, "2020-02-29", None, "web", "Dataset ceu"),
+        ("k5", "sem data", "outra coisa", None, None, "web", "Dataset ceu"),
+        ("k9", "chuva de peixes", "mixed", "2019-02-03", "check.example.net/9", "web", "Dataset ceu"),
     ]
 
 
@@ -87,14 +87,26 @@ def test_claim_url_from_text_only_without_url_column(spark):
 
 
 def test_uids_run_on_over_frames(spark):
-    first = spark.createDataFrame([("a", "t1"), ("b", "t2")], "orig_id string, text string")
-    empty = first.where("false")
-    second = spark.createDataFrame([("c", "t3")], "orig_id string, text string")
-    numbered = assign_uids([first, empty, second], order_by=["orig_id"])
-    assert [rows(f, "orig_id", "uid") for f in numbered] == [[("a", 1), ("b", 2)], [], [("c", 3)]]
+    sizes = [3, 0, 5, 0, 1]
+    frames = [spark.range(n).select((-F.col("id")).alias("k"), F.lit(f"f{i}").alias("f")) for i, n in enumerate(sizes)]
+    numbered = assign_uids(frames, order_by=["k"])
+    at = 0
+    for size, frame in zip(sizes, numbered):
+        assert [r.uid for r in frame.orderBy("k").collect()] == list(range(at + 1, at + size + 1))
+        at += size
     assert assign_uids([]) == []
     with pytest.raises(ValueError):
-        assign_uids([first])
+        assign_uids(frames[:1])
+
+
+def test_uids_of_filtered_and_multiplied_frames(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(0, 200, 1, 3).write.parquet(path)
+    whole = scan.read_parquet(spark, path)
+    twice = whole.join(spark.createDataFrame([(0,), (1,)], "n int"), F.col("id") % 2 >= F.col("n"))
+    for frames in ([whole.where("id % 7 < 3")], [whole, whole.where("id > 150")], [twice]):
+        got = [r.uid for frame in assign_uids(frames) for r in frame.collect()]
+        assert sorted(got) == list(range(1, len(got) + 1))
 
 
 def test_uids_by_key_over_many_partitions(spark):
@@ -142,8 +154,10 @@ def test_unreadable_dataset_is_left_out(spark, raw_zone):
     with open(f"{raw_zone}/broken.parquet", "w") as f:
         f.write("not parquet")
     open(f"{raw_zone}/void.csv", "w").close()
+    with pytest.raises(Exception, match="(?i)parquet"):
+        read_corpora(spark, raw_zone)
     with pytest.warns(UserWarning, match="broken.parquet"):
-        corpora = read_corpora(spark, raw_zone)
+        corpora = read_corpora(spark, raw_zone, skip_unreadable=True)
     assert sorted(c.name for c in corpora) == ["A.b_1", "C", "FakeTweetBr"]  # an empty file is no dataset
     assert merge_corpora(corpora).count() == 6
 
@@ -175,34 +189,29 @@ def test_csv_na_literals_become_null(spark, tmp_path):
 
 
 def test_clean_corpus_small(spark):
+    labels = ["Fake", "REAL", "mixed", None]
+    texts = ["Água  mole em PEDRA dura", "agua mole em pedra dura www.rio.example.com/p?q=1", "pedra", "ver https://a.example", None]
     data = [
-        ("D1", "1", 1, "Vacina CAUSA gripe forte http://jornal.example/x", "falso", "pt"),
-        ("D1", "2", 2, "Vacina não causa gripe http://jornal.example/y", "verdadeiro", "pt"),
-        ("D1", "3", 3, "Quem sabe o que houve", "none", "pt"),
-        ("D1", "4", 4, "Duas palavras", "fake", "pt"),
-        ("D1", "5", 5, "Uma", "fake", "pt"),
-        ("D1", "6", 6, "http://jornal.example/y", "fake", "pt"),
-        ("D1", "7", 7, None, "fake", "pt"),
-        ("D1", "8", 8, "VACINA causa  gripe forte", "true", "pt"),
-        ("D2", "9", 9, "vacina causa gripe forte", "true", "pt"),
+        (name, f"{name}{i}{j}", 100 * n + 10 * i + j, text, label, "xx")
+        for n, name in enumerate(("rio", "mar"))
+        for i, text in enumerate(texts)
+        for j, label in enumerate(labels)
     ]
     df = spark.createDataFrame(
         data, "dataset_name string, orig_id string, uid long, text string, label string, language string"
     )
     clean = clean_corpus(df, min_tokens=2)
+    # of the ten labelled rows of a dataset, four hold the same long text and two a single word
     assert rows(clean, "orig_id", "label", "text_clean") == [
-        ("1", "fake", "vacina causa gripe forte"),
-        ("2", "true", "vacina nao causa gripe"),
-        ("4", "fake", "duas palavras"),
-        ("9", "true", "vacina causa gripe forte"),
+        ("mar00", "fake", "agua mole em pedra dura"), ("rio00", "fake", "agua mole em pedra dura"),
     ]
     assert "language" not in clean.columns and clean.columns[0] == "dataset_name"
-    flags = {r.orig_id: (r.is_duplicated, r.is_null, r.too_short) for r in flag_corpus(df, 2).collect()}
-    assert flags == {
-        "1": (False, False, False), "2": (False, False, False), "4": (False, False, False),
-        "5": (False, False, True), "6": (False, False, True), "7": (False, True, True),
-        "8": (True, False, False), "9": (False, False, False),
-    }
+    flags = flag_corpus(df, 2).where("dataset_name = 'mar'").orderBy("uid").collect()
+    assert [(r.is_duplicated, r.is_null, r.too_short) for r in flags] == [
+        (False, False, False), (True, False, False), (True, False, False), (True, False, False),
+        (False, False, True), (True, False, True), (False, False, True), (True, False, True),
+        (False, True, True), (True, True, True),
+    ]
 
 
 def test_invalid_label_copies_do_not_count(spark):
@@ -246,23 +255,22 @@ def test_salted_join_equals_plain_join(spark):
 
 
 def test_lookup_keeps_every_row_once(spark):
-    base = spark.createDataFrame(
-        [(0, "Primeira alegação"), (1, "Segunda alegação"), (2, ""), (3, None), (4, " "), (5, "Primeira alegação"),
-         (6, "x" * 600)],
-        "uid long, text string",
-    )
-    full = json.dumps({"claims": [{"claimant": "c", "claimReview": [{"textualRating": "F", "url": "u"}]}]})
+    long = "y" * 700
+    texts = ["lua", None, "sol", "\t \n", "lua", long, "estrela", "", "lua"]
+    base = spark.createDataFrame(list(enumerate(texts)), "uid long, text string")
+
+    def response(rating):
+        return json.dumps({"claims": [{"claimant": None, "claimReview": [{"textualRating": rating}, {"url": "second"}]}]})
+
     answers = spark.createDataFrame(
-        [("Primeira alegação", full), ("Segunda alegação", "{}"), ("", full), ("x" * 512, full)],
+        [("lua", response("R1")), ("sol", json.dumps({"claims": []})), ("", response("R0")), (long[:512], response("R2"))],
         "query string, response_json string",
     )
-    got = enrich_with_reviews(base, answers, rows_per_task=1).orderBy("uid").collect()
-    assert [(r.uid, r.factcheck_rating, r.factcheck_claimant, r.factcheck_url) for r in got] == [
-        (0, "F", "c", "u"), (1, None, None, None), (2, None, None, None), (3, None, None, None),
-        (4, None, None, None), (5, "F", "c", "u"), (6, "F", "c", "u"),
-    ]
-    twice = answers.unionByName(answers)
-    assert enrich_with_reviews(base, twice).count() == 7
+    want = ["R1", None, None, None, "R1", "R2", None, None, "R1"]
+    for table in (answers, answers.unionByName(answers)):
+        got = enrich_with_reviews(base, table, rows_per_task=1).orderBy("uid").collect()
+        assert [r.factcheck_rating for r in got] == want
+        assert [r.factcheck_url for r in got] == [None if w is None else "" for w in want]
 
 
 def test_unify_urls(spark):
@@ -359,6 +367,19 @@ def test_whole_job_written(spark, raw_zone, tmp_path):
     assert spark.read.json(paths["dataset_stats"]).where("is_total").first().normalized_rows == 7
 
 
+def test_dataset_names_stay_text(spark, tmp_path):
+    zone = tmp_path / "raw"
+    zone.mkdir()
+    for name in ("001", "002"):
+        (zone / f"{name}.csv").write_text(f"text,label\nlinha numero {name} aqui,fake\noutra linha de {name},true\n")
+    answers = spark.createDataFrame([("x", "{}")], "query string, response_json string")
+    paths = run_to(str(tmp_path / "out"), read_corpora(spark, str(zone)), answers)
+    final = spark.read.csv(paths["factchecked_csv"], header=True)
+    assert {r.dataset_name for r in final.collect()} == {"001", "002"}
+    stored = spark.read.parquet(paths["factchecked_parquet"]).collect()
+    assert [r.dataset_name for r in stored] == ["001", "001", "002", "002"]
+
+
 def test_corpus_of_plain_frames_needs_a_key(spark):
     frame = spark.createDataFrame([("b", "x y z", "1"), ("a", "u v w", "0")], "id string, text string, label string")
     merged = merge_corpora([Corpus("one", frame)], order_by=["orig_id"])
