@@ -37,6 +37,7 @@ import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimloom.llm.batches import pieces
 from claimloom.operators.skew import broadcast_if_small
 from claimloom.staging import stage
 
@@ -44,8 +45,7 @@ ROWS_PER_BAND = 6
 MISS = 1e-7
 LEADER_BLOCK, MEMBER_BLOCK = 256, 1024  # sets that meet in one tile
 WIDEST_FAMILY = 20_000  # texts beyond which rare shingles say who is compared
-_ROWS = 256
-_MAX_WORDS = 1_000_000  # entries of the word-hash memo
+_MAX_WORDS = 250_000  # entries of the word-hash memo
 
 
 def bands_for(similarity: float, rows: int = ROWS_PER_BAND, miss: float = MISS) -> int:
@@ -117,26 +117,24 @@ def signatures(docs: DataFrame, id: str, text: str, words: int, bands: int, rows
 
     def sign(batches):
         shingler = Shingler(words)
-        for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS):
-                piece = batch.slice(start, _ROWS)
-                sets = [shingler(value) for value in piece.column(1).to_pylist()]
-                full = [s for s in sets if len(s)]
-                keys = sketches(full, t).reshape(len(full), bands, rows)
-                band = np.tile(np.arange(bands, dtype=np.uint64), (len(full), 1))
-                for r in range(rows):
-                    band = _mix(band * np.uint64(0x9E3779B97F4A7C15) + keys[:, :, r])
-                digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
-                rest = iter(band.astype(np.int64).tolist())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        piece.column(0),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array(digests, pa.binary()),
-                        pa.array([next(rest) if len(s) else [] for s in sets], pa.list_(pa.int64())),
-                    ],
-                    names=["id", "n_shingles", "digest", "bands"],
-                )
+        for piece in pieces(batches):
+            sets = [shingler(value) for value in piece.column(1).to_pylist()]
+            full = [s for s in sets if len(s)]
+            keys = sketches(full, t).reshape(len(full), bands, rows)
+            band = np.tile(np.arange(bands, dtype=np.uint64), (len(full), 1))
+            for r in range(rows):
+                band = _mix(band * np.uint64(0x9E3779B97F4A7C15) + keys[:, :, r])
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+            rest = iter(band.astype(np.int64).tolist())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column(0),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array(digests, pa.binary()),
+                    pa.array([next(rest) if len(s) else [] for s in sets], pa.list_(pa.int64())),
+                ],
+                names=["id", "n_shingles", "digest", "bands"],
+            )
 
     rows_ = docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
     return rows_.mapInArrow(sign, "id bigint, n_shingles bigint, digest binary, bands array<bigint>")
@@ -147,12 +145,10 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
     def cut(batches):
         shingler = Shingler(words)
-        for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS):
-                piece = batch.slice(start, _ROWS)
-                sets = [shingler(t).view(np.int64) for t in piece.column(1).to_pylist()]
-                arrays = [piece.column(0), pa.array(sets, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["id", "shingles"])
+        for piece in pieces(batches):
+            sets = [shingler(t).view(np.int64) for t in piece.column(1).to_pylist()]
+            arrays = [piece.column(0), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["id", "shingles"])
 
     return docs.select("id", "text").mapInArrow(cut, "id bigint, shingles array<bigint>")
 

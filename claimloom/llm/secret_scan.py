@@ -29,9 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from claimloom.llm.batches import pieces
+
 MAX_EXPANDED = 1 << 26
 MASK = "[SECRET]"
-_ROWS = 256
 
 # What counts as a secret, by kind, and the length a finding needs.
 KINDS = ("assign", "access", "hex")
@@ -289,14 +290,12 @@ def _mapped(docs: DataFrame, text: str, keep: Mapping[str, Column], describe, fi
     made = [f.split() for f in fields.split(", ")]
 
     def run(batches):
-        for batch in batches:
-            for start in range(0, batch.num_rows, _ROWS):
-                piece = batch.slice(start, _ROWS)
-                rows = list(zip(*map(describe, piece.column(0).to_pylist())))
-                arrays = [pa.array(values, _TYPES[kind]) for values, (_, kind) in zip(rows, made)]
-                yield pa.RecordBatch.from_arrays(
-                    [*piece.columns[1:], *arrays], names=[*piece.schema.names[1:], *(n for n, _ in made)]
-                )
+        for piece in pieces(batches):
+            rows = list(zip(*map(describe, piece.column(0).to_pylist())))
+            arrays = [pa.array(values, _TYPES[kind]) for values, (_, kind) in zip(rows, made)]
+            yield pa.RecordBatch.from_arrays(
+                [*piece.columns[1:], *arrays], names=[*piece.schema.names[1:], *(n for n, _ in made)]
+            )
 
     rows = docs.select(F.col(text).alias("_text"), *[c.alias(name) for name, c in keep.items()])
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])

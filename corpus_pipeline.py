@@ -20,9 +20,7 @@ from claimloom.staging import stage
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     samples = language.language_samples(docs, "lang", "text")
-    kept = language.identify(docs, samples, "text", keep={f"c{i}": docs[c] for i, c in enumerate(docs.columns)})
-    kept = kept.where(~F.col("rejected"))
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return language.drop_rejected(docs, samples, "text")
 
 
 def drop_exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,10 +32,9 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keep = {f"c{i}": docs[c] for i, c in enumerate(docs.columns)}
+    keep = {f"c{i}": docs[c] for i, c in enumerate(docs.columns) if c != "text"}
     masked = secret_scan.mask_secrets(docs, "text", keep)
-    columns = {c: F.col(f"c{i}") for i, c in enumerate(docs.columns)}
-    columns["text"] = F.col("masked")
+    columns = {c: F.col("masked" if c == "text" else f"c{i}") for i, c in enumerate(docs.columns)}
     if "n_chars" in columns:
         columns["n_chars"] = F.when(F.col("n_secrets") > 0, F.length("masked")).otherwise(columns["n_chars"])
     return masked.select(*[column.alias(c) for c, column in columns.items()])
