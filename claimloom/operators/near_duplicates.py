@@ -1,15 +1,15 @@
-"""Near-duplicate texts: MinHash bands, shared buckets, candidate lists.
-
-Two rows are near-duplicate candidates when they share a band bucket; a row
-is a candidate of itself. Nothing here ever pairs up a whole large bucket:
-
-* exact copies are collapsed first, so a text occurring a billion times is
-  hashed once;
-* a bucket of up to ``list_limit`` rows is listed out, row by row;
-* a larger bucket stays what it is, a group: its rows carry the group's id
-  in ``near_duplicate_groups``. Rows that share a group id are candidates of
-  each other. Nothing is dropped, and the result grows with the rows, not
-  with their square.
+"""Near-duplicate texts: MinHash bands and the groups they form.
+
+Two rows are near-duplicate candidates when their texts share a band bucket.
+The answer has one form, whatever the sizes, and grows with the rows:
+
+* exact copies are one text, named by its least key (``text_id``), so a text
+  occurring a billion times is hashed once;
+* a bucket of several texts is a group, named by its band and its least text,
+  as ``3:17`` (a text has one bucket in each band, so the name is unique);
+* every row carries its text and its text's groups, one per band at most. Rows
+  of the same text, or with a group in common, are candidates of each other,
+  and there are no others.
 """
 
 from __future__ import annotations
@@ -30,7 +30,6 @@ class NearDuplicateSettings:
     ngram: int = 5
     seed: int = 3
     num_perm: int = 128
-    list_limit: int = 100
     rows_per_task: int = ROWS_PER_TASK
 
 
@@ -64,116 +63,68 @@ def band_buckets(texts: DataFrame, settings: NearDuplicateSettings = DEFAULTS) -
     return texts.select("digest", "text_id", "copies", digests.alias("buckets")).checkpoint()
 
 
-def shared_buckets(banded: DataFrame, settings: NearDuplicateSettings = DEFAULTS) -> DataFrame:
-    """(bucket, text_id, n_rows) for every bucket that holds two or more texts."""
-    members = banded.select("text_id", "copies", F.explode("buckets").alias("bucket"))
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("n_texts"), F.sum("copies").alias("n_rows"))
-    return salted_left_join(
-        members.drop("copies"),
-        sizes.where(F.col("n_texts") > 1).drop("n_texts"),
+def text_groups(banded: DataFrame, settings: NearDuplicateSettings = DEFAULTS) -> DataFrame:
+    """(text_id, band, least): the groups of every text, ``least`` being the group's least text id."""
+    members = banded.select("text_id", F.posexplode("buckets").alias("band", "bucket"))
+    groups = members.groupBy("bucket").agg(F.count("*").alias("n_texts"), F.min("text_id").alias("least"))
+    shared = salted_left_join(
+        members,
+        groups.where(F.col("n_texts") > 1).select("bucket", "least"),
         "bucket",
         row_id="text_id",
         how="inner",
-        hot=hot_keys(sizes, "bucket", rows_per_task=settings.rows_per_task, weight="n_texts"),
+        hot=hot_keys(groups, "bucket", rows_per_task=settings.rows_per_task, weight="n_texts"),
     )
+    return shared.select("text_id", "band", "least")
 
 
 def near_duplicate_pairs(
     df: DataFrame, key: str, text: str, settings: NearDuplicateSettings = DEFAULTS
 ) -> DataFrame:
-    """Candidate pairs of distinct texts: (id_a, id_b, bucket) with id_a < id_b.
+    """(id_a, id_b, band) with id_a < id_b: every group as a star around its least text.
 
-    Buckets of more than ``list_limit`` rows are not paired up: each of their
-    texts gives one row (id_a, null, bucket), and texts of the same bucket
-    are candidates of each other.
+    Texts with the same (id_a, band), and id_a itself, are candidates of each
+    other: at most one row per text and band tells them all.
     """
-    banded = band_buckets(distinct_texts(df, key, text), settings)
-    shared = shared_buckets(banded, settings)
-    small = F.col("n_rows") <= settings.list_limit
-    members = shared.where(small).groupBy("bucket").agg(F.array_sort(F.collect_list("text_id")).alias("ids"))
-    # Near copies share many buckets with the same members: one of them is enough.
-    pairs = (
-        members.select("ids")
-        .distinct()
-        .select(F.explode("ids").alias("id_a"), "ids")
-        .select("id_a", F.explode(F.filter("ids", lambda other: other > F.col("id_a"))).alias("id_b"))
-        .distinct()
-        .withColumn("bucket", F.lit(None).cast("string"))
-    )
-    grouped = shared.where(~small).select(
-        F.col("text_id").alias("id_a"),
-        F.lit(None).cast(pairs.schema["id_b"].dataType).alias("id_b"),
-        F.lower(F.hex("bucket")).alias("bucket"),
+    groups = text_groups(band_buckets(distinct_texts(df, key, text), settings), settings)
+    return groups.where(F.col("least") < F.col("text_id")).select(
+        F.col("least").alias("id_a"), F.col("text_id").alias("id_b"), "band"
     )
-    return pairs.unionByName(grouped)
 
 
 def find_near_duplicates(
     df: DataFrame, key: str, text: str, settings: NearDuplicateSettings = DEFAULTS
 ) -> DataFrame:
-    """(key, near_duplicates, near_duplicate_groups), one row per row of ``df``.
+    """(key, text_id, near_duplicate_groups), one row per row of ``df``.
 
-    ``near_duplicates`` holds sorted keys, the row's own included;
-    ``near_duplicate_groups`` the ids of the groups too large to be listed.
+    ``text_id`` is the least key of the rows with the same text, and
+    ``near_duplicate_groups`` the sorted names of the text's groups; empty
+    where no other text is like it.
     """
-    limit = settings.list_limit
     banded = band_buckets(distinct_texts(df, key, text), settings)
-    shared = shared_buckets(banded, settings)
-    small_text = F.col("copies") <= limit
-
-    # Which text each row holds: narrow rows, hot texts salted by row key.
+    name = F.concat_ws(":", "band", "least")
+    named = (
+        text_groups(banded, settings)
+        .groupBy("text_id")
+        .agg(F.array_sort(F.collect_list(name)).alias("near_duplicate_groups"))
+    )
+    found = banded.select("digest", "text_id").join(named, "text_id", "left")
     digest = text_digest(F.coalesce(F.col(text), F.lit("")))
-    rows = salted_left_join(
+    answers = salted_left_join(
         df.select(F.col(key).alias("_key"), digest.alias("digest")),
-        banded.select("digest", "text_id", "copies"),
+        found,
         "digest",
         row_id="_key",
         hot=hot_keys(banded, "digest", rows_per_task=settings.rows_per_task, weight="copies"),
-    ).select("_key", "text_id", "copies")
-
-    # Lists of row keys: of each text's copies, of each small bucket, of each text.
-    copies = rows.where(small_text).groupBy("text_id").agg(F.collect_list("_key").alias("keys"))
-    buckets = (
-        shared.where(F.col("n_rows") <= limit)
-        .join(copies, "text_id")
-        .groupBy("bucket")
-        .agg(
-            F.array_sort(F.collect_list("text_id")).alias("ids"),
-            F.array_sort(F.flatten(F.collect_list("keys"))).alias("keys"),
-        )
-    )
-    # Near copies share many buckets with the same members: one of them is enough.
-    member_lists = buckets.select("ids", "keys").distinct().select(F.explode("ids").alias("text_id"), "keys")
-    lists = (
-        member_lists.unionByName(copies)
-        .groupBy("text_id")
-        .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("keys")))).alias("near_duplicates"))
-    )
-    groups = (
-        shared.where(F.col("n_rows") > limit)
-        .select("text_id", F.lower(F.hex("bucket")).alias("group"))
-        .unionByName(
-            banded.where(~small_text).select("text_id", F.col("digest").alias("group"))
-        )
-        .groupBy("text_id")
-        .agg(F.array_sort(F.collect_list("group")).alias("near_duplicate_groups"))
-    )
-    found = lists.join(groups, "text_id", "full").select("text_id", "near_duplicates", "near_duplicate_groups")
-    answers = salted_left_join(
-        rows, found, "text_id", row_id="_key",
-        hot=hot_keys(banded, "text_id", rows_per_task=settings.rows_per_task, weight="copies"),
     )
+    none = F.array().cast("array<string>")
     return answers.select(
-        F.col("_key").alias(key),
-        *[
-            F.coalesce(name, F.array().cast(answers.schema[name].dataType)).alias(name)
-            for name in ("near_duplicates", "near_duplicate_groups")
-        ],
+        F.col("_key").alias(key), "text_id", F.coalesce("near_duplicate_groups", none).alias("near_duplicate_groups")
     )
 
 
 def with_near_duplicates(
     df: DataFrame, key: str, text: str, settings: NearDuplicateSettings = DEFAULTS
 ) -> DataFrame:
-    """``df`` with the two list columns added."""
+    """``df`` with the two columns added."""
     return df.join(find_near_duplicates(df, key, text, settings), key, "left")

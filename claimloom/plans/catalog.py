@@ -341,11 +341,7 @@ def near_duplicate_pairs_query(spark, folder):
 def near_duplicate_lists(spark, folder):
     documents = plain(spark, folder, "documents").select("doc_id", "text")
     found = find_near_duplicates(documents, "doc_id", "text")
-    return found.select(
-        "doc_id",
-        F.array_join(F.transform("near_duplicates", lambda k: k.cast("string")), " ").alias("near_duplicates"),
-        F.array_join("near_duplicate_groups", " ").alias("near_duplicate_groups"),
-    )
+    return found.withColumn("near_duplicate_groups", F.array_join("near_duplicate_groups", " "))
 
 
 # --- whole job and files ----------------------------------------------------
@@ -355,9 +351,7 @@ def whole_run(spark, folder):
     result = run(
         inputs.corpora(spark, folder), inputs.responses(spark, folder), NearDuplicateSettings()
     )
-    final = result.final.withColumn(
-        "near_duplicates", F.array_join(F.transform("near_duplicates", lambda k: k.cast("string")), " ")
-    ).withColumn("near_duplicate_groups", F.array_join("near_duplicate_groups", " "))
+    final = result.final.withColumn("near_duplicate_groups", F.array_join("near_duplicate_groups", " "))
     return _listed_as_text(final)
 
 

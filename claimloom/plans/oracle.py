@@ -220,16 +220,18 @@ numbers AS (
   SELECT s, CAST(CAST('0x' || x[7:8] || x[5:6] || x[3:4] || x[1:2] AS UBIGINT) AS HUGEINT) AS hv FROM vocabulary),
 hashes AS (SELECT s, {hashed} FROM numbers),
 signatures AS (SELECT rep, {minima} FROM shingles JOIN hashes USING (s) GROUP BY rep),
-bands AS (SELECT rep, unnest([{band}]) AS bucket FROM signatures),
-reps AS (
-  SELECT DISTINCT x.rep AS a, y.rep AS b FROM bands x JOIN bands y ON x.bucket = y.bucket),
-copies AS (SELECT id, rep FROM {source} JOIN distinct_body USING (body)),
-pair AS (
-  SELECT x.id AS a, y.id AS b FROM reps
-  JOIN copies x ON x.rep = reps.a JOIN copies y ON y.rep = reps.b)"""
+bands AS (SELECT rep, unnest([{band}]) AS bucket, unnest(range({bands})) AS band FROM signatures),
+groups AS (
+  SELECT rep, band, min(rep) OVER g AS least FROM bands
+  WINDOW g AS (PARTITION BY bucket) QUALIFY count(*) OVER g > 1)"""
 
 
-_LISTS = "lists AS (SELECT a, string_agg(CAST(b AS VARCHAR), ' ' ORDER BY b) AS near_duplicates FROM pair GROUP BY a)"
+_MEMBERS = """named AS (
+  SELECT rep, string_agg(name, ' ' ORDER BY name) AS names
+  FROM (SELECT rep, band || ':' || least AS name FROM groups) GROUP BY rep),
+members AS (
+  SELECT id, rep AS text_id, coalesce(names, '') AS near_duplicate_groups
+  FROM src JOIN distinct_body USING (body) LEFT JOIN named USING (rep))"""
 
 _WITH_URLS = """
 linked AS (
@@ -333,13 +335,13 @@ def oracle_sql() -> dict[str, str]:
             FROM texts LEFT JOIN answers ON query = substr(text, 1, 512) ORDER BY uid""",
         "unify_urls": f"""WITH {_CHECKED}
             SELECT text, coalesce(url_review, url_claim) AS url_review, uid AS row_key FROM texts""",
-        "near_duplicates": f"""WITH src AS (SELECT doc_id AS id, text AS body FROM documents), {_near("src")}
-            SELECT a AS id_a, b AS id_b, {NULL_TEXT} AS bucket FROM reps WHERE a < b""",
-        "near_dup_lists": f"""WITH src AS (SELECT doc_id AS id, text AS body FROM documents), {_near("src")}, {_LISTS}
-            SELECT a AS doc_id, near_duplicates, '' AS near_duplicate_groups FROM lists""",
-        "whole_run": f"""WITH {_FLAGGED}, src AS (SELECT uid AS id, text_clean AS body FROM good), {_near("src")}, {_LISTS},
+        "near_duplicates": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS body FROM documents), {_near("src")}
+            SELECT least AS id_a, rep AS id_b, CAST(band AS INTEGER) AS band FROM groups WHERE least < rep""",
+        "near_dup_lists": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS body FROM documents), {_near("src")}, {_MEMBERS}
+            SELECT id AS doc_id, text_id, near_duplicate_groups FROM members""",
+        "whole_run": f"""WITH {_FLAGGED}, src AS (SELECT uid AS id, text_clean AS body FROM good), {_near("src")}, {_MEMBERS},
             {_REVIEWS}, final AS (SELECT {_CLEAN_COLUMNS}, uid AS k FROM good)
             SELECT f.* EXCLUDE (k, uid, url_claim) REPLACE (coalesce(url_review, url_claim) AS url_review),
-                   near_duplicates, '' AS near_duplicate_groups, factcheck_rating, factcheck_claimant, factcheck_url
-            FROM final f JOIN lists ON a = k LEFT JOIN answers ON query = substr(text, 1, 512)""",
+                   text_id, near_duplicate_groups, factcheck_rating, factcheck_claimant, factcheck_url
+            FROM final f JOIN members ON id = k LEFT JOIN answers ON query = substr(text, 1, 512)""",
     }

@@ -60,29 +60,36 @@ def texts():
     [
         NearDuplicateSettings(),
         NearDuplicateSettings(threshold=0.85, ngram=3, num_perm=64),
-        NearDuplicateSettings(list_limit=3, rows_per_task=1),
-        NearDuplicateSettings(threshold=0.5, list_limit=1, rows_per_task=1),
+        NearDuplicateSettings(threshold=0.5, rows_per_task=1),
     ],
-    ids=["default", "other-banding", "small-lists", "groups-only"],
+    ids=["default", "other-banding", "wide-and-salted"],
 )
-def test_lists_and_groups_hold_exactly_the_candidates(spark, texts, settings):
+def test_texts_and_groups_hold_exactly_the_candidates(spark, texts, settings):
     df = spark.createDataFrame(texts, "id long, t string")
     want = candidates(texts, settings)
     got = with_near_duplicates(df, "id", "t", settings).collect()
     assert len(got) == len(texts)
-    members = {}
+    least, members = {}, {}
+    for key, t in texts:
+        least.setdefault(t or "", key)
     for row in got:
-        for group in row.near_duplicate_groups:
+        assert row.text_id == least[row.t or ""]
+        assert row.near_duplicate_groups == sorted(set(row.near_duplicate_groups))
+        for group in (row.text_id, *row.near_duplicate_groups):
             members.setdefault(group, set()).add(row.id)
     for row in got:
-        together = set(row.near_duplicates).union(*[members[g] for g in row.near_duplicate_groups])
+        together = members[row.text_id].union(*[members[g] for g in row.near_duplicate_groups])
         assert sorted(together) == want[row.id]
-        assert row.near_duplicates == sorted(set(row.near_duplicates))
-    if settings.list_limit == 100:
-        assert not members
-    else:
-        # A list holds the row's copies and its small buckets, never a large one.
-        assert all(len(g) > settings.list_limit for g in members.values())
+        for group in row.near_duplicate_groups:  # a group is named by its least text
+            assert int(group.split(":")[1]) == min(members[group])
+
+
+def told_pairs(rows):
+    """The pairs of texts that star edges (least text, other text, band) stand for."""
+    stars = {}
+    for r in rows:
+        stars.setdefault((r.id_a, r.band), {r.id_a}).add(r.id_b)
+    return {(a, b) for ids in stars.values() for a in ids for b in ids if a < b}
 
 
 def test_pairs_are_the_candidates_of_distinct_texts(spark, texts):
@@ -93,30 +100,38 @@ def test_pairs_are_the_candidates_of_distinct_texts(spark, texts):
     distinct = [(key, t) for t, key in first.items()]
     want = {(a, b) for a, others in candidates(distinct, settings).items() for b in others if a < b}
     df = spark.createDataFrame(texts, "id long, t string")
-    got = [(r.id_a, r.id_b) for r in near_duplicate_pairs(df, "id", "t", settings).collect()]
-    assert len(got) == len(set(got)) and set(got) == want
-    # Small lists: the rest is told by shared buckets.
-    small = near_duplicate_pairs(df, "id", "t", NearDuplicateSettings(list_limit=3)).collect()
-    buckets = {}
-    for r in small:
-        if r.bucket:
-            buckets.setdefault(r.bucket, set()).add(r.id_a)
-    told = {(a, b) for ids in buckets.values() for a in ids for b in ids if a < b}
-    assert buckets and told | {(r.id_a, r.id_b) for r in small if not r.bucket} == want
+    got = near_duplicate_pairs(df, "id", "t", settings).collect()
+    assert len(got) == len({tuple(r) for r in got}) and told_pairs(got) == want
+
+
+def test_hundreds_of_copies_and_near_copies(spark):
+    """The form of the answer is the same for any number of rows, and linear in them."""
+    base = " ".join(f"palavra{i} do texto comum" for i in range(60))
+    texts = [(i, base if i < 300 else f"{base} {i}") for i in range(600)] + [(600, "outra coisa"), (601, None)]
+    df = spark.createDataFrame(texts, "id long, t string")
+    settings = NearDuplicateSettings(rows_per_task=50)
+    got = {r.id: r for r in with_near_duplicates(df, "id", "t", settings).collect()}
+    want = candidates(texts, settings)
+    assert {i for i, r in got.items() if r.text_id == 0} == set(range(300))
+    assert len({tuple(got[i].near_duplicate_groups) for i in range(300)}) == 1
+    groups = {i: set(r.near_duplicate_groups) for i, r in got.items()}
+    for i in (0, 299, 300, 599, 600, 601):
+        like = [j for j in got if got[j].text_id == got[i].text_id or groups[i] & groups[j]]
+        assert sorted(like) == want[i]
+    assert got[600].near_duplicate_groups == got[601].near_duplicate_groups == []
+    edges = near_duplicate_pairs(df, "id", "t", settings)
+    assert 0 < edges.count() <= 14 * 301
 
 
 def test_a_third_of_the_rows_is_one_text(spark):
-    settings = NearDuplicateSettings(list_limit=10, rows_per_task=20)
+    settings = NearDuplicateSettings(rows_per_task=20)
     df = spark.range(300).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit("o mesmo texto de sempre")).otherwise(
             F.sha2(F.col("id").cast("string"), 256)).alias("t"),
     )
     got = with_near_duplicates(df, "id", "t", settings).collect()
-    hot = [r for r in got if r.id % 3 == 0]
     assert len(got) == 300
-    assert {tuple(r.near_duplicate_groups) for r in hot} == {(hot[0].near_duplicate_groups[0],)}
-    assert all(r.near_duplicates == [] for r in hot)
-    assert all(r.id in r.near_duplicates for r in got if r.id % 3)
+    assert all(r.text_id == (r.id if r.id % 3 else 0) and r.near_duplicate_groups == [] for r in got)
 
 
 def test_true_near_copies_are_found(spark):
@@ -132,7 +147,7 @@ def test_true_near_copies_are_found(spark):
         for b, y in rows[i + 1 :]
         if 0.9 <= len(x & y) / len(x | y)
     }
-    found = {(r.id_a, r.id_b) for r in near_duplicate_pairs(documents, "doc_id", "text").collect()}
+    found = told_pairs(near_duplicate_pairs(documents, "doc_id", "text").collect())
     assert close and len(close & found) >= 0.95 * len(close)
 
 

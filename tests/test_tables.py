@@ -361,7 +361,7 @@ def test_whole_job_written(spark, raw_zone, tmp_path):
         'linha um linha "dois" tres', "um dois tres", "um dois tres quatro",
     ]
     assert final.count() == clean.count()
-    assert {"near_duplicates", "factcheck_rating"} <= set(final.columns) and "uid" not in final.columns
+    assert {"near_duplicate_groups", "factcheck_rating"} <= set(final.columns) and "uid" not in final.columns
     again = spark.read.csv(paths["clean_csv"], header=True, multiLine=True, quote='"', escape='"')
     assert again.count() == 3 and set(again.columns) == set(clean.columns)
     assert spark.read.json(paths["dataset_stats"]).where("is_total").first().normalized_rows == 7
