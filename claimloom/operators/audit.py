@@ -29,12 +29,14 @@ def dataset_stats(normalized: DataFrame) -> DataFrame:
 
 def url_audit(mapped: DataFrame, cleaned: DataFrame) -> DataFrame:
     """Claim URLs per dataset before and after the plausibility check."""
-    before = mapped.groupBy("dataset_name").agg(F.count("url_claim").alias("urls_before"))
-    after = cleaned.groupBy("dataset_name").agg(
-        F.count("url_claim").alias("urls_after"),
-        (F.count("url_review") == 0).alias("no_review_url"),
+    none = F.lit(None).cast("string")
+    before = mapped.select("dataset_name", F.col("url_claim").alias("before"), none.alias("after"), none.alias("review"))
+    after = cleaned.select("dataset_name", none, F.col("url_claim"), F.col("url_review"))
+    return before.union(after).groupBy("dataset_name").agg(
+        F.count("before").alias("urls_before"),
+        F.count("after").alias("urls_after"),
+        (F.count("review") == 0).alias("no_review_url"),
     )
-    return before.join(after, "dataset_name")
 
 
 def stage_audit(normalized: DataFrame, clean: DataFrame, n_files: int) -> DataFrame:

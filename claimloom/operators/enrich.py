@@ -9,9 +9,9 @@ from claimloom.functions.text import has_text, query_text, text_digest
 from claimloom.operators.skew import ROWS_PER_TASK, salted_left_join
 
 
-def lookup_key(text: Column, max_query_chars: int) -> Column:
-    """Digest of the query text; null for texts that are not looked up."""
-    return F.when(has_text(text), text_digest(query_text(text, max_query_chars)))
+def lookup_key(text: Column, max_query_chars: int | None = None) -> Column:
+    """Digest of the text, or of its first ``max_query_chars``; null for texts that are not looked up."""
+    return F.when(has_text(text), text_digest(text if max_query_chars is None else query_text(text, max_query_chars)))
 
 
 def parsed_reviews(responses: DataFrame) -> DataFrame:
@@ -27,13 +27,14 @@ def enrich_with_reviews(
     responses: DataFrame,
     key: str = "uid",
     text: str = "text",
-    max_query_chars: int = 512,
+    max_query_chars: int | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join with ``responses(query, response_json)``: every row is kept once.
 
     Blank texts get a key of their own, so that they neither match nor meet
-    in one task; texts repeated very often are salted.
+    in one task; texts repeated very often are salted. The whole text is the
+    key, unless ``max_query_chars`` names the prefix that the queries were cut to.
     """
     own = F.concat(F.lit("none:"), F.col(key).cast("string"))
     keyed = df.withColumn("_query", F.coalesce(lookup_key(F.col(text), max_query_chars), own))

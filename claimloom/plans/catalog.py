@@ -33,7 +33,7 @@ from claimloom.operators.numbering import with_row_ids
 from claimloom.plans import inputs
 from claimloom.plans.corpus import clean_corpus, flag_corpus, merge_corpora, preview, run, survivors
 from claimloom.plans.inputs import plain, table
-from claimloom.sources.scan import POSITION, dataset_name_column, spread_small_input
+from claimloom.sources.scan import POSITION, dataset_name_column, share_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 TABLES = (
@@ -310,7 +310,7 @@ def url_audit(spark, folder):
 def stage_audit(spark, folder):
     corpora = inputs.corpora(spark, folder)
     normalized = union_corpora(corpora)
-    with_text = spread_small_input(normalized.where(F.col("text").isNotNull()), "uid")
+    with_text = share_out(normalized.where(F.col("text").isNotNull()), "uid")
     return audit.stage_audit(normalized, survivors(with_text), len(corpora))
 
 

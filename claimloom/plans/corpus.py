@@ -22,8 +22,8 @@ from claimloom.operators.mapping import CLEAN_ORDER, reorder, unify_urls
 from claimloom.operators.merge import TWEET_DATASETS, drop_null_texts, union_corpora
 from claimloom.operators.near_duplicates import NearDuplicateSettings, find_near_duplicates, with_near_duplicates
 from claimloom.session import ensure_checkpoint_dir
-from claimloom.sources.scan import Corpus, spread_small_input
-from claimloom.sources.sinks import as_text_columns, write_csv, write_dataset_stats, write_parquet
+from claimloom.sources.scan import Corpus, share_out
+from claimloom.sources.sinks import as_text_columns, write_csv, write_dataset_stats, write_manifest, write_parquet
 
 
 def merge_corpora(
@@ -41,7 +41,7 @@ def _cleaned(df: DataFrame, min_tokens: int) -> DataFrame:
 
 def flag_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
     """Labelled rows with cleaned text and all three quality flags, none dropped."""
-    labelled = keep_labelled(spread_small_input(df, key))
+    labelled = keep_labelled(share_out(df, key))
     first = first_copies(with_clean_text(labelled), key, "text_clean", "dataset_name")
     return _cleaned(mark_duplicates(labelled, first, key), min_tokens)
 
@@ -67,7 +67,7 @@ def clean_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFr
     carries the text and its clean form; the form in between is cut again
     from the URLs found, which is cheap.
     """
-    good = _long_enough(spread_small_input(df, key), min_tokens).drop("text_no_url")
+    good = _long_enough(share_out(df, key), min_tokens).drop("text_no_url")
     clean = keep_first_copies(good, key, "text_clean", "dataset_name").withColumns(
         {
             "text_no_url": drop_urls(F.col("text"), F.col("extracted_urls")),
@@ -126,7 +126,7 @@ def run_to(
     order_by: Sequence[str] | None = None,
     csv: bool = True,
 ) -> dict[str, str]:
-    """The whole job with every stage written below ``out_dir``; path by table.
+    """The whole job with every stage written below ``out_dir``, and a manifest; path by table.
 
     Each stage reads the table written before it, so a lost executor never
     costs more than the current stage.
@@ -156,6 +156,8 @@ def run_to(
     if responses is not None:
         # the key is dropped here, so the rows are put in its order first
         written("factchecked", unify_urls(enrich_with_reviews(final, responses).orderBy("uid")))
+    paths["manifest"] = f"{base}/manifest.json"
+    write_manifest(clean.sparkSession, base, paths["manifest"])
     return paths
 
 

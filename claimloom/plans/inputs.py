@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from claimloom.sources.scan import POSITION, Corpus, read_parquet, spread_small_input
+from claimloom.sources.scan import POSITION, Corpus, read_parquet, share_out
 
 # Raw spellings, chosen by id; they cover every branch of both label maps.
 LABEL_SPELLINGS = (
@@ -15,7 +15,7 @@ LABEL_SPELLINGS = (
 ROLE_VERDICTS = {"user": "Verdadeiro", "assistant": " FALSO", "system": "misleading"}
 
 
-# Tables of long texts and their keys: worth sharing out when they are one file.
+# Tables of long texts and their keys: worth sharing out where the session asks for it.
 _TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
 
 
@@ -26,7 +26,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def plain(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread_small_input(df, *_TEXT_KEYS[name]) if name in _TEXT_KEYS else df
+    return share_out(df, *_TEXT_KEYS[name]) if name in _TEXT_KEYS else df
 
 
 def pick(spellings: tuple[str, ...], key: Column) -> Column:
@@ -115,7 +115,7 @@ def responses(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.when(item % 8 == 3, '{"claims":[]}').otherwise("not json"))
     )
     return plain(spark, folder, "benchmark").select(
-        F.substring("text", 1, 512).alias("query"), response.alias("response_json")
+        F.col("text").alias("query"), response.alias("response_json")
     )
 
 

@@ -178,7 +178,7 @@ texts AS (
   UNION ALL SELECT doc_id + 3000000000, CASE WHEN toxic = 1 THEN '  ' END, NULL, NULL FROM labels)"""
 _REVIEWS = """
 answers AS (
-  SELECT substr(text, 1, 512) AS query, item_id,
+  SELECT text AS query, item_id,
          CASE WHEN item_id % 4 <= 1 THEN CASE WHEN item_id % 3 = 0 THEN 'False' ELSE 'Misleading' END
               WHEN item_id % 4 = 2 THEN '' END AS factcheck_rating,
          CASE WHEN item_id % 4 <= 2 THEN 'agency ' || item_id END AS factcheck_claimant,
@@ -332,7 +332,7 @@ def oracle_sql() -> dict[str, str]:
         "preview": f"WITH {_NORMALIZED} SELECT uid, dataset_name, label, text FROM merged ORDER BY uid LIMIT 5",
         "review_enrich": f"""WITH {_CHECKED}, {_REVIEWS}
             SELECT uid, text, url_claim, url_review, factcheck_rating, factcheck_claimant, factcheck_url
-            FROM texts LEFT JOIN answers ON query = substr(text, 1, 512) ORDER BY uid""",
+            FROM texts LEFT JOIN answers ON query = text ORDER BY uid""",
         "unify_urls": f"""WITH {_CHECKED}
             SELECT text, coalesce(url_review, url_claim) AS url_review, uid AS row_key FROM texts""",
         "near_duplicates": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS body FROM documents), {_near("src")}
@@ -343,5 +343,5 @@ def oracle_sql() -> dict[str, str]:
             {_REVIEWS}, final AS (SELECT {_CLEAN_COLUMNS}, uid AS k FROM good)
             SELECT f.* EXCLUDE (k, uid, url_claim) REPLACE (coalesce(url_review, url_claim) AS url_review),
                    text_id, near_duplicate_groups, factcheck_rating, factcheck_claimant, factcheck_url
-            FROM final f JOIN members ON id = k LEFT JOIN answers ON query = substr(text, 1, 512)""",
+            FROM final f JOIN members ON id = k LEFT JOIN answers ON query = text""",
     }

@@ -19,6 +19,7 @@ def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.claimloom.partitions", str(os.cpu_count() if cores == "*" else cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

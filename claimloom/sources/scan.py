@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import warnings
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -20,8 +19,8 @@ NA_LITERALS = (
 # Fixed value: a landed file below this many bytes is not valid.
 MIN_FILE_BYTES = 1024
 POSITION = "_position"
-# A scan gives a task to about every 128 MB.
-SPLIT_BYTES = 128 * 1024 * 1024
+# Session setting: tasks to deal text tables over before cleaning.
+PARTITIONS = "spark.claimloom.partitions"
 
 
 @dataclass(frozen=True)
@@ -62,15 +61,6 @@ def list_raw_files(spark: SparkSession, folder: str) -> list[str]:
     return [row.path for row in datasets.orderBy("path").toLocalIterator()]
 
 
-def files_directly_in(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of the files in ``folder`` itself, not in folders below it."""
-    place = re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", folder.rstrip("/"))
-    parent = F.regexp_extract("path", r"^(?:[a-zA-Z][\w+.-]*:(?://[^/]*(?=/))?)?(.*)/[^/]+$", 1)
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path")
-    inside = parent == place if place.startswith("/") else parent.endswith(f"/{place}")
-    return [row.path for row in files.where(inside).orderBy("path").toLocalIterator()]
-
-
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header, all columns strings, NA literals as nulls.
 
@@ -96,24 +86,20 @@ def _position(row: Column) -> Column:
     return F.struct(F.col("_metadata.file_path").alias("file"), row.alias("row")).alias(POSITION)
 
 
-def spread_small_input(df: DataFrame, *keys: str) -> DataFrame:
-    """Share out a file table too small to give every core a task.
+def share_out(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by key over ``spark.claimloom.partitions`` tasks, as it lies where that is unset.
 
-    One file may well be one task, and cleaning text is CPU work. Only file
-    sizes are looked at; tables of many or large files stay as they lie.
+    One file may well be one task, and cleaning text is CPU work: a session
+    on a few large-grained files sets it, one on many files does not.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not 0 < len(files) < cores:
-        return df
-    listing = spark.read.format("binaryFile").load(files)
-    size = listing.agg(F.sum("length")).first()[0] or 0
-    return df.repartition(cores, *keys) if size < cores * SPLIT_BYTES else df
+    wanted = df.sparkSession.conf.get(PARTITIONS, None)
+    return df if wanted is None else df.repartition(int(wanted), *keys)
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return read_parquet(spark, path) if path.lower().rstrip("/").endswith(".parquet") else read_csv(spark, path)
+def read_raw(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    if path.lower().rstrip("/").endswith(".parquet"):
+        return read_parquet(spark, path)
+    return read_csv(spark, path, multi_line)
 
 
 def read_corpora(
@@ -121,12 +107,14 @@ def read_corpora(
     folder: str,
     descriptions: dict[str, tuple[str, str]] | None = None,
     skip_unreadable: bool = False,
+    multi_line: bool = True,
 ) -> list[Corpus]:
     """One lazily read corpus per raw dataset; schemas may all differ.
 
     ``descriptions`` maps a dataset name to (source type, description). A
     dataset whose schema cannot be read is an error; with ``skip_unreadable``
-    it is left out with a warning.
+    it is left out with a warning. ``multi_line=False`` splits CSV files, whose
+    rows are then numbered by a key (``order_by``).
     """
     known = descriptions or {}
     corpora = []
@@ -134,7 +122,7 @@ def read_corpora(
         name = dataset_name(path)
         source_type, description = known.get(name, ("news", None))
         try:
-            frame = read_raw(spark, path)
+            frame = read_raw(spark, path, multi_line)
         except (PySparkException, Py4JJavaError) as error:
             if not skip_unreadable:
                 raise

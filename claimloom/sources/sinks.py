@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+import re
 
-from claimloom.sources.scan import files_directly_in
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Columns that are text in every written table.
 TEXT_COLUMNS = (
@@ -33,20 +33,20 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """Name, sha256 and size of every file directly in ``folder``, by name.
+    """Name, sha256 and size of every file below ``folder``, by name.
 
-    Only those files are opened. Each is hashed whole by one task, so keep
-    part files below 2 GB.
+    Names are paths relative to ``folder``. Markers and checksums (names that
+    begin with ``_`` or ``.``) and the manifest itself are left out. Each file
+    is hashed whole by one task; one beyond 2 GB is an error, never skipped.
     """
-    paths = [p for p in files_directly_in(spark, folder) if not p.endswith("/manifest.json")]
-    if not paths:
-        return spark.createDataFrame([], "name string, sha256 string, bytes long")
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
-        F.sha2("content", 256).alias("sha256"),
-        F.col("length").alias("bytes"),
-    ).orderBy("name")
+    place = re.sub(r"^[a-zA-Z][\w+.-]*:(//[^/]*)?", "", folder.rstrip("/"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    name = F.regexp_extract("path", rf"^(?:[a-zA-Z][\w+.-]*:(?://[^/]*(?=/))?)?.*?\Q{place}\E/(.*)$", 1)
+    return (
+        files.select(name.alias("name"), F.sha2("content", 256).alias("sha256"), F.col("length").alias("bytes"))
+        .where(~F.col("name").rlike(r"^manifest\.json(/|$)"))
+        .orderBy("name")
+    )
 
 
 def write_manifest(spark: SparkSession, folder: str, target: str) -> None:

@@ -267,8 +267,10 @@ def test_lookup_keeps_every_row_once(spark):
         "query string, response_json string",
     )
     want = ["R1", None, None, None, "R1", "R2", None, None, "R1"]
+    whole = enrich_with_reviews(base, answers).where("uid = 5").first()
+    assert whole.factcheck_rating is None  # another text, though its first 512 characters are the query
     for table in (answers, answers.unionByName(answers)):
-        got = enrich_with_reviews(base, table, rows_per_task=1).orderBy("uid").collect()
+        got = enrich_with_reviews(base, table, rows_per_task=1, max_query_chars=512).orderBy("uid").collect()
         assert [r.factcheck_rating for r in got] == want
         assert [r.factcheck_url for r in got] == [None if w is None else "" for w in want]
 
@@ -304,7 +306,7 @@ def test_audits(spark):
     stages = {r.stage: r.n_rows for r in audit.stage_audit(df, df.limit(1), 2).collect()}
     assert stages == {"files_scanned": 2, "normalized": 3, "null_text_removed": 1, "merged": 2, "labelled": 2, "clean": 1}
     urls = audit.url_audit(df, df.withColumn("url_claim", F.lit(None).cast("string"))).collect()
-    assert [tuple(r) for r in urls] == [("a", 1, 0, True)]
+    assert sorted(map(tuple, urls), key=repr) == [("a", 1, 0, True), (None, 0, 0, True)]
 
 
 def test_preview(spark):
@@ -321,25 +323,25 @@ def test_manifest_and_landed_files(spark, tmp_path):
     assert got == [
         ("a.bin", hashlib.sha256(b"y").hexdigest(), 1),
         ("b.bin", hashlib.sha256(b"x" * 2000).hexdigest(), 2000),
+        ("sub/c.bin", hashlib.sha256(b"z" * 3000).hexdigest(), 3000),
     ]
     assert rows(scan.landed_files(spark, str(tmp_path)), "name", "bytes") == [("b.bin", 2000), ("c.bin", 3000)]
     assert rows(scan.landed_files(spark, str(tmp_path), ["c.bin"]), "name") == [("c.bin",)]
 
 
-def test_only_small_file_tables_are_spread(spark, tmp_path, monkeypatch):
-    cores = spark.sparkContext.defaultParallelism
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
-    one = spark.read.parquet(str(tmp_path / "one"))
-    spread = scan.spread_small_input(one, "id")
-    assert spread.select(F.spark_partition_id()).distinct().count() == cores
-    assert rows(spread, "id") == rows(one, "id")
-    spark.range(100).repartition(cores).write.parquet(str(tmp_path / "many"))
-    many = spark.read.parquet(str(tmp_path / "many"))
-    assert scan.spread_small_input(many, "id") is many
-    in_memory = spark.range(5)
-    assert scan.spread_small_input(in_memory, "id") is in_memory
-    monkeypatch.setattr(scan, "SPLIT_BYTES", 10)
-    assert scan.spread_small_input(one, "id") is one
+def test_tables_are_dealt_out_where_the_session_says_so(spark):
+    before = spark.conf.get(scan.PARTITIONS, None)
+    df = spark.range(1000).coalesce(1)
+    try:
+        spark.conf.set(scan.PARTITIONS, "5")
+        dealt = scan.share_out(df, "id")
+        assert dealt.select(F.spark_partition_id()).distinct().count() == 5 and rows(dealt, "id") == rows(df, "id")
+        spark.conf.unset(scan.PARTITIONS)
+        if spark.conf.get(scan.PARTITIONS, None) is None:
+            assert scan.share_out(df, "id") is df
+    finally:
+        if before is not None:
+            spark.conf.set(scan.PARTITIONS, before)
 
 
 def test_responses_from_json_and_parquet(spark, tmp_path):
@@ -365,6 +367,14 @@ def test_whole_job_written(spark, raw_zone, tmp_path):
     again = spark.read.csv(paths["clean_csv"], header=True, multiLine=True, quote='"', escape='"')
     assert again.count() == 3 and set(again.columns) == set(clean.columns)
     assert spark.read.json(paths["dataset_stats"]).where("is_total").first().normalized_rows == 7
+    listed = {r.name: (r.sha256, r.bytes) for r in spark.read.json(paths["manifest"]).collect()}
+    written = [
+        p for p in (tmp_path / "out").rglob("*")
+        if p.is_file() and p.name[0] not in "._" and "manifest.json" not in p.parts
+    ]
+    assert listed == {
+        str(p.relative_to(tmp_path / "out")): (hashlib.sha256(p.read_bytes()).hexdigest(), p.stat().st_size) for p in written
+    }
 
 
 def test_dataset_names_stay_text(spark, tmp_path):
