@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from claimloom.functions.labels import cleaning_label, is_kept_label
+from claimloom.functions.urls import plausible_url
 
 
 def dataset_counts(df: DataFrame) -> DataFrame:
@@ -27,8 +28,18 @@ def dataset_stats(normalized: DataFrame) -> DataFrame:
     )
 
 
-def url_audit(mapped: DataFrame, cleaned: DataFrame) -> DataFrame:
-    """Claim URLs per dataset before and after the plausibility check."""
+def url_audit(mapped: DataFrame, cleaned: DataFrame | None = None) -> DataFrame:
+    """Claim URLs per dataset before and after the plausibility check.
+
+    One pass over the mapped rows; ``cleaned`` compares them with a table
+    whose URLs were checked elsewhere.
+    """
+    if cleaned is None:
+        return mapped.groupBy("dataset_name").agg(
+            F.count("url_claim").alias("urls_before"),
+            F.count(plausible_url(F.col("url_claim"))).alias("urls_after"),
+            (F.count("url_review") == 0).alias("no_review_url"),
+        )
     none = F.lit(None).cast("string")
     before = mapped.select("dataset_name", F.col("url_claim").alias("before"), none.alias("after"), none.alias("review"))
     after = cleaned.select("dataset_name", none, F.col("url_claim"), F.col("url_review"))
@@ -40,7 +51,7 @@ def url_audit(mapped: DataFrame, cleaned: DataFrame) -> DataFrame:
 
 
 def stage_audit(normalized: DataFrame, clean: DataFrame, n_files: int) -> DataFrame:
-    """Counts along the job: (stage, n_rows). ``clean`` may be its keys alone."""
+    """Counts along the job: (stage, n_rows). ``clean`` needs its rows only, no column of them."""
     has_text = F.col("text").isNotNull()
     kept = has_text & F.coalesce(is_kept_label(cleaning_label(F.col("label"))), F.lit(False))
     counts = normalized.agg(

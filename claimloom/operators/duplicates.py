@@ -14,6 +14,11 @@ def _copy_group(df: DataFrame, text: str, within: str | None) -> list[Column]:
     return [text_digest(F.col(text)).alias("_digest"), *([F.col(within).alias("_within")] if within in df.columns else [])]
 
 
+def copy_groups(df: DataFrame, text: str, within: str | None) -> DataFrame:
+    """One row per distinct text (per ``within`` if given): its digest, not the text."""
+    return df.select(*_copy_group(df, text, within)).distinct()
+
+
 def first_copies(df: DataFrame, key: str, text: str, within: str | None) -> DataFrame:
     """Key of the first row of every distinct text (per ``within`` if given).
 

@@ -38,8 +38,16 @@ def unnumbered_corpora(
     corpora: Sequence[Corpus], tweet_datasets: Sequence[str] = TWEET_DATASETS
 ) -> DataFrame:
     """The same rows without uid, for counts: nothing is numbered or joined."""
-    frames = [normalize_corpus(corpus, tweet_datasets).drop(POSITION) for corpus in corpora]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return _stacked([normalize_corpus(corpus, tweet_datasets) for corpus in corpora])
+
+
+def mapped_corpora(corpora: Sequence[Corpus]) -> DataFrame:
+    """Canonical rows with the claim URLs as they came, without uid."""
+    return _stacked([ensure_schema(c.frame, c.name, c.source_type, c.source_description) for c in corpora])
+
+
+def _stacked(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.drop(POSITION) for f in frames])
 
 
 def drop_null_texts(df: DataFrame) -> DataFrame:

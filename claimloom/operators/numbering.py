@@ -11,6 +11,7 @@ from claimloom.sources.scan import POSITION
 from claimloom.staging import stage
 
 _ROW_BITS = (1 << 33) - 1
+_PLACE = ["_frame", "_file", "_block", "_row"]
 
 
 def number_by_key(
@@ -69,14 +70,18 @@ def number_frames(
     """
     if order_by is None and not all(POSITION in frame.columns for frame in frames):
         raise ValueError("frames without file positions need order_by")
-    tagged = [frame.withColumn("_frame", F.lit(i)) for i, frame in enumerate(frames)]
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    placed = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [_with_place(frame, i) for i, frame in enumerate(frames)],
+    )
     if order_by is not None:
-        return number_by_key(together, ["_frame", *order_by], column, start).drop("_frame", POSITION)
-    placed = together.withColumns({"_file": F.col(POSITION)["file"], "_row": F.col(POSITION)["row"]}).drop(POSITION)
+        return number_by_key(placed, ["_frame", *order_by], column, start).drop(*_PLACE)
+    if any(_in_blocks(frame) for frame in frames):
+        # where a file is cut may change from scan to scan, so sizes and rows come from one scan
+        placed = stage(placed, "placed")
     row = F.col("_row").cast("decimal(38,0)")
     sizes = stage(
-        placed.groupBy("_frame", "_file").agg(
+        placed.groupBy("_frame", "_file", "_block").agg(
             F.count("*").alias("_rows"),
             F.min("_row").alias("_first"),
             F.max("_row").alias("_last"),
@@ -93,17 +98,27 @@ def number_frames(
         & (6 * F.col("_squares") == 6 * n * first * first + 6 * first * n * (n - 1) + (n - 1) * n * (2 * n - 1))
     )
     if not sizes.where(~whole).isEmpty():
-        return number_by_key(placed, ["_frame", "_file", "_row"], column, start).drop("_frame", "_file", "_row")
-    before = Window.orderBy("_frame", "_file").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_frame", "_file", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    )
+        return number_by_key(placed, _PLACE, column, start).drop(*_PLACE)
+    part = ["_frame", "_file", "_block"]
+    before = Window.orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*part, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     number = (F.col("_offset") + F.col("_row") - F.col("_first") + F.lit(start)).cast("long")
-    return (
-        placed.join(offsets, ["_frame", "_file"])
-        .withColumn(column, number)
-        .drop("_frame", "_file", "_row", "_first", "_offset")
-    )
+    return placed.join(offsets, part).withColumn(column, number).drop(*_PLACE, "_first", "_offset")
+
+
+def _in_blocks(frame: DataFrame) -> bool:
+    return "block" in frame.schema[POSITION].dataType.names
+
+
+def _with_place(frame: DataFrame, number: int) -> DataFrame:
+    """``frame`` with its rows' places as the columns ``_PLACE``; null where it has none."""
+    if POSITION in frame.columns:
+        at = F.col(POSITION)
+        file, block, row = at["file"], at["block"] if _in_blocks(frame) else F.lit(0), at["row"]
+    else:
+        file = block = row = F.lit(None)
+    place = (F.lit(number), file.cast("string"), block.cast("long"), row.cast("long"))
+    return frame.withColumns(dict(zip(_PLACE, place))).drop(POSITION)
 
 
 def assign_uids(

@@ -23,7 +23,13 @@ from claimloom.operators import audit
 from claimloom.operators.duplicates import flag_duplicates, with_quality_flags
 from claimloom.operators.enrich import enrich_with_reviews
 from claimloom.operators.mapping import ensure_schema, unify_urls
-from claimloom.operators.merge import describe_datasets, union_corpora
+from claimloom.operators.merge import (
+    describe_datasets,
+    drop_null_texts,
+    mapped_corpora,
+    union_corpora,
+    unnumbered_corpora,
+)
 from claimloom.operators.near_duplicates import (
     NearDuplicateSettings,
     find_near_duplicates,
@@ -31,7 +37,7 @@ from claimloom.operators.near_duplicates import (
 )
 from claimloom.operators.numbering import with_row_ids
 from claimloom.plans import inputs
-from claimloom.plans.corpus import clean_corpus, flag_corpus, merge_corpora, preview, run, survivors
+from claimloom.plans.corpus import clean_corpus, flag_corpus, merge_corpora, preview, run, surviving_texts
 from claimloom.plans.inputs import plain, table
 from claimloom.sources.scan import POSITION, dataset_name_column, share_out
 
@@ -137,17 +143,21 @@ def plausible_urls(spark, folder):
     return documents.unionByName(pages).select("doc_id", "raw", plausible_url(F.col("raw")).alias("url_claim"))
 
 
+def _raw_labels(spark, folder) -> DataFrame:
+    """(doc_id, raw): both labels of a document as text, and a spelling of a label."""
+    toxic, quality = F.col("toxic").cast("string"), F.concat(F.lit(" "), "quality")
+    raw = F.array(toxic, quality, inputs.pick(inputs.LABEL_SPELLINGS, F.col("doc_id")))
+    return plain(spark, folder, "labels").select("doc_id", F.explode(raw).alias("raw"))
+
+
 def mapping_labels(spark, folder):
-    raw = inputs.pick(inputs.LABEL_SPELLINGS, F.col("event_id"))
-    return plain(spark, folder, "events").select("event_id", mapping_label(raw).alias("label"))
+    return _raw_labels(spark, folder).withColumn("label", mapping_label(F.col("raw")))
 
 
 def cleaning_labels(spark, folder):
-    raw = inputs.pick(inputs.LABEL_SPELLINGS, F.col("event_id"))
-    label = cleaning_label(raw)
-    return plain(spark, folder, "events").select(
-        "event_id", label.alias("label"), F.coalesce(is_kept_label(label), F.lit(False)).alias("kept")
-    )
+    label = cleaning_label(F.col("raw"))
+    kept = F.coalesce(is_kept_label(label), F.lit(False))
+    return _raw_labels(spark, folder).withColumns({"label": label, "kept": kept})
 
 
 def iso_dates(spark, folder):
@@ -281,37 +291,30 @@ def cleaned_corpus(spark, folder):
 
 
 def dataset_counts(spark, folder):
-    return audit.dataset_counts(merged_corpora(spark, folder))
+    return audit.dataset_counts(drop_null_texts(unnumbered_corpora(inputs.corpora(spark, folder))))
 
 
 def label_counts(spark, folder):
-    return audit.label_counts(merged_corpora(spark, folder))
+    return audit.label_counts(drop_null_texts(unnumbered_corpora(inputs.corpora(spark, folder))))
 
 
 def label_counts_by_dataset(spark, folder):
-    return audit.label_counts(normalized_corpora(spark, folder), by_dataset=True)
+    return audit.label_counts(unnumbered_corpora(inputs.corpora(spark, folder)), by_dataset=True)
 
 
 def dataset_stats(spark, folder):
-    return audit.dataset_stats(normalized_corpora(spark, folder))
+    return audit.dataset_stats(unnumbered_corpora(inputs.corpora(spark, folder)))
 
 
 def url_audit(spark, folder):
-    corpora = inputs.corpora(spark, folder)
-    mapped = [
-        ensure_schema(c.frame, c.name, c.source_type, c.source_description).drop(POSITION) for c in corpora
-    ]
-    before = mapped[0]
-    for frame in mapped[1:]:
-        before = before.unionByName(frame)
-    return audit.url_audit(before, normalized_corpora(spark, folder))
+    return audit.url_audit(mapped_corpora(inputs.corpora(spark, folder)))
 
 
 def stage_audit(spark, folder):
     corpora = inputs.corpora(spark, folder)
-    normalized = union_corpora(corpora)
-    with_text = share_out(normalized.where(F.col("text").isNotNull()), "uid")
-    return audit.stage_audit(normalized, survivors(with_text), len(corpora))
+    normalized = unnumbered_corpora(corpora)
+    with_text = share_out(drop_null_texts(normalized), "dataset_name", "orig_id")
+    return audit.stage_audit(normalized, surviving_texts(with_text), len(corpora))
 
 
 def merged_preview(spark, folder):

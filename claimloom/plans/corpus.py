@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from claimloom.functions.urls import drop_urls
 from claimloom.operators.audit import dataset_stats
 from claimloom.operators.duplicates import (
+    copy_groups,
     first_copies,
     keep_first_copies,
     keep_labelled,
@@ -19,7 +20,7 @@ from claimloom.operators.duplicates import (
 )
 from claimloom.operators.enrich import enrich_with_reviews
 from claimloom.operators.mapping import CLEAN_ORDER, reorder, unify_urls
-from claimloom.operators.merge import TWEET_DATASETS, drop_null_texts, union_corpora
+from claimloom.operators.merge import TWEET_DATASETS, drop_null_texts, union_corpora, unnumbered_corpora
 from claimloom.operators.near_duplicates import NearDuplicateSettings, find_near_duplicates, with_near_duplicates
 from claimloom.session import ensure_checkpoint_dir
 from claimloom.sources.scan import Corpus, share_out
@@ -55,9 +56,9 @@ def _long_enough(df: DataFrame, min_tokens: int) -> DataFrame:
     return _cleaned(keep_labelled(df), min_tokens).where(~F.col("is_null") & ~F.col("too_short"))
 
 
-def survivors(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
-    """Only the keys of ``clean_corpus``: for counts, no text is shuffled."""
-    return first_copies(_long_enough(df, min_tokens), key, "text_clean", "dataset_name")
+def surviving_texts(df: DataFrame, min_tokens: int = 3) -> DataFrame:
+    """One row per row of ``clean_corpus``, its digest and dataset: for counts, no key and no text is shuffled."""
+    return copy_groups(_long_enough(df, min_tokens), "text_clean", "dataset_name")
 
 
 def clean_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
@@ -145,10 +146,9 @@ def run_to(
             write_csv(stored, paths[f"{name}_csv"])
         return stored
 
-    normalized = union_corpora(corpora, order_by)
-    merged = written("merged", drop_null_texts(normalized), "dataset_name")
+    merged = written("merged", merge_corpora(corpora, order_by), "dataset_name")
     paths["dataset_stats"] = f"{base}/dataset_stats.json"
-    write_dataset_stats(dataset_stats(normalized), paths["dataset_stats"])
+    write_dataset_stats(dataset_stats(unnumbered_corpora(corpora)), paths["dataset_stats"])
     clean = written("clean", clean_corpus(merged, min_tokens), "dataset_name")
     final = clean
     if near_duplicates is not None:

@@ -241,6 +241,9 @@ linked AS (
 
 _MAPPED = "SELECT * EXCLUDE (pos) FROM {corpus}"
 
+_RAW_LABELS = f"""raws AS (
+  SELECT doc_id, unnest([CAST(toxic AS VARCHAR), ' ' || quality, {spelling("doc_id")}]) AS raw FROM labels)"""
+
 _DATES = """SELECT o_orderkey, CASE WHEN o_orderkey % 10 < 9 THEN strftime(o_orderdate, '%Y-%m-%d') END AS date_iso
 FROM orders"""
 
@@ -277,9 +280,9 @@ def oracle_sql() -> dict[str, str]:
                    'http://' || source || '/a.b', 'ftp://x.' || source || '?q=1']) AS raw FROM documents
             UNION ALL SELECT page_id, url FROM pages)
             SELECT doc_id, raw, {plausible("raw")} AS url_claim FROM r""",
-        "label_map_raw": f"""SELECT event_id, {raw_label(spelling("event_id"))} AS label FROM events""",
-        "label_map_clean": f"""WITH l AS (SELECT event_id, {final_label(spelling("event_id"))} AS label FROM events)
-            SELECT event_id, label, coalesce(label IN {KEPT}, FALSE) AS kept FROM l""",
+        "label_map_raw": f"""WITH {_RAW_LABELS} SELECT doc_id, raw, {raw_label("raw")} AS label FROM raws""",
+        "label_map_clean": f"""WITH {_RAW_LABELS}, l AS (SELECT doc_id, raw, {final_label("raw")} AS label FROM raws)
+            SELECT doc_id, raw, label, coalesce(label IN {KEPT}, FALSE) AS kept FROM l""",
         "date_iso": _DATES,
         "query_text": "SELECT doc_id, substr(text, 1, 512) AS query FROM documents",
         "text_digest": "SELECT doc_id, sha256(text) AS sha256 FROM documents",

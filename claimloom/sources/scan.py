@@ -64,15 +64,16 @@ def list_raw_files(spark: SparkSession, folder: str) -> list[str]:
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header, all columns strings, NA literals as nulls.
 
-    Quoted texts may hold line breaks, so a file is one task by default and
-    its rows keep their position. Pass ``multi_line=False`` for large files
-    without such texts: they are split, and numbered by key instead.
+    Quoted texts may hold line breaks, so a file is one task by default. Pass
+    ``multi_line=False`` for large files without such texts: they are split,
+    and a row's position is its block's place in the file and its place in the
+    block. Both kinds are numbered in file order.
     """
     raw = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
     cells = [F.col(f"`{name}`") for name in raw.columns]
     nulled = [F.when(~c.isin(*NA_LITERALS), c).alias(n) for c, n in zip(cells, raw.columns)]
-    row = F.monotonically_increasing_id()
-    return raw.select(*nulled, *([_position(row)] if multi_line else []))
+    block = None if multi_line else F.col("_metadata.file_block_start")
+    return raw.select(*nulled, _position(F.monotonically_increasing_id(), block))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -81,9 +82,10 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return raw.select("*", _position(F.col("_metadata.row_index")))
 
 
-def _position(row: Column) -> Column:
-    """The order rows have in their file; ``row`` counts up within a file."""
-    return F.struct(F.col("_metadata.file_path").alias("file"), row.alias("row")).alias(POSITION)
+def _position(row: Column, block: Column | None = None) -> Column:
+    """The order rows have in their file; ``row`` counts up within a file, or within a block of it."""
+    part = [] if block is None else [block.alias("block")]
+    return F.struct(F.col("_metadata.file_path").alias("file"), *part, row.alias("row")).alias(POSITION)
 
 
 def share_out(df: DataFrame, *keys: str) -> DataFrame:
@@ -113,8 +115,8 @@ def read_corpora(
 
     ``descriptions`` maps a dataset name to (source type, description). A
     dataset whose schema cannot be read is an error; with ``skip_unreadable``
-    it is left out with a warning. ``multi_line=False`` splits CSV files, whose
-    rows are then numbered by a key (``order_by``).
+    it is left out with a warning. ``multi_line=False`` splits CSV files, for
+    texts without line breaks.
     """
     known = descriptions or {}
     corpora = []

@@ -124,6 +124,30 @@ def test_row_ids_follow_the_files(spark, tmp_path):
         "_metadata.file_path", "_metadata.row_index").collect()]
 
 
+def test_split_csv_is_numbered_in_file_order(spark, tmp_path):
+    zone = tmp_path / "raw"
+    zone.mkdir()
+    for name, first in (("p", 0), ("q", 4000)):
+        lines = [f"{i},texto numero {i}\n" for i in range(first, first + 3000)]
+        (zone / f"{name}.csv").write_text("id,text\n" + "".join(lines))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "9k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        corpora = read_corpora(spark, str(zone), multi_line=False)
+        assert corpora[0].frame.rdd.getNumPartitions() > 3
+        want = [*range(3000), *range(4000, 7000)]
+        got = merge_corpora(corpora).orderBy("uid").collect()
+        assert [(r.uid, int(r.orig_id)) for r in got] == list(enumerate(want, 1))
+        # a filtered frame, next to one whose files are not split
+        mixed = [Corpus("p", corpora[0].frame.where("id % 3 = 0")), read_corpora(spark, str(zone))[1]]
+        got = merge_corpora(mixed).orderBy("uid").collect()
+        assert [(r.uid, int(r.orig_id)) for r in got] == list(enumerate([*range(0, 3000, 3), *range(4000, 7000)], 1))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 @pytest.fixture()
 def raw_zone(spark, tmp_path):
     zone = tmp_path / "raw"
@@ -307,6 +331,8 @@ def test_audits(spark):
     assert stages == {"files_scanned": 2, "normalized": 3, "null_text_removed": 1, "merged": 2, "labelled": 2, "clean": 1}
     urls = audit.url_audit(df, df.withColumn("url_claim", F.lit(None).cast("string"))).collect()
     assert sorted(map(tuple, urls), key=repr) == [("a", 1, 0, True), (None, 0, 0, True)]
+    alone = audit.url_audit(df.unionByName(df.withColumn("url_claim", F.lit("www.a.example/1")))).collect()
+    assert sorted(map(tuple, alone), key=repr) == [("a", 3, 2, True), (None, 1, 1, True)]
 
 
 def test_preview(spark):
