@@ -8,13 +8,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from claimloom.functions.labels import (
-    CLEANING_LABELS,
-    CLEANING_NULLS,
-    KEPT_LABELS,
-    MAPPING_LABELS,
-    MAPPING_NULLS,
-)
 from claimloom.functions.minhash import MAX_HASH, MERSENNE_PRIME, lsh_bands
 from claimloom.functions.unicode_tables import emoji_pattern
 from claimloom.functions.urls import COUNTRY_DOMAINS, GENERIC_DOMAINS
@@ -87,19 +80,22 @@ def plausible(x: str) -> str:
     )
 
 
-def labels(x: str, meanings: dict[str, str], nulls: tuple[str, ...]) -> str:
-    spelled = f"lower({strip(x)})"
-    cases = "".join(f" WHEN {text(k)} THEN {text(v)}" for k, v in meanings.items())
-    gone = "".join(f" WHEN {text(k)} THEN NULL" for k in nulls)
-    return f"CASE {spelled}{gone}{cases} ELSE {spelled} END"
-
-
+# What label spellings mean, written out here so that a wrong table elsewhere shows.
 def raw_label(x: str) -> str:
-    return labels(x, MAPPING_LABELS, MAPPING_NULLS)
+    spelled = f"lower({strip(x)})"
+    return f"""CASE WHEN {spelled} IN ('-1', 'none', 'nan') THEN NULL
+      WHEN {spelled} IN ('1', 'fake', 'falsa', 'falso', 'mentira') THEN 'fake'
+      WHEN {spelled} IN ('0', 'real', 'true', 'verdade', 'verdadeira', 'verdadeiro') THEN 'true'
+      WHEN {spelled} IN ('duvidoso', 'misleading', 'mixed', 'parcialmente falso', 'partly false', 'partly_true') THEN 'mixed'
+      ELSE {spelled} END"""
 
 
 def final_label(x: str) -> str:
-    return labels(x, CLEANING_LABELS, CLEANING_NULLS)
+    spelled = f"lower({strip(x)})"
+    return f"""CASE WHEN {spelled} IN ('', '-1', 'none', 'nan') THEN NULL
+      WHEN {spelled} IN ('fake', 'falsa', 'false', 'falso') THEN 'fake'
+      WHEN {spelled} IN ('real', 'true', 'verdadeira', 'verdadeiro') THEN 'true'
+      ELSE {spelled} END"""
 
 
 def spelling(key: str) -> str:
@@ -109,7 +105,7 @@ def spelling(key: str) -> str:
 
 NULL_TEXT = "CAST(NULL AS VARCHAR)"
 _VERDICT = "CASE role" + "".join(f" WHEN {text(k)} THEN {text(v)}" for k, v in ROLE_VERDICTS.items()) + " END"
-KEPT = "(" + ", ".join(text(k) for k in KEPT_LABELS) + ")"
+KEPT = "('fake', 'true')"
 
 # The four corpora after mapping, each with the order its rows have in its file.
 _CORPORA = f"""
