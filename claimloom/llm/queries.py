@@ -60,7 +60,7 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     found = secret_scan.scan_documents(docs, "text", keep={"doc_id": F.col("doc_id")})
     return found.select(
-        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans"
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans", "n_unopened"
     )
 
 

@@ -3,16 +3,25 @@
 ``find_secrets`` keeps a worklist of layers. The first is the text itself. Each
 layer is scanned, then unwrapped in every way that applies: percent escapes,
 Unicode escapes, base64 runs, and what base64 holds when it is gzip, zlib or
-zstandard data. New layers go back on the list until nothing new appears; a
-digest per layer stops cycles. Every layer knows, for each of its characters,
-the span of the original text it came from; a compressed layer stands for its
-whole run. So every finding is a span of the original text.
+zstandard data, all members and frames of it. New layers go back on the list
+until nothing new appears; a digest per layer stops cycles. Every layer knows,
+for each of its characters, the span of the original text it came from; a
+compressed layer stands for its whole run. So every finding is a span of the
+original text.
+
+Base64 may be wrapped: runs that only line ends part are also read as one, from
+the start of each of them. A word in the line after a run cannot be told from
+the run's last line, so a finding at the very end of a run can be there a second
+time with a few characters more. Decoded bytes need be neither printable nor
+UTF-8; those that are not UTF-8 are read as Latin-1.
 
 Kinds and patterns are fixed by ``KINDS``. Base findings are those of the text
 itself; layers only add spans. Null counts as empty. Nothing is cut: texts and
-layers are scanned whole. One guard: compressed data that would grow beyond
-``MAX_EXPANDED`` bytes is not opened (a decompression bomb would end the task)
-and is counted in ``n_unopened``.
+layers are scanned whole. ``n_unopened`` counts compressed data that could not
+be treated so: data that breaks off with an error (what came before is scanned),
+and data that grows beyond ``MAX_EXPANDED`` bytes, which is scanned in
+overlapping chunks, up to ``MAX_STREAMED`` bytes a text (a decompression bomb
+would not end).
 """
 
 from __future__ import annotations
@@ -22,8 +31,9 @@ import binascii
 import hashlib
 import re
 import zlib
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +42,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimloom.llm.batches import pieces
 
 MAX_EXPANDED = 1 << 26
+MAX_STREAMED = 1 << 32
+CHUNK, OVERLAP = 1 << 24, 1 << 20  # characters, of expansions beyond MAX_EXPANDED
 MASK = "[SECRET]"
 
 # What counts as a secret, by kind, and the length a finding needs.
@@ -49,6 +61,13 @@ _UNICODE = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+_PIECE = re.compile(r"[A-Za-z0-9+/_-]+")
+_WRAPPED = re.compile(  # pieces parted by line ends; possessive, so that long runs are passed once
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+(?:\r\n?|\n)[ \t]*+[A-Za-z0-9+/_-]++)++"
+    r"(?:(?:[ \t]*+(?:\r\n?|\n)[ \t]*+)?=){0,2}"
+)
+_LEAST_RUN = 19  # fewer characters hold fewer than 14 bytes, which neither are a finding nor hold one
+_BLANKS = re.compile(r"\x20{2,}")
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -65,13 +84,16 @@ def scan(text: str) -> list[tuple[str, int, int]]:
 
 @dataclass
 class Layer:
-    """Text of a layer; character i comes from starts[i] to ends[i] of the original text."""
+    """Text of a layer; character i comes from starts[i] to ends[i] of the original text, or all from ``whole``."""
 
     text: str
     starts: np.ndarray | None = None  # None: the text itself
     ends: np.ndarray | None = None
+    whole: tuple[int, int] | None = None
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
+        if self.whole:
+            return self.whole
         if self.starts is None:
             return start, end
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
@@ -87,29 +109,35 @@ class _Builder:
         if end > start:
             parent = self.parent
             self.parts.append(parent.text[start:end])
+            if parent.whole:
+                return
             self.starts.append(np.arange(start, end) if parent.starts is None else parent.starts[start:end])
             self.ends.append(np.arange(start + 1, end + 1) if parent.ends is None else parent.ends[start:end])
 
     def put(self, text: str, bounds: list[tuple[int, int]]) -> None:
         """``bounds``: the parent span of each character of ``text``."""
         if text:
-            origins = [self.parent.origin(a, b) for a, b in bounds]
             self.parts.append(text)
+            if self.parent.whole:
+                return
+            origins = [self.parent.origin(a, b) for a, b in bounds]
             self.starts.append(np.array([a for a, _ in origins]))
             self.ends.append(np.array([b for _, b in origins]))
 
     def layer(self) -> Layer:
+        if self.parent.whole:
+            return Layer("".join(self.parts), whole=self.parent.whole)
         if not self.parts:
             return Layer("", np.zeros(0, int), np.zeros(0, int))
         return Layer("".join(self.parts), np.concatenate(self.starts), np.concatenate(self.ends))
 
 
-def _characters(data: bytes) -> tuple[str, list[int]] | None:
-    """Text of UTF-8 data and where each character begins, or None."""
+def _characters(data: bytes) -> tuple[str, list[int]]:
+    """Text of the data, Latin-1 if it is not UTF-8, and where each character begins."""
     try:
         text = data.decode()
     except UnicodeDecodeError:
-        return None
+        return data.decode("latin-1"), list(range(len(data) + 1))
     places = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
     return text, [*places.tolist(), len(data)]
 
@@ -117,10 +145,7 @@ def _characters(data: bytes) -> tuple[str, list[int]] | None:
 def _unescape_percent(layer: Layer) -> Layer | None:
     out, end = _Builder(layer), 0
     for m in _PERCENT.finditer(layer.text):
-        found = _characters(bytes.fromhex(m[0].replace("%", "")))
-        if found is None:
-            continue
-        text, places = found
+        text, places = _characters(bytes.fromhex(m[0].replace("%", "")))
         out.copy(end, m.start())
         out.put(text, [(m.start() + 3 * a, m.start() + 3 * b) for a, b in zip(places, places[1:])])
         end = m.end()
@@ -163,59 +188,188 @@ def _unescape_unicode(layer: Layer) -> Layer | None:
     return out.layer()
 
 
-def _expand(data: bytes) -> tuple[bytes | None, bool]:
-    """Decompressed data, if it is compressed; and whether it was left unopened."""
-    if data[:4] == b"\x28\xb5\x2f\xfd":
+def _inflater(head: bytes):
+    """What opens data with this head, or None."""
+    if head[:4] == b"\x28\xb5\x2f\xfd" or (head[1:4] == b"\x2a\x4d\x18" and head[0] >> 4 == 5):
         import zstandard
 
+        return zstandard.ZstdDecompressor().decompressobj()
+    if head[:2] == b"\x1f\x8b" or (len(head) > 2 and head[0] == 0x78 and int.from_bytes(head[:2]) % 31 == 0):
+        return zlib.decompressobj(47)
+    return None
+
+
+class _Expansion:
+    """What compressed data holds, all members and frames that follow each other, in small chunks."""
+
+    STEP = 64  # bytes put in at once: even these can hold megabytes
+
+    def __init__(self, source: Iterator[bytes]):
+        self.source, self.consumed, self.broken, self.large = source, 0, False, False
+
+    def _more(self, held: bytes, least: int) -> bytes:
+        while len(held) < least and (more := next(self.source, None)) is not None:
+            held += more
+        return held
+
+    def __iter__(self) -> Iterator[bytes]:
+        from zstandard import ZstdError
+
+        held, at, opened = b"", 0, False
+        while True:
+            held, at, padding = self._more(held[at:], 4), 0, 0
+            while opened and held[:1] == b"\0":  # members may be padded with zeros
+                bare = held.lstrip(b"\0")
+                padding += len(held) - len(bare)
+                held = self._more(bare, 4)
+            machine = _inflater(held[:4])
+            if machine is None:
+                return
+            self.consumed += padding
+            got = False
+            while not machine.eof:
+                if at >= len(held):
+                    held, at = self._more(b"", 1), 0
+                    if not held:
+                        return  # breaks off
+                piece = held[at : at + self.STEP]
+                try:
+                    out = machine.decompress(piece)
+                except (zlib.error, ZstdError):
+                    self.broken = got
+                    return
+                at += len(piece)
+                self.consumed += len(piece)
+                got = got or bool(out)
+                if out:
+                    yield out
+            at -= len(machine.unused_data)
+            self.consumed -= len(machine.unused_data)
+            opened = True
+
+
+class _Tally:
+    """Per text: expansions not scanned whole, bytes streamed so far."""
+
+    def __init__(self):
+        self.unopened, self.streamed = 0, 0
+
+
+def _gathered(source: Iterator[bytes], limit: int) -> tuple[bytes, bool]:
+    """The source's first bytes, a little over ``limit`` at most, and whether there may be more."""
+    parts, size = [], 0
+    for part in source:
+        parts.append(part)
+        size += len(part)
+        if size > limit:
+            return b"".join(parts), True
+    return b"".join(parts), False
+
+
+def _expanded(data: bytes, tally: _Tally) -> tuple[Iterator[str], _Expansion] | None:
+    """Texts that compressed data holds: one, or overlapping chunks of a large one."""
+    if _inflater(data[:4]) is None:
+        return None
+    expansion = _Expansion(iter([data]))
+
+    def texts() -> Iterator[str]:
+        source = iter(expansion)
+        first, large = _gathered(source, MAX_EXPANDED)
+        expansion.large = large
+        tally.unopened += large or expansion.broken
+        if not large:
+            if first:
+                yield first.decode("latin-1")  # what is looked for is ASCII, and the bytes can be had again
+            return
+        if _inflater(first[:4]) is not None:  # large and compressed again
+            source = iter(_Expansion(chain([first], source)))
+            first, _ = _gathered(source, CHUNK)
+        tail = ""
+        while first and tally.streamed < MAX_STREAMED:
+            for start in range(0, len(first), CHUNK):
+                text = _BLANKS.sub(" ", tail + first[start : start + CHUNK].decode("latin-1"))
+                yield text
+                tail = text[-OVERLAP:]
+            tally.streamed += len(first)
+            first, _ = _gathered(source, CHUNK)
+
+    return texts(), expansion
+
+
+def _base64_bytes(run: str) -> bytes:
+    run = run.replace("-", "+").replace("_", "/")
+    run = run[: len(run) - (len(run) % 4 == 1)]  # a single last character holds no byte
+    return base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
+
+
+def _decoded(layer: Layer, run: str, at: np.ndarray, end: int) -> Layer:
+    """The bytes of a run as text; character i of the run stands at ``at[i]``, the run ends before ``end``."""
+    data = _base64_bytes(run)
+    text, places = _characters(data)
+    if layer.whole:
+        return Layer(text, whole=layer.whole)
+    # every three bytes are four characters of the run
+    places = np.array(places)
+    first, last = places[:-1] // 3 * 4, -(-places[1:] // 3) * 4
+    first, last = at[first], np.where(last < len(at), at[np.minimum(last, len(at)) - 1] + 1, end)
+    if layer.starts is None:
+        return Layer(text, first, last)
+    return Layer(text, layer.starts[first], layer.ends[last - 1])
+
+
+def _runs(text: str) -> Iterator[tuple[str, np.ndarray, int, list[int]]]:
+    """(characters, their places, end, starts of pieces) of base64 runs, single ones and wrapped ones."""
+    for m in _BASE64.finditer(text):
+        run = m[0].rstrip("=")
+        yield run, np.arange(m.start(), m.start() + len(run)), m.end(), [0]
+    if "\n" in text or "\r" in text:
+        for m in _WRAPPED.finditer(text):
+            if m.end() - m.start() < _LEAST_RUN:
+                continue
+            spans = [p.span() for p in _PIECE.finditer(text, m.start(), m.end())]
+            run = "".join([text[a:b] for a, b in spans])
+            if len(run) >= _LEAST_RUN:
+                starts = np.cumsum([0] + [b - a for a, b in spans[:-1]]).tolist()
+                yield run, np.concatenate([np.arange(a, b) for a, b in spans]), m.end(), starts
+
+
+def _decoded_runs(layer: Layer, tally: _Tally) -> Iterator[Layer]:
+    """The layers that base64 runs hold, and those that compressed data in them holds."""
+    for run, at, end, starts in _runs(layer.text):
+        phases, opened = set(), 0
+        for start in starts:
+            if len(run) - start < 16:
+                break
+            if start >= opened and _inflater(_base64_bytes(run[start : start + 8])[:4]) is not None:
+                data = _base64_bytes(run[start:])
+                texts, expansion = _expanded(data, tally)
+                span = None
+                for text in texts:
+                    if span is None:
+                        opened = len(run) if expansion.large else min(start + -(-expansion.consumed // 3) * 4, len(run))
+                        span = layer.origin(int(at[start]), end if opened == len(run) else int(at[opened - 1]) + 1)
+                    yield Layer(text, whole=span)
+                if span and expansion.consumed == len(data):
+                    continue  # opened to its end
+            if start % 4 not in phases:  # later starts of the same phase are read along
+                phases.add(start % 4)
+                yield _decoded(layer, run[start:], at[start:], end)
+
+
+def _inner(layer: Layer, tally: _Tally) -> Iterator[Layer]:
+    """The layers directly below a layer."""
+    if "%" in layer.text and (inner := _unescape_percent(layer)):
+        yield inner
+    if ("\\" in layer.text or "&#" in layer.text) and (inner := _unescape_unicode(layer)):
+        yield inner
+    yield from _decoded_runs(layer, tally)
+    if layer.whole and _inflater(layer.text[:4].encode("latin-1", "replace")) is not None:
         try:
-            reader = zstandard.ZstdDecompressor().stream_reader(data)
-            opened = reader.read(MAX_EXPANDED + 1)
-        except zstandard.ZstdError:
-            return None, False
-    elif data[:2] == b"\x1f\x8b" or (len(data) > 2 and data[0] == 0x78 and int.from_bytes(data[:2]) % 31 == 0):
-        try:
-            opened = zlib.decompressobj(47).decompress(data, MAX_EXPANDED + 1)
-        except zlib.error:
-            return None, False
-    else:
-        return None, False
-    return (None, True) if len(opened) > MAX_EXPANDED else (opened, False)
-
-
-def _is_text(text: str) -> bool:
-    return bool(text) and all(c.isprintable() or c in "\t\n\r" for c in text)
-
-
-def _decoded_runs(layer: Layer) -> tuple[list[Layer], int]:
-    """A layer for every base64 run that holds text, or compressed text."""
-    layers, unopened = [], 0
-    for m in _BASE64.finditer(layer.text):
-        run = m[0].rstrip("=").replace("-", "+").replace("_", "/")
-        if len(run) % 4 == 1:
-            continue
-        try:
-            data = base64.b64decode(run + "=" * (-len(run) % 4), validate=True)
-        except binascii.Error:
-            continue
-        opened, left = _expand(data)
-        compressed = opened is not None
-        while opened is not None:  # compressed data may be compressed again
-            data = opened
-            opened, more = _expand(data)
-            left = left or more
-        unopened += left
-        found = None if left else _characters(data)
-        if found is None or not _is_text(found[0]):
-            continue
-        text, places = found
-        out = _Builder(layer)
-        if compressed:
-            out.put(text, [m.span()] * len(text))
-        else:  # every three bytes are four characters of the run
-            out.put(text, [(m.start() + a // 3 * 4, min(m.start() + -(-b // 3) * 4, m.end())) for a, b in zip(places, places[1:])])
-        layers.append(out.layer())
-    return layers, unopened
+            data = layer.text.encode("latin-1")
+        except UnicodeEncodeError:
+            return
+        for text in _expanded(data, tally)[0]:
+            yield Layer(text, whole=layer.whole)
 
 
 def find_secrets(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
@@ -223,26 +377,22 @@ def find_secrets(text: str | None) -> tuple[list[tuple[str, int, int]], list[tup
     order = lambda s: (s[1], KINDS.index(s[0]), s[2])
     text = text or ""
     base = sorted(scan(text), key=order)
-    spans, unopened = set(base), 0
-    worklist, seen = [Layer(text)], set()
+    spans, tally, seen = set(base), _Tally(), set()
+    worklist = [iter([Layer(text)])]  # layers are made as they are scanned, so large ones are not held together
     while worklist:
-        layer = worklist.pop()
+        if (layer := next(worklist[-1], None)) is None:
+            worklist.pop()
+            continue
         digest = hashlib.blake2b(layer.text.encode("utf-8", "surrogatepass"), digest_size=16).digest()
-        if layer.starts is not None:
+        if layer.starts is not None or layer.whole:
             # the same text from another place is another finding, so the place belongs to the digest
             key = (digest, layer.origin(0, len(layer.text))) if layer.text else (digest, None)
             if key in seen:
                 continue
             seen.add(key)
             spans.update((kind, *layer.origin(a, b)) for kind, a, b in scan(layer.text))
-        if "%" in layer.text and (inner := _unescape_percent(layer)):
-            worklist.append(inner)
-        if ("\\" in layer.text or "&#" in layer.text) and (inner := _unescape_unicode(layer)):
-            worklist.append(inner)
-        inner_runs, left = _decoded_runs(layer)
-        worklist += inner_runs
-        unopened += left
-    return base, sorted(spans, key=order), unopened
+        worklist.append(_inner(layer, tally))
+    return base, sorted(spans, key=order), tally.unopened
 
 
 def joined(spans: list[tuple[str, int, int]]) -> str:
@@ -274,13 +424,13 @@ def scan_documents(docs: DataFrame, text: str, keep: Mapping[str, Column]) -> Da
 
 
 def mask_secrets(docs: DataFrame, text: str, keep: Mapping[str, Column], mask: str = MASK) -> DataFrame:
-    """(columns of ``keep``, masked, n_secrets) per row; null texts stay null."""
+    """(columns of ``keep``, masked, n_secrets, n_unopened) per row; null texts stay null."""
 
     def describe(value):
-        spans = find_secrets(value)[1]
-        return masked(value, spans, mask), len(spans)
+        _, spans, unopened = find_secrets(value)
+        return masked(value, spans, mask), len(spans), unopened
 
-    return _mapped(docs, text, keep, describe, "masked string, n_secrets bigint")
+    return _mapped(docs, text, keep, describe, "masked string, n_secrets bigint, n_unopened bigint")
 
 
 _TYPES = {"bigint": pa.int64(), "string": pa.string()}

@@ -127,6 +127,56 @@ def test_worklist_ends():
     assert secret_scan.find_secrets(bomb)[2] == 1
 
 
+def wrapped(data: str, width: int, end: str = "\n") -> str:
+    return end.join(data[i : i + width] for i in range(0, len(data), width))
+
+
+@pytest.mark.parametrize("odd", ["\u00a0", "\u00ad", "\u200b", "\ufeff", "\f", "\0"])
+def test_layers_need_not_be_printable(odd):
+    for how in ("base64", "gzip", "zlib", "zstd"):
+        secret = encoded(f"{odd} token = 'abcdefgh1234'", how)
+        assert [s[0] for s in secret_scan.find_secrets(f"a {secret} b")[1]] == ["assign"]
+
+
+def test_layers_need_not_be_utf8():
+    raw = b"\xe9\xff token = 'abcdefgh1234'"
+    text = f"a {base64.b64encode(raw).decode()} b"
+    assert secret_scan.find_secrets(text)[1] == [("assign", 2 + 4, 2 + 24 // 3 * 4)]
+    assert secret_scan.find_secrets(base64.b64encode(gzip.compress(raw)).decode())[1]
+    assert secret_scan.find_secrets("a %E9%74oken%3Dabcdefgh1 b")[1] == [("assign", 5, 24)]
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\n  "])
+@pytest.mark.parametrize("width", [64, 76, 70, 10])
+def test_wrapped_base64_is_one_run(width, end):
+    plain = "x" * 40 + " token = 'abcdefgh1234' " + "y " * 30  # across a line end for all widths
+    run = wrapped(encoded(plain, "base64"), width, end)
+    for before in ("a ", "word\n", "two words\n\n"):
+        text = before + run + "\nend"
+        spans = secret_scan.find_secrets(text)[1]
+        at = plain.index("token")
+        places = [i for i in range(len(before), len(before + run)) if not text[i].isspace()]
+        assert ("assign", places[at // 3 * 4], places[-(-(at + 21) // 3) * 4 - 1] + 1) in spans
+    noise = random.Random(1).randbytes(300).hex() + " "
+    for how in ("gzip", "zlib", "zstd"):
+        run = wrapped(encoded(noise + plain, how), width, end)
+        spans = secret_scan.find_secrets(f"word\n{run}\nend")[1]
+        assert ("assign", 5, 5 + len(run)) in spans and ("hex", 5, 5 + len(run)) in spans
+
+
+def test_all_members_and_large_expansions():
+    import zstandard
+
+    a, b = b"first part, tok", b"en = abcdefgh1234"
+    for data in (gzip.compress(a) + gzip.compress(b), zstandard.compress(a) + zstandard.compress(b),
+                 gzip.compress(a) + b"\0" * 9 + gzip.compress(b), gzip.compress(zlib.compress(a + b))):
+        text = base64.b64encode(data).decode()
+        assert secret_scan.find_secrets(text) == ([], [("assign", 0, len(text))], 0)
+    large = b"z " * (secret_scan.MAX_EXPANDED // 2 + 5) + b"token" + b" " * 3_000_000 + b"= abcdefgh1234"
+    text = base64.b64encode(zlib.compress(large)).decode()
+    assert secret_scan.find_secrets(text) == ([], [("assign", 0, len(text))], 1)
+
+
 def test_masking(spark):
     docs = documents(spark, [None, "", PLAIN, "x %74oken%3Dabcdefgh1 y", "clean"])
     got = secret_scan.mask_secrets(docs, "text", {"doc_id": F.col("doc_id")}).where("doc_id > 0").orderBy("doc_id").collect()
