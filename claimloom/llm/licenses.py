@@ -3,15 +3,15 @@
 ``train`` fits a multinomial logistic regression over word n-grams on the
 driver over a bounded set: passages of the templates, one class per
 family, and a sample of the corpus's own paragraphs as the unknown class. The
-features are sparse: an n-gram that a hundredth of the sampled paragraphs has
-is no feature, nor is one without a rare word. The temperature is fitted on held-out passages, and the unknown
-class takes every paragraph whose best family stays below ``MIN_PROBABILITY``.
+features are all n-grams of the templates. The temperature is fitted on
+held-out passages, and the unknown class takes every paragraph whose best
+family stays below ``MIN_PROBABILITY``.
 
 ``scan_licenses`` is DataFrame functions only: paragraphs, their n-grams joined
 with the weights (as many rows as features, whatever the data), a softmax, and
 the share of the template's n-grams that the paragraph holds, which must reach
-``MIN_OVERLAP`` to confirm. Paragraphs without any word that every feature
-needs cannot be predicted as a family and are not cut into n-grams.
+``MIN_OVERLAP`` to confirm. Paragraphs without any of the words that decide
+(``anchors_of``) cannot be predicted as a family and are not cut into n-grams.
 
 Null and empty texts have no paragraphs and no findings. Equal paragraphs in
 one document are separate findings. Each row of ``docs`` gives one row, rows
@@ -32,7 +32,6 @@ from claimloom.staging import stage
 
 SAMPLE = 4_000  # paragraphs of the corpus in the unknown class
 SAMPLE_DOCS = 1_000  # documents they are taken from
-COMMON = 0.01  # share of the sampled paragraphs beyond which an n-gram or a word tells nothing
 SIZES = (2, 3)  # words of an n-gram
 MIN_PROBABILITY = 0.5
 MIN_OVERLAP = 0.6
@@ -98,6 +97,7 @@ class Model:
     weights: np.ndarray  # features x classes, temperature applied
     bias: np.ndarray
     anchors: tuple[str, ...]  # every feature holds one of these words
+    needed: int  # a paragraph without any of so many first anchors is unknown, whatever else it holds
 
 
 def passages(template: str) -> list[list[str]]:
@@ -110,15 +110,30 @@ def passages(template: str) -> list[list[str]]:
     return cuts
 
 
-def anchors_of(features: Sequence[str], rare: Mapping[str, int]) -> list[str]:
-    """Few words such that every feature holds one of them; rare words first."""
-    left, chosen = set(features), []
+def anchors_of(features: Sequence[str], gains: np.ndarray, bias: np.ndarray, count: Mapping[str, int]) -> tuple[list[str], int]:
+    """Words such that every feature holds one of them, and how many of them suffice.
+
+    ``gains`` (features x families) and ``bias`` (families) are what a feature,
+    and no feature, adds to a family's score over the unknown class. A paragraph
+    without the first words has only features that none of them is in; once
+    even all of these together lift no family over the unknown class, these
+    words suffice. Words that bring much and are rare (``count``) come first.
+    """
+    held = [set(f.split()) for f in features]
+    lift = np.maximum(gains, 0)
+    weight = lift.max(1) + 1e-9
+    left, chosen, needed = set(range(len(features))), [], None
     while left:
-        holders = Counter(w for f in left for w in set(f.split()) if w in rare)
-        word = max(holders, key=lambda w: (holders[w] / (1 + rare[w]), w))
+        if needed is None and (lift[sorted(left)].sum(0) + bias < 0).all():
+            needed = len(chosen)
+        brings: Counter = Counter()
+        for i in left:
+            for word in held[i]:
+                brings[word] += weight[i]
+        word = max(brings, key=lambda w: (brings[w] / (1 + count.get(w, 0)), w))
         chosen.append(word)
-        left = {f for f in left if word not in f.split()}
-    return chosen
+        left = {i for i in left if word not in held[i]}
+    return chosen, len(chosen) if needed is None else needed
 
 
 def train(
@@ -138,17 +153,14 @@ def train(
     known = {g for _, p in rows for g in ngrams_of(p, sizes)}
     # notices are common among sampled paragraphs too: those that hold most of a template teach nothing
     whole = [set(ngrams_of(words_of(t), sizes)) for ts in templates.values() for t in ts]
-    unknown = []
+    unknown, plain = [], Counter()  # words by paragraphs that hold them
     for paragraph in sample:
-        own = set(ngrams_of(words_of(paragraph), sizes)) & known
+        words = words_of(paragraph)
+        own = set(ngrams_of(words, sizes)) & known
         if not any(len(own & w) >= MIN_OVERLAP * len(w) for w in whole):
             unknown.append(own)
-    plain = Counter(g for own in unknown for g in own)
-    # a feature is rare itself and holds a word that is rare, even as a part of other words
-    lowered = [p.lower() for p in sample]
-    common = {w: sum(w in p for p in lowered) for w in {w for g in known for w in g.split()} if len(w) > 1}
-    rare = {w for w, n in common.items() if n <= COMMON * max(1, len(sample))}
-    features = sorted(g for g in known if plain[g] <= COMMON * max(1, len(unknown)) and rare & set(g.split()))
+            plain.update(set(words))
+    features = sorted(known)
     index = {g: i for i, g in enumerate(features)}
     y = np.array([i for i, _ in rows] + [len(families) - 1] * len(unknown))
     x = np.zeros((len(y), len(features)))
@@ -178,8 +190,9 @@ def train(
         (0.25, 0.5, 1.0, 2.0, 4.0),
         key=lambda t: -np.mean(importance[held] * np.log(softmax(z * t)[np.arange(held.sum()), y[held]] + 1e-12)),
     )
-    anchors = anchors_of(features, {w: n for w, n in common.items() if w in rare})
-    return Model(families, tuple(features), w * heat, b * heat, tuple(anchors))
+    w, b = w * heat, b * heat
+    anchors, needed = anchors_of(features, w[:, :-1] - w[:, -1:], b[:-1] - b[-1], plain)
+    return Model(families, tuple(features), w, b, tuple(anchors), needed)
 
 
 def paragraphs(docs: DataFrame, id: Column, text: str) -> DataFrame:
@@ -222,9 +235,8 @@ def scan_licenses(
     """
     spark = docs.sparkSession
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
-    holds = F.lit(False)
-    for anchor in model.anchors:
-        holds = holds | F.contains(F.col("lowered"), F.lit(anchor))
+    anchors = "|".join(model.anchors[: model.needed])
+    holds = F.col("lowered").rlike(f"(?<![a-z0-9])(?:{anchors})(?![a-z0-9])") if anchors else F.lit(True)
     likely = docs.select("row", lowered.alias("lowered")).where(holds)
     cut = likely.select("row", F.posexplode(F.split("lowered", r"\n")).alias("at", "lowered")).where(holds)
     cut_words = F.regexp_extract_all("lowered", F.lit("([a-z0-9]+)"), F.lit(1)).alias("words")

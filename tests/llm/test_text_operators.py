@@ -224,6 +224,25 @@ def test_licences(spark):
             assert "apache-2.0" in by_id[i]
 
 
+def test_a_hot_source_hides_no_notice(spark):
+    rng = random.Random(3)
+    prose = [" ".join(rng.choices("alpha beta by license licensed released under mit nc sa the cc of work".split(), k=9)) for _ in range(1500)]
+    hot = [f"Released and licensed under the v{i} license of house {i}, by number {i}." for i in range(500)]
+    model = licenses.train(prose + hot)
+    grams = {g for ts in licenses.TEMPLATES.values() for t in ts for g in licenses.ngrams_of(licenses.words_of(t))}
+    assert set(model.features) == grams
+    # without the words that decide, even all other features together lift no family over the unknown class
+    few = set(model.anchors[: model.needed])
+    rest = [i for i, f in enumerate(model.features) if not few & set(f.split())]
+    lift = np.maximum(model.weights[rest, :-1] - model.weights[rest, -1:], 0).sum(0)
+    assert (lift + model.bias[:-1] < model.bias[-1]).all()
+    notices = ["Released under the MIT License.", "Licensed under CC BY 4.0.", "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-SA 4.0."]
+    texts = ["\n".join(prose[3 * i : 3 * i + 3] + [hot[i], notices[i % 4]]) for i in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.families for r in licenses.document_licenses(docs).collect()}
+    assert all(("mit", "cc-by", "cc-by-nc", "cc-by-sa")[i % 4] in got[i].split(",") for i in range(400))
+
+
 # --- language ----------------------------------------------------------------------
 
 
