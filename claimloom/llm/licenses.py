@@ -10,8 +10,10 @@ family stays below ``MIN_PROBABILITY``.
 ``scan_licenses`` is DataFrame functions only: paragraphs, their n-grams joined
 with the weights (as many rows as features, whatever the data), a softmax, and
 the share of the template's n-grams that the paragraph holds, which must reach
-``MIN_OVERLAP`` to confirm. Paragraphs without any of the words that decide
-(``anchors_of``) cannot be predicted as a family and are not cut into n-grams.
+``MIN_OVERLAP`` to confirm. A paragraph is a line, or a run of adjacent lines
+where a wrapped notice needs it: runs are judged like lines and count where they
+are confirmed and no line of theirs is. Texts without any of the words that
+decide (``anchors_of``) cannot be predicted as a family and are not cut.
 
 Null and empty texts have no paragraphs and no findings. Equal paragraphs in
 one document are separate findings. Each row of ``docs`` gives one row, rows
@@ -26,7 +28,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from claimloom.staging import stage
 
@@ -74,6 +76,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     ),
     "proprietary": (
+        "All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced without the prior written permission of the publisher.",
     ),
 }
@@ -229,19 +232,23 @@ def scan_licenses(
     min_probability: float = MIN_PROBABILITY,
     min_overlap: float = MIN_OVERLAP,
 ) -> DataFrame:
-    """(row, at, family, probability, overlap, confirmed) of paragraphs predicted as a family.
+    """(row, at, last, family, probability, overlap, confirmed) of paragraphs predicted as a family.
 
-    ``docs`` holds ``row`` (a unique key) and the text.
+    ``docs`` holds ``row`` and the text. ``at`` is the paragraph's first line, ``last`` its last one.
     """
     spark = docs.sparkSession
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
     anchors = "|".join(model.anchors[: model.needed])
     holds = F.col("lowered").rlike(f"(?<![a-z0-9])(?:{anchors})(?![a-z0-9])") if anchors else F.lit(True)
     likely = docs.select("row", lowered.alias("lowered")).where(holds)
-    cut = likely.select("row", F.posexplode(F.split("lowered", r"\n")).alias("at", "lowered")).where(holds)
+    likely = likely.select("row", F.monotonically_increasing_id().alias("copy"), "lowered")  # rows may be equal
+    cut = likely.select("row", "copy", F.posexplode(F.split("lowered", r"\n")).alias("at", "lowered"))
     cut_words = F.regexp_extract_all("lowered", F.lit("([a-z0-9]+)"), F.lit(1)).alias("words")
-    words = stage(cut.select("row", "at", cut_words), "licence-words")  # few paragraphs are left
-    grams = words.select("row", "at", F.explode(_grams(F.col("words"), sizes)).alias("gram"))
+    lines = stage(cut.select("row", "copy", "at", cut_words, holds.alias("hit")), "licence-words")  # few documents are left
+    longest = max(len(words_of(t)) for ts in templates.values() for t in ts)
+    units = lines.where("hit").select("row", "copy", "at", F.col("at").alias("last"), "words").union(_runs(lines, longest))
+    key = ["row", "copy", "at", "last"]
+    grams = units.select(*key, F.explode(_grams(F.col("words"), sizes)).alias("gram"))
 
     weights = spark.createDataFrame(
         [
@@ -253,28 +260,88 @@ def scan_licenses(
     )
     scored = (
         grams.join(F.broadcast(weights), "gram")  # a row per feature and family
-        .groupBy("row", "at", "family")
+        .groupBy(*key, "family")
         .agg((F.sum("w") + F.min("b")).alias("z"))
     )
-    best = scored.groupBy("row", "at").agg(
-        F.max(F.struct("z", "family")).alias("top"), F.sum(F.exp("z")).alias("total")
+    best = scored.groupBy(*key).agg(
+        F.max(F.struct("z", "family")).alias("top"), F.collect_list("z").alias("all")
+    )
+    total = F.aggregate("all", F.lit(0.0), lambda sum_, z: sum_ + F.exp(z - F.col("top.z")))
+    predicted = best.select(*key, F.col("top.family").alias("family"), (1 / total).alias("probability")).where(
+        (F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability)
     )
-    predicted = best.select(
-        "row", "at", F.col("top.family").alias("family"), (F.exp("top.z") / F.col("total")).alias("probability")
-    ).where((F.col("family") != UNKNOWN) & (F.col("probability") >= min_probability))
     # the template that the paragraph holds the most of confirms the prediction
     forms = [
         (family, sorted(set(ngrams_of(words_of(t), sizes)))) for family in sorted(templates) for t in templates[family]
     ]
     form = spark.createDataFrame(forms, "family string, form array<string>")
-    found = predicted.join(words, ["row", "at"]).withColumn("grams", _grams(F.col("words"), sizes)).drop("words")
+    found = predicted.join(units, key).withColumn("grams", _grams(F.col("words"), sizes)).drop("words")
     overlap = F.size(F.array_intersect("grams", "form")) / F.size("form")
-    return (
+    judged = (
         found.join(F.broadcast(form), "family")  # one row per template
-        .groupBy("row", "at", "family", "probability")
+        .groupBy(*key, "family", "probability")
         .agg(F.max(overlap).alias("overlap"))
         .withColumn("confirmed", F.col("overlap") >= min_overlap)
     )
+    return _settled(judged)
+
+
+def _runs(lines: DataFrame, longest: int) -> DataFrame:
+    """(row, copy, at, last, words) of runs of adjacent lines that a wrapped notice can fill.
+
+    Between the first line and the last, which other text may share, a run has
+    fewer words than the longest template; blank lines end it. One of its lines
+    must be a hit: every feature across a line end has its words in the run.
+    """
+    by_copy = Window.partitionBy("copy").orderBy("at")
+    by_paragraph = Window.partitionBy("copy", "part").orderBy("end")
+    numbered = lines.withColumn("part", F.sum((F.size("words") == 0).cast("int")).over(by_copy))
+    full = numbered.where(F.size("words") > 0).withColumn(
+        "end", F.sum(F.size("words")).over(Window.partitionBy("copy", "part").orderBy("at"))
+    )
+    line = F.struct("at", "words", "hit")
+    # each line is the last but one of some runs
+    pairs = full.select(
+        "row", "copy",
+        F.collect_list(line).over(by_paragraph.rangeBetween(-longest + 1, 0)).alias("head"),
+        F.lead(line).over(by_paragraph).alias("tail"),
+    ).where(F.col("tail").isNotNull())
+    parts = F.concat("head", F.array("tail"))
+    runs = pairs.select(
+        "row", "copy", F.explode(F.transform(F.sequence(F.lit(1), F.size("head")), lambda i: F.slice(parts, i, F.size(parts)))).alias("run")
+    )
+    return runs.where(F.exists("run", lambda x: x["hit"])).select(
+        "row", "copy", F.col("run")[0]["at"].alias("at"), F.element_at("run", -1)["at"].alias("last"),
+        F.flatten(F.col("run.words")).alias("words"),
+    )
+
+
+def _settled(judged: DataFrame) -> DataFrame:
+    """Single lines, and the runs that are confirmed where no line of theirs is.
+
+    Of runs of one family that overlap, the one that holds the most of its
+    template stays, then the shortest, then the first. It stands for the
+    unconfirmed lines in it.
+    """
+    fields = ["at", "last", "family", "probability", "overlap", "confirmed"]
+    rank = F.struct((-F.col("overlap")).alias("o"), (F.col("last") - F.col("at")).alias("n"), *fields)
+    single = F.col("at") == F.col("last")
+    by_copy = judged.groupBy("row", "copy").agg(
+        F.collect_list(F.when(single, rank)).alias("lines"),
+        F.array_sort(F.collect_list(F.when(~single & F.col("confirmed"), rank))).alias("runs"),
+    )
+
+    def touch(x, y):
+        return (x["at"] <= y["last"]) & (y["at"] <= x["last"])
+
+    own = F.filter("runs", lambda x: ~F.exists("lines", lambda y: y["confirmed"] & (y["family"] == x["family"]) & touch(x, y)))
+    chosen = F.aggregate(
+        "runs", F.slice("runs", 1, 0),
+        lambda held, x: F.when(F.exists(held, lambda y: (y["family"] == x["family"]) & touch(x, y)), held).otherwise(F.concat(held, F.array(x))),
+    )
+    left = F.filter("lines", lambda x: x["confirmed"] | ~F.exists("runs", lambda y: touch(x, y)))
+    settled = by_copy.withColumn("runs", own).withColumn("runs", chosen)
+    return settled.select("row", F.explode(F.concat(left, F.col("runs"))).alias("f")).select("row", *[f"f.{x}" for x in fields])
 
 
 def document_licenses(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:

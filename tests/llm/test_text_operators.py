@@ -243,6 +243,48 @@ def test_a_hot_source_hides_no_notice(spark):
     assert all(("mit", "cc-by", "cc-by-nc", "cc-by-sa")[i % 4] in got[i].split(",") for i in range(400))
 
 
+def families_of(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r.doc_id: r for r in licenses.document_licenses(docs).collect()}
+
+
+def test_every_licence_line_of_the_documents_is_confirmed(spark):
+    wanted = {"All rights reserved.": "proprietary", "Released under the MIT License.": "mit",
+              "Licensed under CC BY-NC 4.0.": "cc-by-nc", "Licensed under the Apache License, Version 2.0.": "apache-2.0",
+              "This work is licensed under the GNU General Public License, version 3.": "gpl"}
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.where("doc_id is not null").collect()}
+    got = {r.doc_id: r for r in licenses.document_licenses(docs).collect()}
+    seen = set()
+    for id, text in texts.items():
+        for at, line in enumerate((text or "").split("\n")):
+            if line in wanted:
+                assert f"{at}:{wanted[line]}:confirmed" in got[id].notices.split(",")
+                assert wanted[line] in got[id].families.split(",")
+                seen.add(line)
+    assert "All rights reserved." in seen
+
+
+def test_wrapped_notices_are_confirmed(spark):
+    import textwrap
+
+    cases = [(family, template, width, mark) for family, ts in licenses.TEMPLATES.items() for template in ts
+             for width, mark in ((70, ""), (40, " * "), (20, "# "))]
+    texts = [
+        "\n".join(["Some plain prose stands here.", *[mark + x for x in textwrap.wrap(t, width)], "More of the plain prose."])
+        for _, t, width, mark in cases
+    ]
+    texts.append("\n".join(textwrap.wrap(licenses.TEMPLATES["bsd"][0], 50) + textwrap.wrap(licenses.TEMPLATES["gpl"][1], 50)))
+    texts.append("a " * 300 + "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation files.")
+    texts.append("Permission is hereby granted, free\n\nof charge, to any person obtaining")
+    got = families_of(spark, texts)
+    for i, case in enumerate(cases):
+        assert got[i].families == case[0], (case, got[i])
+    assert got[len(cases)].families == "bsd,gpl"
+    assert got[len(cases) + 1].families == "mit" and got[len(cases) + 1].notices == "0:mit:confirmed"
+    assert got[len(cases) + 2].families == ""
+
+
 # --- language ----------------------------------------------------------------------
 
 
