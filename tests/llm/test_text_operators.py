@@ -316,6 +316,20 @@ def test_language_edges(spark):
     assert language.language_samples(docs.limit(0), "lang", "text") == {}
 
 
+def test_a_language_of_few_texts_with_many_copies(spark):
+    rng = random.Random(7)
+    words = {"xx": ["kala", "puhe", "vesi", "tuli", "maa", "ilma", "yksi", "kaksi"], "yy": ["stone", "river", "cloud", "tree", "bird", "road"]}
+    texts = {k: [f"{k} {i} " + " ".join(rng.choices(v, k=30)) for i in range(40)] for k, v in words.items()}
+    few = spark.createDataFrame([(t, "xx") for t in texts["xx"]], "text string, lang string").crossJoin(spark.range(500)).drop("id")
+    docs = few.union(spark.createDataFrame([(t, "yy") for t in texts["yy"]], "text string, lang string"))
+    samples = language.language_samples(docs, "lang", "text", sample_docs=50)
+    assert {k: n for k, (n, _) in samples.items()} == {"xx": 20_000, "yy": 40}
+    for lang, own in texts.items():
+        assert all(language.folded(t) in samples[lang][1] for t in own)
+    classifier = language.Classifier(samples)
+    assert classifier.predict(" ".join(rng.choices(words["xx"], k=30)))[0] == "xx"
+
+
 # --- quality -----------------------------------------------------------------------
 
 
