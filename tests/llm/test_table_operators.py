@@ -268,6 +268,26 @@ def test_regions_come_from_the_host(spark):
     assert wrappers.extract_main_text(df.limit(0), "page_id", "url", "html", {"page_id": F.col("page_id")}).count() == 0
 
 
+@pytest.mark.parametrize(
+    "shape",
+    [
+        "<article><h1>T{0}</h1><div class='lead'><p>Lead {0}.</p></div><div class='body'><p>{1}</p></div></article>",
+        "<article><header><h1>T{0}</h1></header><p>Lead {0}.</p><div class='body'><section><p>{1}</p></section></div></article>",
+        "<main><div class='x'><article><h1>T{0}</h1><div><p>Lead {0}.</p></div><div class='body'><p>{1}</p></div></article></div></main>",
+        "<div class='page'><div class='top'><h1>T{0}</h1></div><div class='lead'><p>Lead {0}.</p></div><div class='body'><p>{1}</p></div></div>",
+    ],
+)
+def test_no_block_of_an_article_is_lost(shape):
+    long = "A long text of many words that holds most of what the page says. "
+    tail = "<section><p>Last words {0}.</p></section>"
+    inner = re.sub(r"(</article>.*|</div>)$", lambda m: tail + m[0], shape)
+    pages = [f"<html><body><nav>Menu</nav>{inner.format(i, (long + str(i) + ' ') * 9)}<footer>End</footer></body></html>" for i in range(4)]
+    region = wrappers.region_of(wrappers.infer_wrapper(pages))
+    for i, html_ in enumerate(pages):
+        want = [f"T{i}", f"Lead {i}.", ((long + str(i) + " ") * 9).strip(), f"Last words {i}."]
+        assert wrappers.main_text(html_, region).split("\n") == want
+
+
 def test_alignment_generalises():
     def shown(*pages):
         return " ".join(map(str, wrappers.infer_wrapper(list(pages))))
