@@ -5,9 +5,23 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from claimloom.llm import bpe, exact_dedup, language, licenses, near_dedup, packing, quality, secret_scan, topk, wrappers
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from claimloom.llm import (
+    bpe,
+    exact_dedup,
+    language,
+    licenses,
+    merkle,
+    near_dedup,
+    packing,
+    periodic,
+    quality,
+    secret_scan,
+    topk,
+    url_rules,
+    wrappers,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -93,11 +107,68 @@ def op10_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    # one character more than stated; nulls stay, as does the greatest long
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = F.when(_remainder(7) == 0, merkle.leaf_digest([more if c == "n_chars" else F.col(c) for c in fields]))
+    proved = merkle.manifest(docs, fields, "lang", "doc_id", {"doc_id": F.col("doc_id"), "tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("siblings"))
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("siblings")).alias("proof_sha256"),
+        folded.alias("folded_root"), "siblings",
+    ).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def _made_periodic(text: Column, doc_id: Column) -> Column:
+    """The text, in every tenth document with all words from some place on repeating its next few."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
+
+    # a lambda's argument is computed once, a column named twice perhaps twice
+    made = F.transform(F.array(words), lambda w: F.array_join(F.when(F.size(w) > 0, repeated(w)).otherwise(w), " "))
+    return F.when(h % 10 == 0, made[0]).otherwise(text)
+
+
+def op12_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    text = _made_periodic(F.col("text"), F.col("doc_id"))
+    found = periodic.find_runs(docs, text, {"doc_id": F.col("doc_id")})
+    best = periodic.strongest(F.col("runs"))
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+URL_RULES = (
+    url_rules.Rule("net/", "block"),
+    url_rules.Rule("example.net/en/", "allow"),
+    url_rules.Rule("example.com/de/", "block"),
+    url_rules.Rule("org/fr/", "allow"),
+)
+
+
+def op13_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judge_urls(_table(spark, folder, "pages"), "url", URL_RULES, {"page_id": F.col("page_id")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_bpe, op2_topk, op3_quality, op4_wrappers, op5_secrets,
         op6_exact_dedup, op7_packing, op8_licenses, op9_language, op10_near_dedup,
+        op11_merkle, op12_runs, op13_urls,
     )
 }
 
@@ -160,7 +231,86 @@ FROM n
 """
 
 
+# crc32 bit by bit: a byte is added, then eight halvings, -1 standing for one.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_concat([4294967295], flatten(list_transform(string_split(s, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, b: CASE WHEN b >= 0 THEN xor(crc, b) WHEN crc % 2 = 1 THEN xor(crc // 2, 3988292384) ELSE crc // 2 END))"""
+
+
+def _field_sql(column: str) -> str:
+    return f"coalesce(strlen(CAST({column} AS VARCHAR)) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return f"sha256({' || '.join(map(_field_sql, ('doc_id', 'source', 'lang', n_chars, 'text')))})"
+
+
+def _level_sql(tree: str) -> str:
+    return f"""SELECT lang, level + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), (n + 1) // 2
+  FROM {tree} WHERE n > 1 GROUP BY lang, level, i // 2, n"""
+
+
+# Level by level, as the definition says; a sibling is written L, R or - with its digest behind.
+_MERKLE = f"""
+WITH RECURSIVE crc AS (SELECT s, {_CRC32} AS crc FROM (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS s FROM documents WHERE doc_id IS NOT NULL)),
+leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS lang, {_leaf_sql("n_chars")} AS leaf,
+         CASE WHEN crc % 7 = 0 THEN {_leaf_sql("CAST(n_chars AS HUGEINT) + 1")} END AS tampered
+  FROM documents LEFT JOIN crc ON s = CAST(doc_id AS VARCHAR)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n
+  FROM leaves),
+tree(lang, level, i, d, n) AS (
+  SELECT lang, 0, i, leaf, n FROM ranked
+  UNION ALL
+  {_level_sql("tree")}),
+roots AS (
+  SELECT lang, d AS subroot, row_number() OVER (ORDER BY lang) - 1 AS i, count(*) OVER () AS n FROM tree WHERE n = 1),
+upper(lang, level, i, d, n) AS (
+  SELECT '', 0, i, subroot, n FROM roots
+  UNION ALL
+  {_level_sql("upper")}),
+steps AS (
+  SELECT r.lang, r.i, t.level, CASE WHEN s.d IS NULL THEN '-' WHEN s.i < t.i THEN 'L' || s.d ELSE 'R' || s.d END AS step
+  FROM ranked r JOIN tree t ON t.lang = r.lang AND t.i = r.i >> t.level AND t.n > 1
+  LEFT JOIN tree s ON s.lang = t.lang AND s.level = t.level AND s.i = xor(t.i, 1)),
+own AS (SELECT lang, i, list(step ORDER BY level) AS steps FROM steps GROUP BY ALL),
+over AS (
+  SELECT r.lang, list(CASE WHEN s.d IS NULL THEN '-' WHEN s.i < t.i THEN 'L' || s.d ELSE 'R' || s.d END ORDER BY t.level) AS steps
+  FROM roots r JOIN upper t ON t.i = r.i >> t.level AND t.n > 1
+  LEFT JOIN upper s ON s.level = t.level AND s.i = xor(t.i, 1) GROUP BY r.lang),
+proofs AS (
+  SELECT r.doc_id, r.leaf, r.tampered, roots.subroot, (SELECT d FROM upper WHERE n = 1) AS root,
+         list_concat(coalesce(own.steps, []), coalesce(over.steps, [])) AS steps
+  FROM ranked r JOIN roots USING (lang) LEFT JOIN own ON own.lang = r.lang AND own.i = r.i LEFT JOIN over ON over.lang = r.lang),
+folded AS (
+  SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_concat([''], list_transform(steps, lambda s: s[2:])), 'string_agg', '')) AS proof_sha256,
+         list_reduce(list_concat([coalesce(tampered, leaf)], steps),
+           lambda d, s: sha256(CASE s[1] WHEN 'L' THEN s[2:] || d WHEN 'R' THEN d || s[2:] ELSE d END)) AS folded_root
+  FROM proofs)
+SELECT *, folded_root = root AS verified FROM folded
+"""
+
+_URLS = """
+WITH r AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM r),
+f AS (
+  SELECT *, CASE
+    WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM p)
+SELECT *, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict FROM f
+"""
+
 SQL: dict[str, str] = {
+    "op11_merkle": _MERKLE,
+    "op13_urls": _URLS,
     "op2_topk": _TOPK,
     "op6_exact_dedup": _DEDUP,
     "op7_packing": _packing_sql(),
