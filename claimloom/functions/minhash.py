@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
+from claimloom.functions.shingles import code_points, rolling_hash
+
 # Modulus and range of the hash permutations.
 MERSENNE_PRIME = (1 << 61) - 1
 MAX_HASH = (1 << 32) - 1
 
 # Letters hashed together: at most 128 MB of permuted hashes per Python worker.
 CHUNK_CHARS = 250_000
-# Shingles whose hash is remembered.
-KNOWN_SHINGLES = 200_000
+# Rows of them that are compared at a time.
+GATHERED = 1024
 
 
 def _area(f, low: float, high: float, steps: int = 1000) -> float:
@@ -43,18 +47,14 @@ def band_digests(text: Column, ngram: int, num_perm: int, seed: int, bands: int,
     """Array of one 16-byte digest per band; equal digests mean equal bands.
 
     Shingles are the distinct character n-grams (the whole text if shorter),
-    hashed to 32 bits and permuted by ``num_perm`` affine maps modulo a prime;
-    a band is ``rows`` successive minima. The digest also covers the band's
-    number, so digests of different bands never meet.
+    hashed to 32 bits by a polynomial over their code points and permuted by
+    ``num_perm`` affine maps modulo a prime; a band is ``rows`` successive
+    minima. The digest also covers the band's number, so digests of different
+    bands never meet. All work is on arrays, none per shingle.
     """
-    prime, mask, chunk_chars, known_max = MERSENNE_PRIME, MAX_HASH, CHUNK_CHARS, KNOWN_SHINGLES
+    prime, mask, chunk_chars = MERSENNE_PRIME, MAX_HASH, CHUNK_CHARS
 
-    # Self-contained, so that executors need nothing but numpy and pandas.
     def digests(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import hashlib
-
-        import numpy as np
-
         draw = np.random.RandomState(seed)
         pairs = [
             (draw.randint(1, prime, dtype=np.uint64), draw.randint(0, prime, dtype=np.uint64))
@@ -63,17 +63,7 @@ def band_digests(text: Column, ngram: int, num_perm: int, seed: int, bands: int,
         factor = np.array([a for a, _ in pairs], dtype=np.uint64)
         offset = np.array([b for _, b in pairs], dtype=np.uint64)
         low61, shift = np.uint64(prime), np.uint64(61)
-
-        class ShingleHashes(dict):
-            """First four bytes of sha1 per shingle, remembered between texts."""
-
-            def __missing__(self, shingle):
-                value = int.from_bytes(hashlib.sha1(shingle.encode("utf8")).digest()[:4], "little")
-                if len(self) < known_max:
-                    self[shingle] = value
-                return value
-
-        known = ShingleHashes()
+        gathered = np.empty((GATHERED, num_perm), dtype=np.uint32)
 
         def permuted(hashes: np.ndarray) -> np.ndarray:
             out = np.empty((len(hashes), num_perm), dtype=np.uint32)
@@ -88,29 +78,26 @@ def band_digests(text: Column, ngram: int, num_perm: int, seed: int, bands: int,
                 out[start : start + 512] = block
             return out
 
+        def least_of(table: np.ndarray, row: np.ndarray) -> np.ndarray:
+            """Minima over the rows of ``table`` that ``row`` lists, some at a time, so that they stay in cache."""
+            least = np.full(num_perm, mask, dtype=np.uint32)
+            for start in range(0, len(row), GATHERED):
+                part = row[start : start + GATHERED]
+                taken = np.take(table, part, axis=0, out=gathered[: len(part)], mode="clip")
+                np.minimum(least, taken.min(axis=0), out=least)
+            return least
+
         def minima(pieces: list[str]) -> Iterator[np.ndarray]:
             """Minima of each piece; a shingle that several pieces share is permuted once."""
-            joined = "".join(pieces)
-            points = np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32)
-            letters = np.unique(points, return_inverse=True)[1]
+            hashes = rolling_hash(code_points("".join(pieces)), ngram)
             lengths = np.array([len(piece) for piece in pieces])
-            ends = np.repeat(np.cumsum(lengths), lengths)
-            starts = np.flatnonzero(ends - ngram >= np.arange(len(letters)))
-            # One number per n-gram, digit by digit; renumbered before it overflows.
-            base = int(letters.max()) + 1
-            codes, size = letters[starts], base
-            for i in range(1, ngram):
-                if size * base >= 1 << 62:
-                    codes = np.unique(codes, return_inverse=True)[1]
-                    size = int(codes.max()) + 1
-                codes = codes * base + letters[starts + i]
-                size *= base
-            _, first, row = np.unique(codes, return_index=True, return_inverse=True)
-            shingles = (known[joined[at : at + ngram]] for at in starts[first].tolist())
-            table = permuted(np.fromiter(shingles, np.uint64, len(first)))
+            ends = np.repeat(np.cumsum(lengths), lengths)[: len(hashes)]
+            inside = ends - ngram >= np.arange(len(hashes))
+            distinct, row = np.unique(hashes[inside], return_inverse=True)
+            table = permuted(distinct)
             done = 0
             for count in (lengths - ngram + 1).tolist():
-                yield table[row[done : done + count]].min(axis=0)
+                yield least_of(table, row[done : done + count])
                 done += count
 
         def signatures(values: list[str]) -> np.ndarray:
@@ -123,7 +110,8 @@ def band_digests(text: Column, ngram: int, num_perm: int, seed: int, bands: int,
 
             for row, value in enumerate(values):
                 if len(value) < ngram:
-                    least[row] = permuted(np.array([known[value]], dtype=np.uint64))[0]
+                    points = code_points(value)
+                    least[row] = permuted(rolling_hash(points, len(points)))[0]
                     continue
                 # A long text comes in pieces that overlap by one n-gram less a letter.
                 for start in range(0, len(value) - ngram + 1, chunk_chars):

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from claimloom.functions.minhash import band_digests, lsh_bands
 from claimloom.functions.text import text_digest
+from claimloom.operators.similarity import verified_pairs
 from claimloom.operators.skew import ROWS_PER_TASK, hot_keys, salted_left_join
 from claimloom.session import ensure_checkpoint_dir
 
@@ -79,14 +80,21 @@ def text_groups(banded: DataFrame, settings: NearDuplicateSettings = DEFAULTS) -
 
 
 def near_duplicate_pairs(
-    df: DataFrame, key: str, text: str, settings: NearDuplicateSettings = DEFAULTS
+    df: DataFrame, key: str, text: str, settings: NearDuplicateSettings = DEFAULTS, verify: bool = False
 ) -> DataFrame:
     """(id_a, id_b, band) with id_a < id_b: every group as a star around its least text.
 
     Texts with the same (id_a, band), and id_a itself, are candidates of each
     other: at most one row per text and band tells them all.
+
+    With ``verify``: (id_a, id_b, jaccard), every two candidates whose exact
+    Jaccard similarity reaches the threshold. Each text is named by its least
+    key, so copies of it are not repeated; ``key`` must be unique then.
     """
     groups = text_groups(band_buckets(distinct_texts(df, key, text), settings), settings)
+    if verify:
+        texts = df.select(F.col(key).alias("text_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+        return verified_pairs(texts, groups, settings.threshold, settings.ngram, settings.rows_per_task)
     return groups.where(F.col("least") < F.col("text_id")).select(
         F.col("least").alias("id_a"), F.col("text_id").alias("id_b"), "band"
     )

@@ -341,6 +341,10 @@ def near_duplicate_pairs_query(spark, folder):
     return near_duplicate_pairs(plain(spark, folder, "documents"), "doc_id", "text")
 
 
+def verified_pairs(spark, folder):
+    return near_duplicate_pairs(plain(spark, folder, "documents"), "doc_id", "text", verify=True)
+
+
 def near_duplicate_lists(spark, folder):
     documents = plain(spark, folder, "documents").select("doc_id", "text")
     found = find_near_duplicates(documents, "doc_id", "text")
@@ -400,6 +404,7 @@ QUERIES: dict[str, Query] = {
     "review_enrich": enriched_texts,
     "unify_urls": unified_urls,
     "near_duplicates": near_duplicate_pairs_query,
+    "near_dup_verified": verified_pairs,
     "near_dup_lists": near_duplicate_lists,
     "whole_run": whole_run,
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 
 from claimloom.functions.minhash import MAX_HASH, MERSENNE_PRIME, lsh_bands
+from claimloom.functions.shingles import HASH_BASE, HASH_PRIME
 from claimloom.functions.unicode_tables import emoji_pattern
 from claimloom.functions.urls import COUNTRY_DOMAINS, GENERIC_DOMAINS
 from claimloom.plans.catalog import EMOJI_SAMPLE, TABLES
@@ -211,9 +212,11 @@ grams AS (SELECT rep, n, i, {grams} AS s FROM chars WINDOW w AS (PARTITION BY re
 shingles AS (
   SELECT DISTINCT rep, s FROM grams WHERE i <= greatest(1, n - {ngram - 1})
   UNION ALL SELECT rep, '' FROM distinct_body WHERE body = ''),
-vocabulary AS (SELECT s, sha1(s) AS x FROM (SELECT DISTINCT s FROM shingles)),
 numbers AS (
-  SELECT s, CAST(CAST('0x' || x[7:8] || x[5:6] || x[3:4] || x[1:2] AS UBIGINT) AS HUGEINT) AS hv FROM vocabulary),
+  SELECT s, CAST(list_reduce(
+      list_concat([CAST(0 AS BIGINT)], list_transform(list_filter(string_split(s, ''), lambda c: c <> ''), lambda c: CAST(unicode(c) AS BIGINT) + 1)),
+      lambda h, c: (h * {HASH_BASE} + c) % {HASH_PRIME}) AS HUGEINT) AS hv
+  FROM (SELECT DISTINCT s FROM shingles)),
 hashes AS (SELECT s, {hashed} FROM numbers),
 signatures AS (SELECT rep, {minima} FROM shingles JOIN hashes USING (s) GROUP BY rep),
 bands AS (SELECT rep, unnest([{band}]) AS bucket, unnest(range({bands})) AS band FROM signatures),
@@ -222,6 +225,17 @@ groups AS (
   WINDOW g AS (PARTITION BY bucket) QUALIFY count(*) OVER g > 1)"""
 
 
+# Pairs that share a band, each by its exact similarity, counted shingle by shingle.
+_VERIFIED = """candidates AS (
+  SELECT DISTINCT x.rep AS a, y.rep AS b FROM groups x JOIN groups y USING (band, least) WHERE x.rep < y.rep),
+sizes AS (SELECT rep, count(*) AS n FROM shingles GROUP BY rep),
+common AS (
+  SELECT a, b, count(*) AS k FROM candidates JOIN shingles x ON x.rep = a JOIN shingles y ON y.rep = b AND y.s = x.s
+  GROUP BY a, b),
+verified AS (
+  SELECT a AS id_a, b AS id_b, CAST(k AS DOUBLE) / CAST(p.n + q.n - k AS DOUBLE) AS jaccard
+  FROM common JOIN sizes p ON p.rep = a JOIN sizes q ON q.rep = b)"""
+
 _MEMBERS = """named AS (
   SELECT rep, string_agg(name, ' ' ORDER BY name) AS names
   FROM (SELECT rep, band || ':' || least AS name FROM groups) GROUP BY rep),
@@ -336,6 +350,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT text, coalesce(url_review, url_claim) AS url_review, uid AS row_key FROM texts""",
         "near_duplicates": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS body FROM documents), {_near("src")}
             SELECT least AS id_a, rep AS id_b, CAST(band AS INTEGER) AS band FROM groups WHERE least < rep""",
+        "near_dup_verified": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS body FROM documents), {_near("src")}, {_VERIFIED}
+            SELECT * FROM verified WHERE jaccard >= 0.7""",
         "near_dup_lists": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS body FROM documents), {_near("src")}, {_MEMBERS}
             SELECT id AS doc_id, text_id, near_duplicate_groups FROM members""",
         "whole_run": f"""WITH {_FLAGGED}, src AS (SELECT uid AS id, text_clean AS body FROM good), {_near("src")}, {_MEMBERS},
