@@ -4,30 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from claimloom.functions.suffixes import SuffixRules, as_rules
 from claimloom.functions.text import strip
 from claimloom.functions.unicode_tables import WHITESPACE_CLASS
 
-# The two-letter country domains, by first letter.
-COUNTRY_DOMAINS = (
-    "a[cdefgilmoqrstuwxz]|b[abdefghijmnorstvwyz]|c[acdfghiklmnoruvwxyz]|d[ejkmoz]"
-    "|e[cegrstu]|f[ijkmor]|g[abdefghilmnpqrstuwy]|h[kmnrtu]|i[delmnoqrst]|j[emop]"
-    "|k[eghimnprwyz]|l[abcikrstuvy]|m[acdeghklmnopqrstuvwxyz]|n[acefgilopruz]|om"
-    "|p[aefghklmnrstwy]|qa|r[eosuw]|s[abcdeghijklmnorstuvxyz]|t[cdfghjklmnortvwz]"
-    "|u[agksyz]|v[aceginu]|w[fs]|y[et]|z[amw]"
-)
-# Generic domains recognised without a scheme. Pass your own
-# tuple to cover more of the public registry.
-GENERIC_DOMAINS = (
-    "com", "org", "net", "edu", "gov", "mil", "int", "arpa", "info", "biz", "name",
-    "pro", "aero", "coop", "museum", "jobs", "mobi", "travel", "tel", "cat", "asia",
-    "post", "app", "dev", "blog", "online", "site", "xyz", "shop", "store", "club",
-    "top", "news", "live", "tech", "space", "website", "world", "today", "life",
-    "media", "digital", "email", "link", "click", "agency", "studio", "design",
-    "press", "social", "wiki", "page", "cloud", "network", "video", "ooo",
-)
-
 _WORD = r"\p{L}\p{N}_"
 _STOP = WHITESPACE_CLASS + "\"<>;"
 # A path never ends in sentence punctuation or a closing bracket.
@@ -45,22 +27,16 @@ LONG_NUMBER_PATTERN = r"(\p{Nd}{8,})"
 PLAIN_NUMBER_PATTERN = r"^[0-9]+([.,][0-9]+)?\z"
 
 
-def _domain_alternatives(domains: Iterable[str]) -> str:
-    return "|".join([*sorted(domains, key=len, reverse=True), COUNTRY_DOMAINS])
-
-
-def url_pattern(domains: Iterable[str] = GENERIC_DOMAINS) -> str:
-    """URLs in running text: with a scheme, with ``www.``, or a bare known domain.
+def url_pattern() -> str:
+    """What may be a URL in running text: with a scheme, with ``www.``, or a dotted host alone.
 
-    E-mail addresses are not URLs: a bare domain may not touch an ``@``.
+    E-mail addresses are not URLs: a bare host may not touch an ``@``.
     """
     labels = r"(?:[\p{L}\p{N}-]++\.)+"
-    # An address with a scheme needs no known domain, only a dotted host.
-    full = f"(?:https?|ftp)://(?:[^{_STOP}/?#@]+@)?(?:[{_WORD}-]++\\.)+[\\p{{L}}\\p{{N}}-]+"
-    bare = (
-        f"(?:www\\.{labels}[a-z]{{2,63}}|{labels}(?:{_domain_alternatives(domains)}))"
-        f"(?![{_WORD}@-])"
-    )
+    local = f"localhost(?![{_WORD}.@-])"
+    # An address with a scheme needs no known suffix, only a dotted host or this machine's name.
+    full = f"(?:https?|ftp)://(?:[^{_STOP}/?#@]+@)?(?:(?:[{_WORD}-]++\\.)+[\\p{{L}}\\p{{N}}-]+|{local})"
+    bare = f"(?:www\\.{labels}[a-z]{{2,63}}|{labels}[\\p{{L}}\\p{{N}}-]+)(?![{_WORD}@-])|{local}(?=:[0-9]|/)"
     rest = f"(?::[0-9]+)?(?:[/?#](?:{_TAIL})?)?"
     return f"(?i)(?<![{_WORD}@.-])(?:{full}|{bare}){rest}"
 
@@ -70,14 +46,28 @@ def is_number_like(c: Column) -> Column:
     return F.replace(F.lower(strip(c)), F.lit("o"), F.lit("0")).rlike(PLAIN_NUMBER_PATTERN)
 
 
-def find_urls(c: Column, domains: Iterable[str] = GENERIC_DOMAINS) -> Column:
-    """All URLs of a text in order, repeated ones included; null text gives []."""
-    found = F.regexp_extract_all(c, F.lit(url_pattern(domains)), F.lit(0))
-    # Cheap test first: no URL without "://" or a dot that a letter follows.
-    likely = c.rlike(r"://|\.[\p{L}]")
-    return F.when(likely, F.filter(found, lambda u: ~is_number_like(u))).otherwise(
-        F.array().cast("array<string>")
-    )
+def find_urls(c: Column, rules: SuffixRules | DataFrame | Iterable[str] | None = None) -> Column:
+    """All URLs of a text in order, repeated ones included; null text gives [].
+
+    A host without scheme and ``www.`` counts as far as it ends in a public
+    suffix by ``rules`` (a table, lines, or the list that Spark carries).
+    """
+    known = as_rules(rules).known
+
+    def recognised(url: Column) -> Column:
+        host = F.regexp_extract(url, "^[^:/?#]+", 0)
+        sure = url.rlike(r"(?i)^(?:https?|ftp)://|^www\.(?:[^.:/?#]+\.)+[a-z]{2,63}(?:[:/?#]|\z)|^localhost[:/]")
+        # what stands behind the last known suffix belongs to the next sentence: exemplo.com.Ontem
+        shorter = F.transform(
+            F.sequence(F.lit(2), F.size(F.split(host, r"\."))), lambda n: F.call_function("substring_index", host, F.lit("."), n)
+        )
+        return F.when(sure | known(host), url).otherwise(F.try_element_at(F.filter(shorter, known), F.lit(-1)))
+
+    # Without a scheme, www. and a dot that a letter follows there is no URL.
+    likely = c.rlike(r"(?i)://|\.[\p{L}]|localhost[:/]|\.[\p{N}-]+\p{L}")
+    candidates = F.regexp_extract_all(c, F.lit(url_pattern()), F.lit(0))
+    found = F.transform(F.filter(candidates, lambda u: ~is_number_like(u)), recognised)
+    return F.when(likely, F.filter(found, lambda u: u.isNotNull())).otherwise(F.array().cast("array<string>"))
 
 
 def drop_urls(c: Column, urls: Column) -> Column:

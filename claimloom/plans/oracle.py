@@ -6,12 +6,17 @@ window functions, the lookup is a plain join, MinHash is 128 SQL expressions.
 
 from __future__ import annotations
 
+import os
+import zipfile
+from functools import lru_cache
+from pathlib import Path
+
 import numpy as np
+import pyspark
 
 from claimloom.functions.minhash import MAX_HASH, MERSENNE_PRIME, lsh_bands
 from claimloom.functions.shingles import HASH_BASE, HASH_PRIME
 from claimloom.functions.unicode_tables import emoji_pattern
-from claimloom.functions.urls import COUNTRY_DOMAINS, GENERIC_DOMAINS
 from claimloom.plans.catalog import EMOJI_SAMPLE, TABLES
 from claimloom.plans.inputs import LABEL_SPELLINGS, ROLE_VERDICTS
 
@@ -52,22 +57,32 @@ def disguised(x: str) -> str:
     return f"regexp_full_match(replace(lower(trim({x})), 'o', '0'), {NUMBER})"
 
 
+@lru_cache(maxsize=1)
+def top_level_domains() -> tuple[str, ...]:
+    """Suffixes of one label in the public list, read straight from the jar that carries it."""
+    jars = Path(os.environ.get("SPARK_HOME") or Path(pyspark.__file__).parent) / "jars"
+    for jar in sorted(jars.glob("*httpclient-4*.jar")):
+        with zipfile.ZipFile(jar) as archive:
+            lines = archive.read("mozilla/public-suffix-list.txt").decode().split("BEGIN PRIVATE")[0].splitlines()
+        rules = (line.strip() for line in lines)
+        return tuple(rule for rule in rules if rule and rule.isalpha() and "." not in rule)
+    return ()
+
+
 def _url_regex() -> str:
     stop = r"\s\"<>;"
     tail = f"[^{stop}]*[^{stop}.,!?:)\\]}}']"
     labels = r"(?:[\p{L}\p{N}-]+\.)+"
-    domains = "|".join([*sorted(GENERIC_DOMAINS, key=len, reverse=True), COUNTRY_DOMAINS])
-    full = f"(?:https?|ftp)://{labels}[\\p{{L}}\\p{{N}}-]+"
-    bare = f"(?:www\\.{labels}[a-z]{{2,63}}|{labels}(?:{domains}))\\b"
-    return (
-        f"(?i)(?:^|[^\\p{{L}}\\p{{N}}_@.-])((?:{full}|{bare})(?::[0-9]+)?(?:[/?#](?:{tail})?)?)"
-    )
+    full = f"(?:https?|ftp)://(?:{labels}[\\p{{L}}\\p{{N}}-]+|localhost)"
+    bare = f"{labels}[\\p{{L}}\\p{{N}}-]+@?"  # one that touches an @ is mail
+    return f"(?i)(?:^|[^\\p{{L}}\\p{{N}}_@.-])((?:{full}|{bare})(?::[0-9]+)?(?:[/?#](?:{tail})?)?)"
 
 
 def urls(x: str) -> str:
-    return (
-        f"list_filter(regexp_extract_all({x}, {text(_url_regex())}, 1), lambda u: NOT {disguised('u')})"
-    )
+    listed = ", ".join(text(domain) for domain in top_level_domains())
+    known = f"list_contains([{listed}], lower(regexp_extract(u, '^[^:/?#]*[.]([^.:/?#]+)', 1)))"
+    return f"""list_filter(regexp_extract_all({x}, {text(_url_regex())}, 1), lambda u: NOT {disguised('u')}
+      AND NOT contains(regexp_extract(u, '^[^/?#]*'), '@') AND (contains(u, '://') OR starts_with(lower(u), 'www.') OR {known}))"""
 
 
 def without_urls(x: str, found: str) -> str:

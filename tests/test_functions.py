@@ -5,7 +5,7 @@ import unicodedata
 import pytest
 from pyspark.sql import functions as F
 
-from claimloom.functions import dates, labels, reviews, text, urls
+from claimloom.functions import dates, labels, reviews, suffixes, text, urls
 from claimloom.functions.minhash import lsh_bands
 from claimloom.functions.unicode_tables import WHITESPACE
 
@@ -153,10 +153,60 @@ def test_band_sizes():
     assert lsh_bands(0.85, 64) == (4, 15)
 
 
-def test_url_pattern_covers_all_country_domains():
-    codes = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
-    known = [c for c in codes if re.fullmatch(urls.COUNTRY_DOMAINS, c)]
-    assert {"br", "pt", "us", "uk", "io", "de"} <= set(known) and "ou" not in known
+RULES = ["// kinds of rules", "com", "com.br", "", "br", "*.ck", "!www.ck", "Guru  not read", "рф", "co.zz"]
+
+
+@pytest.mark.parametrize(
+    "raw, found",
+    [
+        ("exemplo.guru/a e foo.academy", ["exemplo.guru/a"]),
+        ("b.ck a.b.ck www.ck x.www.ck", ["a.b.ck", "www.ck", "x.www.ck"]),
+        ("com.br com a.co.zz co.zz a.zz", ["com.br", "a.co.zz"]),
+        ("пример.рф xn--e1afmkfd.xn--p1ai", ["пример.рф", "xn--e1afmkfd.xn--p1ai"]),
+        ("exemplo.com.Ontem foi. A.COM:80/x?y, fim.", ["exemplo.com", "A.COM:80/x?y"]),
+        ("localhost localhost:80 localhost/a mylocalhost:80 http://localhost:8080/x?y.", ["localhost:80", "localhost/a", "http://localhost:8080/x?y"]),
+        ("http://a.zzz/b www.a.zzz ftp://1.2.3.4/x", ["http://a.zzz/b", "www.a.zzz", "ftp://1.2.3.4/x"]),
+        ("u@a.com a.com@u a.com_ a.com- v1.5 1.2.3 50.000", []),
+        ("", []),
+    ],
+)
+def test_urls_by_a_table_of_rules(spark, raw, found):
+    table = spark.createDataFrame([(r,) for r in [*RULES, None]], "rule string")
+    rules = suffixes.as_rules(table)
+    assert apply(spark, [raw], lambda c: urls.find_urls(c, rules)) == [found]
+
+
+def test_hosts_by_column_and_by_hand(spark):
+    rng = random.Random(12)
+    labels = ["com", "br", "ck", "www", "guru", "co", "zz", "a"]
+    rules = suffixes.as_rules(RULES)
+    hosts = [".".join(rng.choice(labels) for _ in range(rng.randint(1, 5))) for _ in range(400)]
+    # by hand, over all rules as they are written: a name in front of a suffix
+    def by_hand(host):
+        parts = host.split(".")
+        ends = [".".join(parts[i:]) for i in range(len(parts))]
+        return any(
+            (i > 0 and end in ("com", "com.br", "br", "guru", "co.zz")) or (i > 1 and end == "ck") or end == "www.ck"
+            for i, end in enumerate(ends)
+        )
+
+    want = [by_hand(h) for h in hosts]
+    assert apply(spark, hosts, rules.known) == want == [rules.knows(h) for h in hosts]
+
+
+def test_the_shipped_list(spark):
+    rules = suffixes.shipped_rules()
+    for host in ("exemplo.com.br", "exemplo.guru", "foo.academy", "a.b.ck", "www.ck", "x.dev", "бел.рф"):
+        assert rules.knows(host), host
+    for host in ("com", "b.ck", "fim.Isso", "joao", "50.000", "e.g"):
+        assert not rules.knows(host), host
+    assert rules.plain == suffixes.SuffixRules.of([*rules.plain, "com", "x.com"]).plain  # x.com decides nothing
+
+
+def test_too_many_rules_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "MAX_RULES", 3)
+    with pytest.raises(ValueError, match="more than 3"):
+        suffixes.as_rules(spark.range(4).select(F.col("id").cast("string").alias("rule")))
 
 
 def python_clean(value):
