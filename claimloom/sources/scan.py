@@ -11,6 +11,8 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from claimloom.sources.quoted import read_quoted_csv
+
 # The strings a CSV reader takes for a missing value.
 NA_LITERALS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -64,16 +66,38 @@ def list_raw_files(spark: SparkSession, folder: str) -> list[str]:
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV with a header, all columns strings, NA literals as nulls.
 
-    Quoted texts may hold line breaks, so a file is one task by default. Pass
-    ``multi_line=False`` for large files without such texts: they are split,
-    and a row's position is its block's place in the file and its place in the
-    block. Both kinds are numbered in file order.
+    Quoted texts may hold line breaks. Files of one split at most are read whole,
+    by a task each; larger ones line by line by many tasks (``sources.quoted``),
+    with the same rows in the same order. ``multi_line=False`` promises that no
+    text holds a line break: such files are split without looking at quotes. A
+    row's position is its place in the file, or its block's and its own in the
+    block; all kinds are numbered in file order.
     """
     raw = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
-    cells = [F.col(f"`{name}`") for name in raw.columns]
+    if multi_line and raw.columns and _largest_file(spark, path) > _split_bytes(spark):
+        rows = read_quoted_csv(spark, path, raw.columns)
+        cells = [F.col("cells")[f"c{i}"] for i in range(len(raw.columns))]
+        position = F.struct("file", "block", "row").alias(POSITION)
+    else:
+        rows, cells = raw, [F.col(f"`{name}`") for name in raw.columns]
+        block = None if multi_line else F.col("_metadata.file_block_start")
+        position = _position(F.monotonically_increasing_id(), block)
     nulled = [F.when(~c.isin(*NA_LITERALS), c).alias(n) for c, n in zip(cells, raw.columns)]
-    block = None if multi_line else F.col("_metadata.file_block_start")
-    return raw.select(*nulled, _position(F.monotonically_increasing_id(), block))
+    return rows.select(*nulled, position)
+
+
+def _largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file at or below ``path``, from its listing."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(place, True)
+    largest = 0
+    while files.hasNext():
+        largest = max(largest, files.next().getLen())
+    return largest
+
+
+def _split_bytes(spark: SparkSession) -> int:
+    return spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -115,8 +139,7 @@ def read_corpora(
 
     ``descriptions`` maps a dataset name to (source type, description). A
     dataset whose schema cannot be read is an error; with ``skip_unreadable``
-    it is left out with a warning. ``multi_line=False`` splits CSV files, for
-    texts without line breaks.
+    it is left out with a warning. ``multi_line`` as in ``read_csv``.
     """
     known = descriptions or {}
     corpora = []

@@ -1,6 +1,7 @@
 import datetime
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -148,6 +149,62 @@ def test_split_csv_is_numbered_in_file_order(spark, tmp_path):
             spark.conf.set(key, value)
 
 
+@pytest.fixture()
+def small_splits(spark):
+    """Files are cut every 250 bytes."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    yield lambda size="250": [spark.conf.set(k, v) for k, v in zip(before, (size, "1"))]
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def _csv_text(rng, end):
+    """Rows of every kind of cell: quotes, line breaks and separators inside quotes, stray quotes outside."""
+    def cell():
+        body = "".join(rng.choice(["a", "é", '"', "\n", ",", "\r\n", " ", "xyz", '""', "\n\n"]) for _ in range(rng.randint(0, 12)))
+        quoted = '"' + body.replace('"', '""') + '"'
+        return rng.choice([quoted] * 4 + ['in "quotes" 5"', '"closed"x"y', "", "plain", " lead", "NA", "x" * 300])
+
+    text = "id,text,label" + end
+    for i in range(120):
+        text += f"{i},{cell()},{cell()}{end}" + rng.choice(["", "", "", "", end, f"short{end}"])
+    return text + 'last,"no line\nbreak at the end",x'
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"], ids=["lf", "crlf"])
+def test_split_csv_with_line_breaks_in_texts(spark, tmp_path, small_splits, end):
+    """Many tasks give the rows, order and uids of the whole-file reader."""
+    zone = tmp_path / "raw"
+    zone.mkdir()
+    for seed, name in enumerate("pq"):
+        (zone / f"{name}.csv").write_bytes(_csv_text(random.Random(seed), end).encode())
+
+    def read():
+        corpora = read_corpora(spark, str(zone))
+        merged = merge_corpora(corpora).orderBy("uid")
+        return corpora, [(r.uid, r.dataset_name, r.orig_id, r.text, r.label) for r in merged.collect()]
+
+    corpora, whole = read()
+    assert "block" not in corpora[0].frame.schema["_position"].dataType.names
+    small_splits()
+    corpora, split = read()
+    assert corpora[0].frame.select("_position.block").distinct().count() > 20
+    assert len(whole) > 100 and split == whole
+    assert any("\n" in text for *_, text, _ in split)
+
+
+def test_a_text_longer_than_many_splits(spark, tmp_path, small_splits):
+    long = "linha com \"\" aspas\n" * 200
+    path = tmp_path / "x.csv"
+    path.write_text(f'a,b\n1,"{long}"\n\n2,"fim"\n')
+    small_splits()
+    got = scan.read_csv(spark, str(path)).orderBy("_position").collect()
+    assert [(r.a, r.b) for r in got] == [("1", long.replace('""', '"')), ("2", "fim")]
+    path.write_text("a,b\n")
+    small_splits("3")
+    assert scan.read_csv(spark, str(path)).count() == 0
+
+
 @pytest.fixture()
 def raw_zone(spark, tmp_path):
     zone = tmp_path / "raw"
