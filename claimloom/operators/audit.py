@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from claimloom.functions.labels import cleaning_label, is_kept_label
 from claimloom.functions.urls import plausible_url
+from claimloom.sources.scan import Corpus
 
 
 def dataset_counts(df: DataFrame) -> DataFrame:
@@ -50,16 +53,22 @@ def url_audit(mapped: DataFrame, cleaned: DataFrame | None = None) -> DataFrame:
     )
 
 
-def stage_audit(normalized: DataFrame, clean: DataFrame, n_files: int) -> DataFrame:
-    """Counts along the job: (stage, n_rows). ``clean`` needs its rows only, no column of them."""
+def _stage_counts() -> dict[str, Column]:
+    """What is counted over the normalised rows, by stage."""
     has_text = F.col("text").isNotNull()
     kept = has_text & F.coalesce(is_kept_label(cleaning_label(F.col("label"))), F.lit(False))
+    return {
+        "normalized": F.count("*"),
+        "null_text_removed": F.count_if(~has_text),
+        "merged": F.count_if(has_text),
+        "labelled": F.count_if(kept),
+    }
+
+
+def stage_audit(normalized: DataFrame, clean: DataFrame, n_files: int) -> DataFrame:
+    """Counts along the job: (stage, n_rows). ``clean`` needs its rows only, no column of them."""
     counts = normalized.agg(
-        F.lit(n_files).cast("long").alias("files_scanned"),
-        F.count("*").alias("normalized"),
-        F.count_if(~has_text).alias("null_text_removed"),
-        F.count_if(has_text).alias("merged"),
-        F.count_if(kept).alias("labelled"),
+        F.lit(n_files).cast("long").alias("files_scanned"), *[c.alias(name) for name, c in _stage_counts().items()]
     )
     names = counts.columns
     stages = F.explode(
@@ -68,3 +77,44 @@ def stage_audit(normalized: DataFrame, clean: DataFrame, n_files: int) -> DataFr
     return counts.select(stages.alias("s")).select("s.*").unionByName(
         clean.agg(F.count("*").alias("n_rows")).select(F.lit("clean").alias("stage"), "n_rows")
     )
+
+
+class StageCounts:
+    """The counts of ``stage_audit`` and ``dataset_stats``, taken while the tables are written.
+
+    Rows are observed in the tasks that write them, behind the last shuffle: a
+    task that is run again after a loss counts once.
+    """
+
+    def __init__(self, corpora: Sequence[Corpus]) -> None:
+        self._names = list(dict.fromkeys(corpus.name for corpus in corpora))
+        self._files = len(corpora)
+        self._normalized, self._clean = Observation(), Observation()
+
+    def normalized(self, df: DataFrame) -> DataFrame:
+        by_name = {
+            f"{kind}_{i}": F.count_if((F.col("dataset_name") == name) & counted)
+            for i, name in enumerate(self._names)
+            for kind, counted in (("rows", F.lit(True)), ("texts", F.col("text").isNotNull()))
+        }
+        return df.observe(self._normalized, *[c.alias(n) for n, c in (_stage_counts() | by_name).items()])
+
+    def clean(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._clean, F.count("*").alias("clean"))
+
+    def stage_audit(self, spark: SparkSession) -> DataFrame:
+        """(stage, n_rows), once both tables are written."""
+        seen = {"files_scanned": self._files} | self._normalized.get | self._clean.get
+        stages = ["files_scanned", *_stage_counts(), "clean"]
+        # a frame that is empty by its plan is observed by no task
+        return spark.createDataFrame([(s, seen.get(s, 0)) for s in stages], "stage string, n_rows long")
+
+    def dataset_stats(self, spark: SparkSession) -> DataFrame:
+        """(dataset_name, normalized_rows, merged_rows, is_total), once the merged table is written."""
+        seen = self._normalized.get
+        rows = [(name, seen.get(f"rows_{i}", 0), seen.get(f"texts_{i}", 0), False) for i, name in enumerate(self._names)]
+        total = (None, seen.get("normalized", 0), seen.get("merged", 0), True)
+        return spark.createDataFrame(
+            [*(row for row in rows if row[1]), total],
+            "dataset_name string, normalized_rows long, merged_rows long, is_total boolean",
+        )

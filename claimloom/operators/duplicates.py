@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from claimloom.functions.labels import cleaning_label, is_kept_label
 from claimloom.functions.text import clean_text, text_digest, token_count
 from claimloom.functions.urls import drop_urls, find_urls
+from claimloom.operators.skew import MAX_BROADCAST_ROWS
+from claimloom.staging import stage
 
 
 def _copy_group(df: DataFrame, text: str, within: str | None) -> list[Column]:
@@ -28,14 +30,25 @@ def first_copies(df: DataFrame, key: str, text: str, within: str | None) -> Data
     return df.groupBy(*_copy_group(df, text, within)).agg(F.min(key).alias(key)).select(key)
 
 
-def keep_first_copies(df: DataFrame, key: str, text: str, within: str | None) -> DataFrame:
-    """The whole first row of every distinct text, in one shuffle.
+def keep_first_copies(
+    df: DataFrame, key: str, text: str, within: str | None, max_dropped: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """The whole first row of every distinct text. ``key`` is unique.
 
-    ``min_by`` is combined before the shuffle like any aggregate: each task
-    sends at most one row per text, however often the text occurs.
+    The rows are staged, so that their text is made once. Which rows are first
+    is found from key and digest alone; the other columns are read only then,
+    and move only where too many rows are dropped to broadcast their keys.
     """
-    first = F.min_by(F.struct(*df.columns), key).alias("_row")
-    return df.groupBy(*_copy_group(df, text, within)).agg(first).select("_row.*")
+    group = _copy_group(df, text, within)
+    staged = stage(df.select("*", *group), "copies")
+    names = [n for n in ("_digest", "_within") if n in staged.columns]
+    first = stage(staged.groupBy(*names).agg(F.min(key).alias(key)).select(key), "first-copies")
+    rows = staged.select(*df.columns)
+    # both counts come from the files' footers
+    if staged.count() - first.count() <= max_dropped:
+        dropped = staged.select(key).join(first, key, "left_anti")
+        return rows.join(F.broadcast(dropped), key, "left_anti")
+    return rows.join(first.hint("shuffle_hash"), key, "left_semi")
 
 
 def mark_duplicates(df: DataFrame, first: DataFrame, key: str = "uid") -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from claimloom.functions.urls import drop_urls
-from claimloom.operators.audit import dataset_stats
+from claimloom.operators.audit import StageCounts
 from claimloom.operators.duplicates import (
     copy_groups,
     first_copies,
@@ -20,11 +20,18 @@ from claimloom.operators.duplicates import (
 )
 from claimloom.operators.enrich import enrich_with_reviews
 from claimloom.operators.mapping import CLEAN_ORDER, reorder, unify_urls
-from claimloom.operators.merge import TWEET_DATASETS, drop_null_texts, union_corpora, unnumbered_corpora
+from claimloom.operators.merge import TWEET_DATASETS, drop_null_texts, union_corpora
 from claimloom.operators.near_duplicates import NearDuplicateSettings, find_near_duplicates, with_near_duplicates
-from claimloom.session import ensure_checkpoint_dir
 from claimloom.sources.scan import Corpus, share_out
-from claimloom.sources.sinks import as_text_columns, write_csv, write_dataset_stats, write_manifest, write_parquet
+from claimloom.sources.sinks import (
+    as_text_columns,
+    sized_files,
+    write_counts,
+    write_csv,
+    write_manifest,
+    write_parquet,
+)
+from claimloom.staging import stage
 
 
 def merge_corpora(
@@ -42,9 +49,10 @@ def _cleaned(df: DataFrame, min_tokens: int) -> DataFrame:
 
 def flag_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
     """Labelled rows with cleaned text and all three quality flags, none dropped."""
-    labelled = keep_labelled(share_out(df, key))
-    first = first_copies(with_clean_text(labelled), key, "text_clean", "dataset_name")
-    return _cleaned(mark_duplicates(labelled, first, key), min_tokens)
+    cleaned = stage(_cleaned(keep_labelled(share_out(df, key)), min_tokens), "cleaned")
+    first = first_copies(cleaned, key, "text_clean", "dataset_name")
+    flags = [name for name in cleaned.columns if name not in ("is_null", "too_short")]
+    return mark_duplicates(cleaned, first, key).select(*flags, "is_duplicated", "is_null", "too_short")
 
 
 def _long_enough(df: DataFrame, min_tokens: int) -> DataFrame:
@@ -64,9 +72,8 @@ def surviving_texts(df: DataFrame, min_tokens: int = 3) -> DataFrame:
 def clean_corpus(df: DataFrame, min_tokens: int = 3, key: str = "uid") -> DataFrame:
     """Labelled rows with cleaned text, without null, short and duplicate ones.
 
-    Each text is cleaned once, and its rows are shuffled once. The shuffle
-    carries the text and its clean form; the form in between is cut again
-    from the URLs found, which is cheap.
+    Each text is cleaned once and staged; which rows stay is found from their
+    digests. The form without URLs is cut again from the URLs found, which is cheap.
     """
     good = _long_enough(share_out(df, key), min_tokens).drop("text_no_url")
     clean = keep_first_copies(good, key, "text_clean", "dataset_name").withColumns(
@@ -100,21 +107,21 @@ def run(
     """The whole job: merge, clean, and the optional stages.
 
     The clean table is read several times by the optional stages, so it is
-    checkpointed once in front of them.
+    staged in front of them. With ``responses`` the final rows come in the order
+    of ``uid``, which is dropped there.
     """
     normalized = union_corpora(corpora, order_by)
     merged = drop_null_texts(normalized)
     clean = clean_corpus(merged, min_tokens)
     if near_duplicates is not None or responses is not None:
-        ensure_checkpoint_dir(clean.sparkSession)
-        clean = clean.checkpoint()
+        clean = stage(clean, "clean")
     final = clean
     if responses is not None:
         final = enrich_with_reviews(final, responses)
     if near_duplicates is not None:
         final = final.join(find_near_duplicates(clean, "uid", "text_clean", near_duplicates), "uid", "left")
     if responses is not None:
-        final = unify_urls(final)
+        final = unify_urls(final.orderBy("uid"))
     return CorpusResult(normalized, merged, clean, final)
 
 
@@ -130,14 +137,16 @@ def run_to(
     """The whole job with every stage written below ``out_dir``, and a manifest; path by table.
 
     Each stage reads the table written before it, so a lost executor never
-    costs more than the current stage.
+    costs more than the current stage. Counts by dataset and by stage are taken
+    while the tables are written; the corpora are read once.
     """
     base = out_dir.rstrip("/")
     paths: dict[str, str] = {}
 
     def written(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         paths[f"{name}_parquet"] = f"{base}/{name}.parquet"
-        write_parquet(df, paths[f"{name}_parquet"], partition_by)
+        # the rows of a partitioned table are dealt before they are counted
+        write_parquet(df, paths[f"{name}_parquet"], partition_by, sized=False)
         # with the written schema: a dataset named 001 must not come back as the number 1
         schema = as_text_columns(df).schema
         stored = df.sparkSession.read.schema(schema).parquet(paths[f"{name}_parquet"]).select(*df.columns)
@@ -146,10 +155,14 @@ def run_to(
             write_csv(stored, paths[f"{name}_csv"])
         return stored
 
-    merged = written("merged", merge_corpora(corpora, order_by), "dataset_name")
-    paths["dataset_stats"] = f"{base}/dataset_stats.json"
-    write_dataset_stats(dataset_stats(unnumbered_corpora(corpora)), paths["dataset_stats"])
-    clean = written("clean", clean_corpus(merged, min_tokens), "dataset_name")
+    counts = StageCounts(corpora)
+    normalized = counts.normalized(sized_files(union_corpora(corpora, order_by), "dataset_name"))
+    merged = written("merged", drop_null_texts(normalized), "dataset_name")
+    clean = counts.clean(sized_files(clean_corpus(merged, min_tokens), "dataset_name"))
+    clean = written("clean", clean, "dataset_name")
+    for name, table in (("dataset_stats", counts.dataset_stats), ("stage_audit", counts.stage_audit)):
+        paths[name] = f"{base}/{name}.json"
+        write_counts(table(clean.sparkSession), paths[name])
     final = clean
     if near_duplicates is not None:
         final = written("near_duplicates", with_near_duplicates(final, "uid", "text_clean", near_duplicates))

@@ -20,8 +20,18 @@ def as_text_columns(df: DataFrame) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("string") for name in present})
 
 
-def write_parquet(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    writer = as_text_columns(df).write.mode("overwrite")
+def sized_files(df: DataFrame, partition_by: str | None) -> DataFrame:
+    """Rows dealt by ``partition_by`` into pieces of about the session's advisory size.
+
+    A large value takes several tasks, many small ones share one: the files of a
+    partitioned table follow its bytes, not the tasks that happened to make its rows.
+    """
+    return df.hint("rebalance", partition_by) if partition_by in df.columns else df
+
+
+def write_parquet(df: DataFrame, path: str, partition_by: str | None = None, sized: bool = True) -> None:
+    """Parquet, partitioned if asked for; ``sized=False`` if the rows are dealt by ``sized_files`` already."""
+    writer = as_text_columns(sized_files(df, partition_by) if sized else df).write.mode("overwrite")
     (writer.partitionBy(partition_by) if partition_by in df.columns else writer).parquet(path)
 
 
@@ -53,5 +63,6 @@ def write_manifest(spark: SparkSession, folder: str, target: str) -> None:
     manifest(spark, folder).write.mode("overwrite").json(target)
 
 
-def write_dataset_stats(stats: DataFrame, target: str) -> None:
-    stats.write.mode("overwrite").json(target)
+def write_counts(counts: DataFrame, target: str) -> None:
+    """A small table of counts as one JSON file."""
+    counts.coalesce(1).write.mode("overwrite").json(target)

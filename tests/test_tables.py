@@ -17,15 +17,17 @@ from claimloom import (
     preview,
     read_corpora,
     read_responses,
+    run,
     run_to,
     unify_urls,
     with_row_ids,
 )
 from claimloom.operators import audit
-from claimloom.operators.duplicates import flag_duplicates
-from claimloom.operators.merge import describe_datasets
+from claimloom.operators.duplicates import flag_duplicates, keep_first_copies
+from claimloom.operators.merge import describe_datasets, unnumbered_corpora
 from claimloom.operators.near_duplicates import NearDuplicateSettings
 from claimloom.operators.skew import hot_keys, salted_left_join
+from claimloom.plans.corpus import surviving_texts
 from claimloom.sources import scan, sinks
 
 CANONICAL = [
@@ -449,7 +451,16 @@ def test_whole_job_written(spark, raw_zone, tmp_path):
     assert {"near_duplicate_groups", "factcheck_rating"} <= set(final.columns) and "uid" not in final.columns
     again = spark.read.csv(paths["clean_csv"], header=True, multiLine=True, quote='"', escape='"')
     assert again.count() == 3 and set(again.columns) == set(clean.columns)
-    assert spark.read.json(paths["dataset_stats"]).where("is_total").first().normalized_rows == 7
+    # counted while writing, the same as counted by queries
+    corpora = read_corpora(spark, raw_zone)
+    normalized = unnumbered_corpora(corpora)
+    audits = {
+        "dataset_stats": audit.dataset_stats(normalized),
+        "stage_audit": audit.stage_audit(normalized, surviving_texts(normalized.where("text is not null")), len(corpora)),
+    }
+    for name, want in audits.items():
+        schema = want.schema
+        assert sorted(map(repr, spark.read.schema(schema).json(paths[name]).collect())) == sorted(map(repr, want.collect()))
     listed = {r.name: (r.sha256, r.bytes) for r in spark.read.json(paths["manifest"]).collect()}
     written = [
         p for p in (tmp_path / "out").rglob("*")
@@ -460,6 +471,49 @@ def test_whole_job_written(spark, raw_zone, tmp_path):
     }
 
 
+def test_files_follow_bytes_not_tasks(spark, tmp_path):
+    rows = spark.range(0, 40_000, 1, 32).select(
+        F.when(F.col("id") % 10 == 0, "tiny").otherwise("huge").alias("dataset_name"),
+        F.sha2(F.col("id").cast("string"), 512).alias("text"),
+    )
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "700k", "spark.sql.shuffle.partitions": "64"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        sinks.write_parquet(rows, str(tmp_path / "t"), "dataset_name")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    files = {d: len(list((tmp_path / "t" / f"dataset_name={d}").glob("*.parquet"))) for d in ("tiny", "huge")}
+    assert files["tiny"] <= 2 < files["huge"] < 32
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 40_000
+
+
+@pytest.mark.parametrize("max_dropped", [0, 1000], ids=["shuffled", "broadcast"])
+def test_first_copies_are_kept_whole(spark, max_dropped):
+    df = spark.createDataFrame(
+        [(3, "a", "x", 1), (1, "a", "x", 2), (2, "b", "x", 3), (5, None, "y", 4), (4, None, "y", 5), (6, "a", None, 6), (7, "a", None, 7)],
+        "uid long, t string, d string, payload int",
+    )
+    kept = keep_first_copies(df, "uid", "t", "d", max_dropped)
+    assert kept.columns == df.columns
+    assert sorted(r.payload for r in kept.collect()) == [2, 3, 5, 6]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and ("BroadcastHashJoin" in plan) == (max_dropped > 0)
+
+
+def test_final_rows_come_in_uid_order(spark):
+    """``run`` drops the key; its rows stay in that order."""
+    rng = random.Random(1)
+    texts = [(i, f"texto numero {rng.randrange(10**6)} aqui", "fake") for i in range(300)]
+    frame = spark.createDataFrame(texts, "id long, text string, label string").repartition(7)
+    answers = spark.createDataFrame([("x", "{}")], "query string, response_json string")
+    result = run([Corpus("one", frame)], answers, NearDuplicateSettings(), order_by=["orig_id"])
+    assert "uid" not in result.final.columns
+    assert [r.orig_id for r in result.final.collect()] == sorted(str(i) for i in range(300))
+
+
 def test_dataset_names_stay_text(spark, tmp_path):
     zone = tmp_path / "raw"
     zone.mkdir()
