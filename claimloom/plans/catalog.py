@@ -172,6 +172,19 @@ def iso_dates(spark, folder):
     return plain(spark, folder, "orders").select("o_orderkey", iso_date(text).alias("date_iso"))
 
 
+def free_form_dates(spark, folder):
+    formats = (
+        "EEE, dd MMM yyyy", "d-MMM-yyyy", "d'th of' MMMM yyyy HH:mm", "MMMM d, yyyy 'at' h:mm a", "yyyy MMM d",
+        "MM.dd.yyyy", "EEEE d MMMM yyyy", "MMM yyyy", "yyyyMMdd'T'HHmmss", "EEE, dd MMM yyyy HH:mm:ss 'GMT'",
+        "d 'de' MMMM",
+    )
+    day, kind = F.col("o_orderdate").cast("timestamp"), F.col("o_orderkey") % len(formats)
+    text = F.lit(None)
+    for i, pattern in enumerate(formats):
+        text = F.when(kind == i, F.date_format(day, pattern)).otherwise(text)
+    return plain(spark, folder, "orders").select("o_orderkey", iso_date(text).alias("date_iso"))
+
+
 def query_texts(spark, folder):
     return plain(spark, folder, "documents").select("doc_id", query_text(F.col("text")).alias("query"))
 
@@ -376,6 +389,7 @@ QUERIES: dict[str, Query] = {
     "label_map_raw": mapping_labels,
     "label_map_clean": cleaning_labels,
     "date_iso": iso_dates,
+    "date_free_form": free_form_dates,
     "query_text": query_texts,
     "text_digest": text_digests,
     "ensure_schema_docs": mapped_documents,

@@ -309,6 +309,9 @@ def oracle_sql() -> dict[str, str]:
         "label_map_clean": f"""WITH {_RAW_LABELS}, l AS (SELECT doc_id, raw, {final_label("raw")} AS label FROM raws)
             SELECT doc_id, raw, label, coalesce(label IN {KEPT}, FALSE) AS kept FROM l""",
         "date_iso": _DATES,
+        "date_free_form": """SELECT o_orderkey, CASE o_orderkey % 11 WHEN 10 THEN NULL
+              WHEN 7 THEN strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') ELSE strftime(o_orderdate, '%Y-%m-%d') END AS date_iso
+            FROM orders""",
         "query_text": "SELECT doc_id, substr(text, 1, 512) AS query FROM documents",
         "text_digest": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
         "ensure_schema_docs": f"WITH {_CORPORA} {_MAPPED.format(corpus='docs')}",

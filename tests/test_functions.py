@@ -138,6 +138,56 @@ def test_dates(spark, raw, day):
     assert apply(spark, [raw], dates.iso_date) == [day]
 
 
+FREE_DATES = [
+    ("Mon, 05 Jan 2020", "2020-01-05"),
+    ("5-Jan-2020", "2020-01-05"),
+    ("5th of January 2020 10:00", "2020-01-05"),
+    ("January 5th, 2020 at 10:30 p.m.", "2020-01-05"),
+    ("Sun Jan  5 10:00:00 2020", "2020-01-05"),
+    ("Sun, 05 Jan 2020 10:00:00 +0300 (GMT)", "2020-01-05"),
+    ("2020-01-05T10:00:00+02:00", "2020-01-05"),
+    ("20200105T101500", "2020-01-05"),
+    ("5 Jan 68", "2068-01-05"),
+    ("5 Jan 69", "1969-01-05"),
+    ("05.01.2020", "2020-05-01"),
+    ("31.12.2020", "2020-12-31"),
+    ("05/2020", "2020-05-01"),
+    ("1st Sept 2019", "2019-09-01"),
+    ("MAY 2021", "2021-05-01"),
+    ("Jan 5", None),
+    ("10:00", None),
+    ("monday", None),
+    ("January 32 2020", None),
+    ("Feb 30 2020", None),
+    ("1 jan 2 feb 2020", None),
+    ("5 Jan 2020 10:00 11:00", None),
+    ("3 de janeiro de 2020", None),
+    ("1 2 3 2020", None),
+    ("janfeb 2020", None),
+    ("5 January 123456", None),
+    ("5 January 2020" + " " * 200 + "x", None),
+    ("5 Jan 2020" + "," * 200, None),
+]
+
+
+def test_free_form_dates(spark):
+    raw, want = zip(*FREE_DATES)
+    assert apply(spark, raw, dates.iso_date) == list(want)
+
+
+def test_free_form_dates_against_a_general_parser(spark):
+    """Spellings of random days, in the order of slots that leaves no doubt."""
+    pandas = pytest.importorskip("pandas")
+    rng = random.Random(9)
+    forms = [
+        "%a, %d %b %Y", "%d-%b-%Y", "%B %d, %Y %I:%M %p", "%A %d %B %Y", "%Y %b %d", "%d %b %Y %H:%M:%S UTC",
+        "%Y.%m.%d", "%Y%m%d", "%b %Y", "%d. %B %Y, %H:%M", "%m.%d.%Y", "%Y-%m-%dT%H:%M:%S.%f", "%Y/%m/%d %H:%M",
+    ]
+    values = [pandas.Timestamp(rng.randrange(10**9, 2 * 10**9), unit="s").strftime(rng.choice(forms)) for _ in range(400)]
+    want = [pandas.to_datetime(v, errors="coerce").strftime("%Y-%m-%d") for v in values]
+    assert apply(spark, values, dates.iso_date) == want
+
+
 def test_review_fields(spark):
     values = [
         "{}", '{"claims":[]}', "broken", None,
