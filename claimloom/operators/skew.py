@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# What one task should take of a single key. A key is hot beyond this, or beyond
-# a thousandth of all rows where that is more: at most 1,000 keys are hot, however
-# large the data, and that bounds the broadcast.
+from claimloom.staging import stage
+
+# What one task should take of a single key, however large the data. A key is hot beyond this.
 ROWS_PER_TASK = 1_000_000
-MAX_HOT_KEYS = 1_000
+# Rows without a key match nothing; they are spread over so many salts.
+NULL_PIECES = 1 << 20
 
 
 # Rows of a few narrow columns: some tens of megabytes in every executor.
@@ -30,16 +31,15 @@ def hot_keys(
     rows_per_task: int = ROWS_PER_TASK,
     weight: str | None = None,
 ) -> DataFrame:
-    """(key, _pieces): the hot keys and into how many pieces each is to be cut.
+    """(key, _pieces): the hot keys and into how many pieces each is to be cut; counted in one pass, staged.
 
-    Pieces follow a key's rows (or its ``sum(weight)``), so all pieces are of
-    about the same size, and there are at most 2,000 in total.
+    Pieces follow a key's rows (or its ``sum(weight)``), so none is larger than
+    ``rows_per_task``, and there are fewer hot keys than rows / ``rows_per_task``.
     """
     amount = F.count("*") if weight is None else F.sum(weight)
     counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(amount.alias("_n"))
-    total = df.agg(amount.alias("n")).scalar()
-    piece = F.greatest(F.lit(rows_per_task), F.coalesce(total, F.lit(0)) / F.lit(MAX_HOT_KEYS))
-    return counts.where(F.col("_n") > piece).select(key, F.ceil(F.col("_n") / piece).cast("int").alias("_pieces"))
+    pieces = F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int").alias("_pieces")
+    return stage(counts.where(F.col("_n") > rows_per_task).select(key, pieces), "hot-keys")
 
 
 def salted_left_join(
@@ -58,8 +58,8 @@ def salted_left_join(
     nothing and are spread too. All other keys are joined as usual.
     """
     hot = hot_keys(left, key, rows_per_task) if hot is None else hot
-    marks = F.broadcast(hot.select(key, "_pieces"))
-    pieces = F.when(F.col(key).isNull(), F.lit(MAX_HOT_KEYS)).otherwise(F.coalesce("_pieces", F.lit(1)))
+    marks = broadcast_if_small(hot.select(key, "_pieces"), MAX_BROADCAST_ROWS)
+    pieces = F.when(F.col(key).isNull(), F.lit(NULL_PIECES)).otherwise(F.coalesce("_pieces", F.lit(1)))
     left_salted = (
         left.join(marks, key, "left")
         .withColumn("_salt", F.pmod(F.xxhash64(row_id), pieces).cast("int"))

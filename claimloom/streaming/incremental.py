@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from claimloom.operators.duplicates import keep_labelled, with_clean_text, with_quality_flags
-from claimloom.operators.enrich import enrich_with_reviews
+from claimloom.operators.enrich import enrich_from_index, review_index
 from claimloom.operators.mapping import ensure_schema
 
 
@@ -37,11 +37,12 @@ def enrich_incrementally(
     """Look up whatever has landed since the last run and write it, exactly once.
 
     Each micro-batch overwrites its own folder, so a batch repeated after a
-    failure leaves the same rows.
+    failure leaves the same rows. The responses are parsed once, not per batch.
     """
+    index = review_index(responses)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        enriched = enrich_with_reviews(batch, responses, key, text)
+        enriched = enrich_from_index(batch, index, key, text)
         enriched.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/batch={batch_id}")
 
     return (

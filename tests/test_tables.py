@@ -337,6 +337,16 @@ def test_salted_join_equals_plain_join(spark):
         assert got.select("k", "id", "v").exceptAll(want.select("k", "id", "v")).count() == 0
 
 
+def test_pieces_of_a_hot_key_are_bounded(spark, monkeypatch):
+    """No piece is larger than asked for, however many keys are hot; too many are not broadcast."""
+    left = spark.range(9000).select("id", (F.col("id") % 30).alias("k"))
+    hot = hot_keys(left, "k", rows_per_task=7)
+    assert hot.count() == 30 and {r._pieces for r in hot.collect()} == {43}
+    right = spark.range(30).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    monkeypatch.setattr("claimloom.operators.skew.MAX_BROADCAST_ROWS", 10)
+    assert salted_left_join(left, right, "k", "id", hot=hot).where("v = 'v'").count() == 9000
+
+
 def test_lookup_keeps_every_row_once(spark):
     long = "y" * 700
     texts = ["lua", None, "sol", "\t \n", "lua", long, "estrela", "", "lua"]
