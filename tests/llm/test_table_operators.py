@@ -288,6 +288,51 @@ def test_no_block_of_an_article_is_lost(shape):
         assert wrappers.main_text(html_, region).split("\n") == want
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["content has-sidebar", "layout-with-sidebar", "main-content no-comments", "social-post", "td-post-content share-enabled",
+     "page nav-open", "page sidebar-content", "story"],
+)
+def test_class_names_about_the_page_do_not_hide_the_article(name):
+    around = "<div class='site-nav'><p>Menu {0}</p></div>{1}<div class='post-comments'><p>Comment {0}.</p></div><div class='cookie-banner'>We use {0} cookies</div>"
+    story = "<h1>T{0}</h1><p>" + "A long text of story {0}. " * 9 + "</p><p>End {0}.</p>"
+    for form in ("<div class='{name}'>{story}</div>", "<div class='sidebar {name}'><article>{story}</article></div>"):
+        inner = form.format(name=name, story=story)
+        pages = [f"<html><body>{around.format(i, inner.format(i))}</body></html>" for i in range(5)]
+        region = wrappers.region_of(wrappers.infer_wrapper(pages))
+        for i, html_ in enumerate(pages):
+            want = [f"T{i}", (f"A long text of story {i}. " * 9).strip(), f"End {i}."]
+            assert wrappers.main_text(html_, region).split("\n") == want
+            assert wrappers.main_text(html_, None).split("\n") == want
+
+
+def test_matching_of_long_sequences(monkeypatch):
+    monkeypatch.setattr(wrappers, "FULL_COMPARISON", 30)
+    rng = random.Random(5)
+    for _ in range(300):
+        a = [rng.randrange(rng.choice([3, 60])) for _ in range(rng.randint(0, 60))]
+        b = [x for x in a if rng.random() > 0.2]
+        for _ in range(rng.randint(0, 5)):
+            b.insert(rng.randint(0, len(b)), rng.randrange(60))
+        at_a = at_b = 0
+        for i, j, n in wrappers.matching(a, b):
+            assert n > 0 and i >= at_a and j >= at_b and a[i : i + n] == b[j : j + n]
+            at_a, at_b = i + n, j + n
+    long = list(range(5000))
+    assert sum(n for *_, n in wrappers.matching(long, long[:2000] + [-1] + long[2500:])) == 4500
+
+
+def test_long_and_malformed_pages():
+    """Tens of thousands of elements, open or not, are read in one go."""
+    rows = [f"<div class='row'><p>Line {{0}} of {i}</p></div>" if i % 3 else f"<ul><li>{i}</li></ul>" for i in range(12_000)]
+    pages = [f"<html><body><article>{''.join(rows).format(k)}</article></body></html>" for k in range(2)]
+    region = wrappers.region_of(wrappers.infer_wrapper(pages))
+    assert region[-1] == "article"
+    assert wrappers.main_text(pages[1], region).count("\n") == 11_999
+    assert wrappers.main_text("<html><body>" + "<div>x " * 5000, None) == "\n".join("x" * 5000)
+    assert wrappers.main_text("<b>" * 5000 + "y" + "</i>" * 5000, None) == "y"
+
+
 def test_alignment_generalises():
     def shown(*pages):
         return " ".join(map(str, wrappers.infer_wrapper(list(pages))))
