@@ -9,7 +9,9 @@ can still add at most must leave a short list of possible members, every other
 vector being below the k-th lower bound. Possible members are rescored exactly.
 
 Vectors that are null or hold null or non-finite components, and rows without
-an id, take no part. All vectors must be of one length; others raise. Ties go
+an id, take no part. Vectors of different lengths have no inner product and are
+no candidates of each other; components and scores beyond 64 bits are told as the
+nearest long. Ties go
 to the smaller id; repeated rows are separate candidates, but equal queries are
 asked once; a query's own id is never its candidate; fewer than k candidates
 are all returned; an empty table gives no rows. Other columns are ignored.
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 SHARD_ROWS = 16_384  # vectors per index shard: bounds a task's memory
 QUERY_BLOCK = 256  # queries that meet a shard in one task
 LEVEL = 8  # width of a quantisation level
+SAFE = 1 << 60  # largest sum of products that the index may count with
 SHORT_LIST = 64  # possible members at which a search may stop
 
 
@@ -32,7 +35,7 @@ def quantise(embedding: Column, scale: int = 256) -> Column:
     usable = F.forall(
         embedding, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")))
     )
-    whole = F.transform(embedding, lambda x: F.floor(x.cast("double") * scale).cast("int"))
+    whole = F.transform(embedding, lambda x: F.floor(x.cast("double") * scale))
     return F.when(embedding.isNotNull() & usable, whole)
 
 
@@ -41,6 +44,7 @@ class ShardIndex:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
+        self.largest = max(abs(int(vectors.max(initial=0))), abs(int(vectors.min(initial=0))))
         levels = vectors // LEVEL
         self.segments: list[list[tuple[int, int, np.ndarray]]] = []  # per dimension: (least, most, members)
         for d in range(vectors.shape[1]):
@@ -50,9 +54,21 @@ class ShardIndex:
                 [(int(vectors[m, d].min()), int(vectors[m, d].max()), m) for m in np.split(order, cuts)]
             )
 
+    def _search_all(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The same where sums may leave 64 bits: exact whole numbers, told as the nearest long."""
+        rest = np.flatnonzero(self.ids != query_id)
+        scores = self.vectors[rest].astype(object) @ query.astype(object)
+        best = sorted(range(len(rest)), key=lambda i: (-scores[i], self.ids[rest[i]]))[:k]
+        limit = np.iinfo(np.int64)
+        told = [min(max(scores[i], limit.min), limit.max) for i in best]
+        return self.ids[rest[best]], np.array(told, np.int64)
+
     def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the shard's k best, ties to the smaller id."""
         n, weights = len(self.ids), query.tolist()
+        heaviest = max((abs(w) for w in weights), default=0)
+        if len(weights) * heaviest * self.largest >= SAFE:
+            return self._search_all(query_id, query, k)
         visits = []  # (impact at most, impact at least, dimension, members)
         for d, weight in enumerate(weights):
             if weight:
@@ -101,7 +117,9 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` best of ``vectors``, itself excluded.
 
-    ``vector`` holds integers (see ``quantise``). Each block of queries meets
+    ``vector`` holds integers (see ``quantise``). Vectors of another length than
+    the query's are no candidates of it; a score beyond 64 bits is told as the
+    greatest or least long, and still ranked exactly. Each block of queries meets
     each shard once, in a task of its own; a shard answers with k rows per query.
     """
     usable = F.col(id).isNotNull() & F.col(vector).isNotNull()
@@ -120,18 +138,25 @@ def top_k(
     ).distinct()
 
     def search(table: pa.Table, questions: pa.Table) -> pa.Table:
-        width = len(table.column("v")[0]) if table.num_rows else 0
-
-        def matrix(t: pa.Table) -> np.ndarray:
-            flat = t.column("v").combine_chunks().flatten().to_numpy()
-            return flat.astype(np.int32).reshape(t.num_rows, width)
+        def matrices(t: pa.Table) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+            """Ids and vectors by the vectors' length."""
+            listed = t.column("v").combine_chunks()
+            ids, lengths = t.column("id").to_numpy(), listed.value_lengths().to_numpy()
+            out = {}
+            for length in np.unique(lengths).tolist():
+                places = np.flatnonzero(lengths == length)
+                flat = listed.take(pa.array(places)).flatten().to_numpy(zero_copy_only=False)
+                small = len(flat) == 0 or (flat.min() >= -(2**31) and flat.max() < 2**31)
+                out[length] = ids[places], flat.astype(np.int32 if small else np.int64).reshape(len(places), length)
+            return out
 
         out = {"query_id": [], "vec_id": [], "score": []}
-        if table.num_rows and questions.num_rows:
-            index = ShardIndex(table.column("id").to_numpy(), matrix(table))
-            for query_id, query in zip(questions.column("id").to_pylist(), matrix(questions)):
-                ids, scores = index.search(query_id, query, k)
-                out["query_id"] += [query_id] * len(ids)
+        asked = matrices(questions) if table.num_rows and questions.num_rows else {}
+        for width, (ids_, vectors_) in (matrices(table) if asked else {}).items():
+            index = ShardIndex(ids_, vectors_) if width in asked else None
+            for query_id, query in zip(*asked[width]) if index else ():
+                ids, scores = index.search(int(query_id), query.astype(np.int64), k)
+                out["query_id"] += [int(query_id)] * len(ids)
                 out["vec_id"] += ids.tolist()
                 out["score"] += scores.tolist()
         return pa.table({name: pa.array(values, pa.int64()) for name, values in out.items()})

@@ -42,6 +42,24 @@ def test_topk_equals_brute_force(spark, shard_rows, query_block):
     assert {r.query_id for r in got} == {*range(0, 300, 10), 5}
 
 
+def test_topk_of_large_values_and_several_lengths(spark):
+    rng = random.Random(8)
+    scale = [1.0, 1e7, -1e7, 1e12, 1e300]
+    rows = [(i, [rng.uniform(-1, 1) * rng.choice(scale[: 1 + i % 5]) for _ in range(rng.choice([0, 3, 3, 5]))]) for i in range(90)]
+    df = spark.createDataFrame(rows + [(91, None), (92, [float("nan"), 1.0, 2.0])], "vec_id long, embedding array<double>")
+    quantised = df.select("vec_id", topk.quantise(F.col("embedding")).alias("v"))
+    vectors = {r.vec_id: r.v for r in quantised.collect() if r.v is not None}
+    assert len(vectors) == 90
+    clip = lambda x: min(max(x, -(2**63)), 2**63 - 1)
+    want = set()
+    for q in range(0, 90, 10):
+        scores = sorted((-sum(a * b for a, b in zip(vectors[q], v)), i) for i, v in vectors.items() if i != q and len(v) == len(vectors[q]))
+        want |= {(q, rank, i, clip(-s)) for rank, (s, i) in enumerate(scores[:5], 1)}
+    # a query's scores are ranked per shard, so one shard tells the exact order beyond 64 bits
+    got = topk.top_k(quantised, quantised.where("vec_id % 10 = 0 and vec_id < 90"), "vec_id", "v", 5).collect()
+    assert {(r.query_id, r.vec_id, r.score) for r in got} == {(q, i, s) for q, _, i, s in want}
+
+
 def test_topk_of_little(spark):
     df = spark.createDataFrame([(0, [1, 2]), (1, [3, 4])], "vec_id long, v array<int>")
     assert [tuple(r) for r in topk.top_k(df, df, "vec_id", "v").orderBy("query_id").collect()] == [(0, 1, 1, 11), (1, 1, 0, 11)]
