@@ -7,8 +7,8 @@ the dictionary count throughout a long text. The score is 1/2 for two equal
 sizes and grows to 1 with the margin between the best and the second best.
 
 Rejected (``rejected``): texts that are null or have no letter (``lang_pred``
-is ``und``, score 0), and texts whose margin is below ``min_margin``, where the
-prediction is not to be trusted. Equal sizes go to the language with more
+is ``und``, score 0), and texts of ``JUDGED_BYTES`` folded bytes or more whose
+margin is below ``min_margin``: they resemble no learned language. Equal sizes go to the language with more
 sample rows, then to the first by name. Rows without language or text teach
 nothing; without any language every row is ``und``. Each row of ``docs`` gives
 one row, repeated ids and null ids included; extra columns are ignored.
@@ -16,7 +16,6 @@ one row, repeated ids and null ids included; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping
 
 import pyarrow as pa
@@ -30,12 +29,14 @@ SAMPLE_DOCS = 400  # documents drawn per language, about
 SAMPLE_CHARS = 2_000  # of each drawn document: variety matters more than length
 PIECE = 8_192
 LEVEL = 7
-MIN_MARGIN = 0.0
+# Sizes this close, relative to the second best, tell no language; but a text of
+# fewer folded bytes is too short to be rejected for it.
+MIN_MARGIN = 0.035
+JUDGED_BYTES = 100
 # Letters stay, A-Z lower-cased (other letters before); other ASCII becomes a space.
 _FOLD = bytes(
     c if c >= 128 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256)
 )
-_NO_ASCII_LETTER = re.compile(r"[^\W\d_]")
 
 
 def folded(text: str) -> bytes:
@@ -44,7 +45,7 @@ def folded(text: str) -> bytes:
 
 
 def has_letter(text: str) -> bool:
-    return bool(_NO_ASCII_LETTER.search(text))
+    return any(c.isalpha() for c in text)
 
 
 def language_samples(
@@ -107,8 +108,12 @@ class Classifier:
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score and margin; the margin is relative to the second best size."""
+        return self.judge(text, 0.0)[:3]
+
+    def judge(self, text: str | None, min_margin: float = MIN_MARGIN) -> tuple[str, float, float, bool]:
+        """Language, score, margin, and whether the text is rejected: no letter, or long enough for so narrow a margin."""
         if not self.compressors or not text or not has_letter(text):
-            return UNKNOWN, 0.0, 0.0
+            return UNKNOWN, 0.0, 0.0, True
         data = folded(text)
         pieces = [data[i : i + self.piece] for i in range(0, len(data), self.piece)]
         sizes = {
@@ -118,7 +123,7 @@ class Classifier:
         best = min(sizes, key=sizes.get)
         second = min((s for lang, s in sizes.items() if lang != best), default=None)
         margin = 1.0 if not second else (second - sizes[best]) / second
-        return best, 0.5 + margin / 2, margin
+        return best, 0.5 + margin / 2, margin, margin < min_margin and len(data) >= JUDGED_BYTES
 
 
 def identify(
@@ -133,9 +138,8 @@ def identify(
     def predict(batches):
         classifier = Classifier(samples)
         for piece in pieces(batches):
-            found = [classifier.predict(t) for t in piece.column(0).to_pylist()]
-            lang, score, margin = (list(x) for x in zip(*found))
-            rejected = [x == UNKNOWN or m < min_margin for x, m in zip(lang, margin)]
+            found = [classifier.judge(t, min_margin) for t in piece.column(0).to_pylist()]
+            lang, score, margin, rejected = (list(x) for x in zip(*found))
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns[1:], *map(pa.array, (lang, score, margin, rejected))],
                 names=[*piece.schema.names[1:], "lang_pred", "score", "margin", "rejected"],
@@ -156,8 +160,8 @@ def drop_rejected(
     def told(batches):
         classifier = Classifier(samples)
         for piece in pieces(batches):
-            found = [classifier.predict(t) for t in piece.column(at).to_pylist()]
-            yield piece.filter(pa.array([lang != UNKNOWN and margin >= min_margin for lang, _, margin in found]))
+            found = [classifier.judge(t, min_margin) for t in piece.column(at).to_pylist()]
+            yield piece.filter(pa.array([not rejected for *_, rejected in found], pa.bool_()))
 
     rows = docs.toDF(*names)
     return rows.mapInArrow(told, rows.schema).toDF(*docs.columns)

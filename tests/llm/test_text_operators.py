@@ -316,6 +316,46 @@ def test_language_edges(spark):
     assert language.language_samples(docs.limit(0), "lang", "text") == {}
 
 
+def test_sizes_by_hand_and_narrow_margins(spark):
+    """Predictions equal plain zstandard sizes; texts of no learned language are rejected, clean and short ones stay."""
+    zstandard = pytest.importorskip("zstandard")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    samples = language.language_samples(docs, "lang", "text")
+    rng = random.Random(3)
+    strange = [
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(80)),
+        "".join(chr(rng.randrange(0x3041, 0x3090)) for _ in range(200)),
+        " ".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(9)),
+    ]
+    clean = {r.doc_id: r for r in docs.limit(300).collect()}
+    rows = [(i, r.text) for i, r in clean.items()] + [(-1 - i, t) for i, t in enumerate(strange)]
+    rows += [(-10 - i, t) for i, t in enumerate(["\u00bd \u2461", "\u00b2", "\u2167", "12 !!", "x"])]
+    texts = dict(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in language.identify(df, samples, "text", {"doc_id": F.col("doc_id")}).collect()}
+    settings = zstandard.ZstdCompressionParameters.from_level(
+        language.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False
+    )
+    packers = {}
+    for lang, (n, content) in samples.items():
+        held = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        packers[lang] = n, zstandard.ZstdCompressor(dict_data=held, compression_params=settings)
+    for doc_id, r in got.items():
+        data = language.folded(texts[doc_id])
+        if not any(c.isalpha() for c in texts[doc_id]):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        parts = [data[i : i + language.PIECE] for i in range(0, len(data), language.PIECE)]
+        sizes = {lang: sum(len(p.compress(x)) for x in parts) for lang, (_, p) in packers.items()}
+        best, second = sorted(sizes.values())[:2]
+        assert sizes[r.lang_pred] == best and r.margin == pytest.approx((second - best) / second)
+        assert r.rejected == (r.margin < language.MIN_MARGIN and len(data) >= language.JUDGED_BYTES)
+    assert all(got[-1 - i].rejected for i in range(len(strange))) and not got[-14].rejected
+    assert sum(got[i].rejected for i in clean) <= 2
+    kept = {r.doc_id for r in language.drop_rejected(df, samples, "text").collect()}
+    assert kept == {i for i, r in got.items() if not r.rejected}
+
+
 def test_a_language_of_few_texts_with_many_copies(spark):
     rng = random.Random(7)
     words = {"xx": ["kala", "puhe", "vesi", "tuli", "maa", "ilma", "yksi", "kaksi"], "yy": ["stone", "river", "cloud", "tree", "bird", "road"]}
