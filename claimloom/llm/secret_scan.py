@@ -9,6 +9,12 @@ for each of its characters, the span of the original text it came from; a
 compressed layer stands for its whole run. So every finding is a span of the
 original text.
 
+Escapes may be nested thousands of times in one place (``%252525...41``). A layer
+with escapes gives the layer of one step (each kind of escape by itself) and, if
+escapes are left in that, the layer in which all of them are undone; what lies
+between is no layer. A finding of such a form in between shows in the last form
+or in the first two as well, with its neighbours if they became part of it.
+
 Base64 may be wrapped: runs that only line ends part are also read as one, from
 the start of each of them. A word in the line after a run cannot be told from
 the run's last line, so a finding at the very end of a run can be there a second
@@ -21,7 +27,8 @@ layers are scanned whole. ``n_unopened`` counts compressed data that could not
 be treated so: data that breaks off with an error (what came before is scanned),
 and data that grows beyond ``MAX_EXPANDED`` bytes, which is scanned in
 overlapping chunks, up to ``MAX_STREAMED`` bytes a text (a decompression bomb
-would not end).
+would not end). A base64 run that is open where a chunk ends is cut between two
+groups of four characters, so the next chunk reads on in the same phase.
 """
 
 from __future__ import annotations
@@ -31,6 +38,7 @@ import binascii
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from itertools import chain
@@ -67,6 +75,10 @@ _WRAPPED = re.compile(  # pieces parted by line ends; possessive, so that long r
     r"(?:(?:[ \t]*+(?:\r\n?|\n)[ \t]*+)?=){0,2}"
 )
 _LEAST_RUN = 19  # fewer characters hold fewer than 14 bytes, which neither are a finding nor hold one
+_OPEN = re.compile(  # a run at the end of a text, read backwards
+    r"[A-Za-z0-9+/_-]*+(?:[ \t]*+(?:\n\r?+|\r)[ \t]*+[A-Za-z0-9+/_-]++)*+"
+)
+_ALPHABET = np.array([re.fullmatch(r"[A-Za-z0-9+/_-]", chr(i)) is not None for i in range(256)])
 _BLANKS = re.compile(r"\x20{2,}")
 
 
@@ -90,6 +102,7 @@ class Layer:
     starts: np.ndarray | None = None  # None: the text itself
     ends: np.ndarray | None = None
     whole: tuple[int, int] | None = None
+    unescaped: bool = False  # its escapes are undone by a layer beside it
 
     def origin(self, start: int, end: int) -> tuple[int, int]:
         if self.whole:
@@ -188,6 +201,76 @@ def _unescape_unicode(layer: Layer) -> Layer | None:
     return out.layer()
 
 
+_TRIGGER = re.compile(r"[0-9A-Fa-f;}]|[^0-9A-Fa-f;}]+")  # what may end an escape, and what lies between
+_ENTITY = re.compile(r"&#(?:[xX]([0-9A-Fa-f]{1,6})|([0-9]{1,7}));")
+_BRACED = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}")
+_FIXED = (("%", 1, 2), ("\\x", 2, 2), ("\\u", 2, 4), ("\\U", 2, 8))  # mark, its length, digits
+
+
+def _closed_escape(out: list[str]) -> tuple[int, int] | None:
+    """(characters, code) of the escape that the last character of ``out`` ends."""
+    last = out[-1]
+    if last in ";}":
+        tail = "".join(out[-11:])
+        at = tail.rfind("&#" if last == ";" else "\\u{")
+        m = (_ENTITY if last == ";" else _BRACED).fullmatch(tail, at) if at >= 0 else None
+        if m is None:
+            return None
+        code = int(m[2]) if last == ";" and m[2] else int(m[1], 16)
+        return (len(m[0]), code) if code <= 0x10FFFF else None
+    for mark, length, digits in _FIXED:
+        size = length + digits
+        if len(out) >= size and out[-size] == mark[0] and (length == 1 or out[-size + 1] == mark[1]):
+            code = "".join(out[-digits:])
+            if all(c in "0123456789abcdefABCDEF" for c in code) and int(code, 16) <= 0x10FFFF:
+                return size, int(code, 16)
+    return None
+
+
+def _unescape_all(layer: Layer) -> Layer:
+    """All escapes undone until none is left, in one pass over the text.
+
+    A character that an escape stands for goes back on the end of what is read
+    so far and may end another escape there. Escapes beyond ASCII, which no
+    finding and no escape holds, become one character each.
+    """
+    out, firsts, lasts = [], array("q"), array("q")  # characters and the spans of the layer they stand for
+    for m in _TRIGGER.finditer(layer.text):
+        start, end = m.span()
+        out.extend(m[0])
+        if not layer.whole:
+            firsts.extend(range(start, end))
+            lasts.extend(range(start + 1, end + 1))
+        while out[-1] in "0123456789abcdefABCDEF;}" and (escape := _closed_escape(out)):
+            size, code = escape
+            del out[-size:]
+            out.append(chr(code) if not 0xD800 <= code < 0xE000 else "\ufffd")
+            if not layer.whole:
+                first, last = firsts[-size], lasts[-1]
+                del firsts[-size:], lasts[-size:]
+                firsts.append(first)
+                lasts.append(last)
+    text = "".join(out)
+    if layer.whole:
+        return Layer(text, whole=layer.whole, unescaped=True)
+    first, last = np.array(firsts, int), np.array(lasts, int)
+    if layer.starts is not None:
+        first, last = layer.starts[first], layer.ends[last - 1]
+    return Layer(text, first, last, unescaped=True)
+
+
+def _unescaped(layer: Layer) -> Iterator[Layer]:
+    """The layers of one step, and the last one if it takes more steps."""
+    steps = [_unescape_percent(layer)] if "%" in layer.text else []
+    steps += [_unescape_unicode(layer)] if "\\" in layer.text or "&#" in layer.text else []
+    steps = [step for step in steps if step]
+    if any(_PERCENT.search(step.text) or _UNICODE.search(step.text) for step in steps):
+        steps.append(_unescape_all(layer))
+    for step in steps:
+        step.unescaped = True
+        yield step
+
+
 def _inflater(head: bytes):
     """What opens data with this head, or None."""
     if head[:4] == b"\x28\xb5\x2f\xfd" or (head[1:4] == b"\x2a\x4d\x18" and head[0] >> 4 == 5):
@@ -266,6 +349,18 @@ def _gathered(source: Iterator[bytes], limit: int) -> tuple[bytes, bool]:
     return b"".join(parts), False
 
 
+def _cut(text: str) -> int:
+    """Where the next chunk begins: ``OVERLAP`` before the end, or a little earlier in the phase of an open run."""
+    cut = max(len(text) - OVERLAP, 0)
+    open_run = _OPEN.match(text[::-1])
+    begin = len(text) - open_run.end()
+    if begin >= cut:
+        return cut
+    held = np.frombuffer(text[begin:cut].encode("latin-1"), np.uint8)
+    groups = np.flatnonzero(_ALPHABET[held])[::4]  # first characters of groups of four
+    return begin + int(groups[-1]) if len(groups) else cut
+
+
 def _expanded(data: bytes, tally: _Tally) -> tuple[Iterator[str], _Expansion] | None:
     """Texts that compressed data holds: one, or overlapping chunks of a large one."""
     if _inflater(data[:4]) is None:
@@ -289,7 +384,7 @@ def _expanded(data: bytes, tally: _Tally) -> tuple[Iterator[str], _Expansion] |
             for start in range(0, len(first), CHUNK):
                 text = _BLANKS.sub(" ", tail + first[start : start + CHUNK].decode("latin-1"))
                 yield text
-                tail = text[-OVERLAP:]
+                tail = text[_cut(text) :]
             tally.streamed += len(first)
             first, _ = _gathered(source, CHUNK)
 
@@ -358,10 +453,8 @@ def _decoded_runs(layer: Layer, tally: _Tally) -> Iterator[Layer]:
 
 def _inner(layer: Layer, tally: _Tally) -> Iterator[Layer]:
     """The layers directly below a layer."""
-    if "%" in layer.text and (inner := _unescape_percent(layer)):
-        yield inner
-    if ("\\" in layer.text or "&#" in layer.text) and (inner := _unescape_unicode(layer)):
-        yield inner
+    if not layer.unescaped:
+        yield from _unescaped(layer)
     yield from _decoded_runs(layer, tally)
     if layer.whole and _inflater(layer.text[:4].encode("latin-1", "replace")) is not None:
         try:

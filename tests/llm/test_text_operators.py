@@ -6,6 +6,7 @@ import hashlib
 import json
 import random
 import re
+import tracemalloc
 import zlib
 from urllib.parse import quote
 
@@ -177,6 +178,55 @@ def test_all_members_and_large_expansions():
     assert secret_scan.find_secrets(text) == ([], [("assign", 0, len(text))], 1)
 
 
+def forms_by_hand(text):
+    """Every text that undoing the percent or the Unicode escapes, in any order, gives."""
+    forms, todo = {text}, [text]
+    while todo:
+        form = todo.pop()
+        step = re.sub(r"(%[0-9A-Fa-f]{2})+", lambda m: bytes.fromhex(m[0].replace("%", "")).decode("latin-1"), form)
+        other = re.sub(r"\\u([0-9A-Fa-f]{4})|&#(\d{1,7});", lambda m: chr(int(m[1], 16) if m[1] else int(m[2])), form)
+        fresh = {step, other} - forms
+        forms |= fresh
+        todo += fresh
+    return forms
+
+
+def test_nested_escapes_against_all_forms():
+    rng = random.Random(11)
+    parts = ["%25", "%2525", "25", "%5C", "u0025", "\\u005c", "&#37;", "&#38;", "#37;", "41", "3D", "%3D", "=", "token", "%74oken",
+             "AKIA", "AK%2549A", "abcdef", "0123456789", "a" * 20, "X" * 9, " ", "%", "\\", "%C3%A9"]
+    for _ in range(1500):
+        text = "".join(rng.choices(parts, k=rng.randint(3, 14)))
+        base, spans, _ = secret_scan.find_secrets(text)
+        for form in forms_by_hand(text):
+            wanted = {kind for kind, _, _ in secret_scan.scan(form)}
+            assert wanted <= {kind for kind, _, _ in spans}, (text, form)
+        assert set(base) <= set(spans) and all(0 <= a < b <= len(text) for _, a, b in spans)
+
+
+def test_deep_nesting_takes_one_pass():
+    deep = "%" + "25" * 100_000
+    for text, at in ((f"x token{deep}3Dabcdefgh1 y", 2), (f"x {deep}74oken=abcdefgh1 y", 2), ("x &" + "#38;" * 70_000 + "#116;oken=abcdefgh1 y", 2),
+                     ("x %5Cu0025" + "5Cu0025" * 40_000 + "74oken=abcdefgh1 y", 2)):
+        tracemalloc.start()
+        spans = secret_scan.find_secrets(text)[1]
+        assert tracemalloc.get_traced_memory()[1] < 200 << 20
+        tracemalloc.stop()
+        assert ("assign", at, len(text) - 2) in spans
+
+
+@pytest.mark.parametrize("before", [b"", b".", b"..", b"...", b"word\n"])
+@pytest.mark.parametrize("width", [0, 76])
+def test_runs_go_on_over_chunks(monkeypatch, before, width):
+    for name, value in (("MAX_EXPANDED", 1 << 16), ("CHUNK", 1 << 14), ("OVERLAP", 1 << 10)):
+        monkeypatch.setattr(secret_scan, name, value)
+    filler = bytes(random.Random(3).choices(b"klmnop ~", k=40_000))
+    run = base64.b64encode(filler + b" token = 'abcdefgh1234' end").decode()
+    large = b". " * 40_000 + before + (wrapped(run, width) if width else run).encode()
+    text = base64.b64encode(zlib.compress(large)).decode()
+    assert secret_scan.find_secrets(text) == ([], [("assign", 0, len(text))], 1)
+
+
 def test_masking(spark):
     docs = documents(spark, [None, "", PLAIN, "x %74oken%3Dabcdefgh1 y", "clean"])
     got = secret_scan.mask_secrets(docs, "text", {"doc_id": F.col("doc_id")}).where("doc_id > 0").orderBy("doc_id").collect()
