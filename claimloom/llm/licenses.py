@@ -232,9 +232,10 @@ def scan_licenses(
     min_probability: float = MIN_PROBABILITY,
     min_overlap: float = MIN_OVERLAP,
 ) -> DataFrame:
-    """(row, at, last, family, probability, overlap, confirmed) of paragraphs predicted as a family.
+    """(row, copy, at, last, family, probability, overlap, confirmed) of paragraphs predicted as a family.
 
-    ``docs`` holds ``row`` and the text. ``at`` is the paragraph's first line, ``last`` its last one.
+    ``docs`` holds ``row`` and the text; ``copy`` tells rows of an equal ``row`` apart.
+    ``at`` is the paragraph's first line, ``last`` its last one.
     """
     spark = docs.sparkSession
     lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
@@ -283,7 +284,7 @@ def scan_licenses(
         .agg(F.max(overlap).alias("overlap"))
         .withColumn("confirmed", F.col("overlap") >= min_overlap)
     )
-    return _settled(judged)
+    return _settled(stage(judged, "licence-judged"), longest)  # lines and runs are read from it
 
 
 def _runs(lines: DataFrame, longest: int) -> DataFrame:
@@ -316,52 +317,75 @@ def _runs(lines: DataFrame, longest: int) -> DataFrame:
     )
 
 
-def _settled(judged: DataFrame) -> DataFrame:
+def _settled(judged: DataFrame, longest: int) -> DataFrame:
     """Single lines, and the runs that are confirmed where no line of theirs is.
 
     Of runs of one family that overlap, the one that holds the most of its
     template stays, then the shortest, then the first. It stands for the
-    unconfirmed lines in it.
+    unconfirmed lines in it. Lines and runs meet in sweeps over the lines of a
+    document, and only runs that overlap each other are compared one by one.
     """
     fields = ["at", "last", "family", "probability", "overlap", "confirmed"]
-    rank = F.struct((-F.col("overlap")).alias("o"), (F.col("last") - F.col("at")).alias("n"), *fields)
+    document = Window.partitionBy("row", "copy")
+    family = Window.partitionBy("row", "copy", "family")
     single = F.col("at") == F.col("last")
-    by_copy = judged.groupBy("row", "copy").agg(
-        F.collect_list(F.when(single, rank)).alias("lines"),
-        F.array_sort(F.collect_list(F.when(~single & F.col("confirmed"), rank))).alias("runs"),
+    # a run goes if the last confirmed line before its end lies in it
+    line = F.max(F.when(single & F.col("confirmed"), F.col("at"))).over(family.orderBy("last"))
+    marked = judged.where(single | F.col("confirmed")).withColumn("line", line)
+    runs = marked.where(~single & (F.col("line").isNull() | (F.col("line") < F.col("at"))))
+    # a run with one in it that holds as much of its template never stays; no run has more lines than the longest template words and two
+    inside = F.collect_list(F.struct("at", "last", "overlap")).over(family.orderBy("at").rangeBetween(0, longest + 2))
+    beaten = F.exists(
+        "inside",
+        lambda x: (x["last"] <= F.col("last")) & (x["overlap"] >= F.col("overlap")) & ((x["at"] > F.col("at")) | (x["last"] < F.col("last"))),
     )
-
-    def touch(x, y):
-        return (x["at"] <= y["last"]) & (y["at"] <= x["last"])
-
-    own = F.filter("runs", lambda x: ~F.exists("lines", lambda y: y["confirmed"] & (y["family"] == x["family"]) & touch(x, y)))
+    runs = runs.withColumn("inside", inside).where(~beaten).drop("inside", "line")
+    before = F.max("last").over(family.orderBy("at", "last").rowsBetween(Window.unboundedPreceding, -1))
+    begins = (before.isNull() | (before < F.col("at"))).cast("int")
+    island = F.sum("begins").over(family.orderBy("at", "last"))
+    rank = F.struct((-F.col("overlap")).alias("o"), (F.col("last") - F.col("at")).alias("n"), *fields)
+    islands = (
+        runs.withColumn("begins", begins).withColumn("island", island)
+        .groupBy("row", "copy", "family", "island").agg(F.array_sort(F.collect_list(rank)).alias("runs"))
+    )
     chosen = F.aggregate(
         "runs", F.slice("runs", 1, 0),
-        lambda held, x: F.when(F.exists(held, lambda y: (y["family"] == x["family"]) & touch(x, y)), held).otherwise(F.concat(held, F.array(x))),
+        lambda held, x: F.when(F.exists(held, lambda y: (x["at"] <= y["last"]) & (y["at"] <= x["last"])), held).otherwise(F.concat(held, F.array(x))),
     )
-    left = F.filter("lines", lambda x: x["confirmed"] | ~F.exists("runs", lambda y: touch(x, y)))
-    settled = by_copy.withColumn("runs", own).withColumn("runs", chosen)
-    return settled.select("row", F.explode(F.concat(left, F.col("runs"))).alias("f")).select("row", *[f"f.{x}" for x in fields])
+    stay = islands.select("row", "copy", F.explode(chosen).alias("f")).select("row", "copy", *[f"f.{x}" for x in fields])
+    both = marked.where(single).select("row", "copy", *fields).unionByName(stay)
+    covered = F.max(F.when(~single, F.col("last"))).over(document.orderBy("at"))
+    kept = ~single | F.col("confirmed") | F.col("covered").isNull() | (F.col("covered") < F.col("at"))
+    return both.withColumn("covered", covered).where(kept).drop("covered")
+
+
+def _row_key(id: Column, text: Column) -> Column:
+    """The same for rows of equal id and text only; such rows have the same findings."""
+    named = id.cast("string")
+    return F.sha2(F.concat(F.coalesce(F.length(named).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(named, F.lit("")), text), 256)
 
 
 def document_licenses(docs: DataFrame, id: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> DataFrame:
-    """(doc_id, n_notices, n_unconfirmed, families, notices), one row per document id.
+    """(doc_id, n_notices, n_unconfirmed, families, notices), one row per row of ``docs``.
 
     ``families`` are the confirmed ones, sorted; ``notices`` are all
     predictions as paragraph:family:confirmed, in order.
     """
     model = train(sample_paragraphs(docs, text, sample))
-    rows = docs.select(F.col(id).alias("row"), F.col(text).alias("text"))
-    found = scan_licenses(rows.where(F.col("row").isNotNull()), model, "text")
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select(F.col(id).alias("doc_id"), _row_key(F.col(id), whole).alias("row"), whole.alias("text"))
+    found = scan_licenses(rows.select("row", "text"), model, "text")
     notice = F.concat_ws(":", "at", "family", F.when(F.col("confirmed"), "confirmed").otherwise("unconfirmed"))
-    by_row = found.groupBy("row").agg(
+    by_copy = found.groupBy("row", "copy").agg(
         F.count_if("confirmed").alias("n_notices"),
         F.count_if(~F.col("confirmed")).alias("n_unconfirmed"),
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", notice.alias("n")))), lambda x: x["n"]), ",").alias("notices"),
     )
-    return rows.select("row").join(by_row, "row", "left").select(
-        F.col("row").alias("doc_id"),
+    told = F.struct("n_notices", "n_unconfirmed", "families", "notices")
+    by_row = by_copy.groupBy("row").agg(F.min_by(told, "copy").alias("told")).select("row", "told.*")
+    return rows.select("doc_id", "row").join(by_row, "row", "left").select(
+        "doc_id",
         *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_notices", "n_unconfirmed")],
         *[F.coalesce(c, F.lit("")).alias(c) for c in ("families", "notices")],
     )

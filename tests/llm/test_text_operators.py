@@ -6,6 +6,7 @@ import hashlib
 import json
 import random
 import re
+import time
 import tracemalloc
 import zlib
 from urllib.parse import quote
@@ -335,6 +336,58 @@ def test_wrapped_notices_are_confirmed(spark):
     assert got[len(cases) + 2].families == ""
 
 
+def test_equal_and_null_ids_have_findings_of_their_own(spark):
+    rows = [(1, "Released under the MIT License."), (1, "Licensed under CC BY 4.0."), (1, "Licensed under CC BY 4.0."), (1, None),
+            (None, "Released under the MIT License."), (None, "a\nReleased under the MIT License."), (None, None)]
+    got = licenses.document_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.n_notices, r.notices) for r in got) == sorted(
+        [(1, 1, "0:mit:confirmed"), (1, 1, "0:cc-by:confirmed"), (1, 1, "0:cc-by:confirmed"), (1, 0, ""),
+         (0, 1, "0:mit:confirmed"), (0, 1, "1:mit:confirmed"), (0, 0, "")]
+    )
+
+
+def settled_by_hand(found):
+    """Runs in order of overlap, length and place, against all lines and all runs taken so far."""
+    touch = lambda x, y: x[2] == y[2] and x[0] <= y[1] and y[0] <= x[1]
+    lines = [f for f in found if f[0] == f[1]]
+    taken = []
+    for run in sorted((f for f in found if f[0] != f[1] and f[4]), key=lambda f: (-f[3], f[1] - f[0], *f)):
+        if not any(touch(run, y) for y in taken + [x for x in lines if x[4]]):
+            taken.append(run)
+    return sorted(taken + [x for x in lines if x[4] or not any(y[0] <= x[0] <= y[1] for y in taken)])
+
+
+def test_runs_are_settled_as_by_hand(spark):
+    rng = random.Random(4)
+    cases = []
+    for _ in range(150):
+        found = {}
+        for _ in range(rng.randint(1, 25)):
+            at, family = rng.randrange(12), rng.choice(["mit", "bsd"])
+            last = at + rng.choice([0, 0, 1, 2, 3, 4])
+            overlap = rng.choice([0.3, 0.6, 0.8, 1.0])
+            # a line is predicted as one family, a run likewise
+            found[at, last] = (at, last, family, overlap, overlap >= 0.6)
+        cases.append(list(found.values()))
+    rows = [(str(i), i, a, b, f, 0.9, o, c) for i, found in enumerate(cases) for a, b, f, o, c in found]
+    judged = spark.createDataFrame(rows, "row string, copy long, at int, last int, family string, probability double, overlap double, confirmed boolean")
+    got = {}
+    for r in licenses._settled(judged, 10).collect():
+        got.setdefault(r.copy, []).append((r.at, r["last"], r.family, r.overlap, r.confirmed))
+    for i, found in enumerate(cases):
+        assert sorted(got.get(i, [])) == settled_by_hand(found), i
+
+
+def test_thousands_of_notices_in_one_document(spark):
+    texts = ["All rights reserved.\n" * 4_000, "Permission is hereby granted, free\nof charge, to any person\nobtaining a copy of this software and associated documentation files.\n" * 700]
+    texts += [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]  # the corpus the unknown class is drawn from
+    started = time.time()
+    got = families_of(spark, texts)
+    assert time.time() - started < 90
+    assert (got[0].n_notices, got[0].n_unconfirmed, got[0].families) == (4_000, 0, "proprietary")
+    assert got[1].n_notices == 700 and got[1].families == "mit"
+
+
 # --- language ----------------------------------------------------------------------
 
 
