@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import os
 import warnings
+from collections import Counter, defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import count
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -72,6 +74,9 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     text holds a line break: such files are split without looking at quotes. A
     row's position is its place in the file, or its block's and its own in the
     block; all kinds are numbered in file order.
+
+    Of headers that differ only in case, or not at all, the lower-case spelling
+    (else the first) keeps its name, the others end in ``.1``, ``.2`` and so on.
     """
     raw = spark.read.csv(path, header=True, multiLine=multi_line, quote='"', escape='"')
     if multi_line and raw.columns and _largest_file(spark, path) > _split_bytes(spark):
@@ -82,10 +87,34 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
         rows, cells = raw, [F.col(f"`{name}`") for name in raw.columns]
         block = None if multi_line else F.col("_metadata.file_block_start")
         position = _position(F.monotonically_increasing_id(), block)
-    nulled = [F.when(~c.isin(*NA_LITERALS), c).alias(n) for c, n in zip(cells, raw.columns)]
+    names = _header_names(spark, path, raw.columns, multi_line)
+    nulled = [F.when(~c.isin(*NA_LITERALS), c).alias(n) for c, n in zip(cells, names)]
     return rows.select(*nulled, position)
 
 
+def _header_names(spark: SparkSession, path: str, columns: list[str], multi_line: bool) -> list[str]:
+    """Names of the columns, as the file spells them wherever the reader has numbered equal ones."""
+    bare = [name.removesuffix(str(i)).lower() for i, name in enumerate(columns)]
+    numbered = [i for i, name in enumerate(columns) if name.endswith(str(i))]
+    clash = {b for b, n in Counter(bare[i] for i in numbered).items() if n > 1}
+    if not clash:
+        return columns
+    # such columns may well be named x0 and x1 in the file itself: its first row tells
+    first = spark.read.csv(path, header=False, multiLine=multi_line, quote='"', escape='"').first()
+    names, groups = list(columns), defaultdict(list)
+    for i in numbered:
+        if bare[i] in clash and first[i] != columns[i] and (first[i] or "").lower() == bare[i]:
+            names[i] = first[i]
+            groups[bare[i]].append(i)
+    for group in groups.values():
+        keeper = next((i for i in group if names[i] == names[i].lower()), group[0])
+        taken = {name.lower() for i, name in enumerate(names) if i not in group or i == keeper}
+        for i in (i for i in group if i != keeper):
+            names[i] = next(n for k in count(1) if (n := f"{names[i]}.{k}").lower() not in taken)
+            taken.add(names[i].lower())
+    return names
+
+
 def _largest_file(spark: SparkSession, path: str) -> int:
     """Bytes of the largest file at or below ``path``, from its listing."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -541,3 +541,38 @@ def test_corpus_of_plain_frames_needs_a_key(spark):
     frame = spark.createDataFrame([("b", "x y z", "1"), ("a", "u v w", "0")], "id string, text string, label string")
     merged = merge_corpora([Corpus("one", frame)], order_by=["orig_id"])
     assert rows(merged, "uid", "orig_id", "label") == [(1, "a", "true"), (2, "b", "fake")]
+
+
+def test_large_files_are_hashed_as_streams(spark, tmp_path, monkeypatch):
+    (tmp_path / "sub dir").mkdir()
+    for name, data in (("a.bin", b"x" * 100), ("sub dir/b é%20.bin", bytes(range(256)) * 40), ("edge", b"y" * 1000)):
+        (tmp_path / name).write_bytes(data)
+    whole = [tuple(r) for r in sinks.manifest(spark, str(tmp_path)).collect()]
+    monkeypatch.setattr(sinks, "HASHED_WHOLE", 1000)
+    assert [tuple(r) for r in sinks.manifest(spark, str(tmp_path)).collect()] == whole
+    assert [r[0] for r in whole] == ["a.bin", "edge", "sub dir/b é%20.bin"]
+    assert all(hashlib.sha256((tmp_path / name).read_bytes()).hexdigest() == digest for name, digest, _ in whole)
+
+
+def test_a_file_beyond_two_gigabytes_is_in_the_manifest(spark, tmp_path):
+    with (tmp_path / "sparse.csv").open("wb") as out:
+        out.truncate(3 << 30)
+    want = hashlib.sha256()
+    for _ in range(3 << 7):
+        want.update(bytes(1 << 23))
+    assert [tuple(r) for r in sinks.manifest(spark, str(tmp_path)).collect()] == [("sparse.csv", want.hexdigest(), 3 << 30)]
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_headers_that_differ_in_case_stay_apart(spark, tmp_path, multi_line):
+    path = tmp_path / "set.csv"
+    path.write_text("ID,text,Text,id,TEXT,x5,X6\n1,a,b,2,c,d,e\n")
+    frame = scan.read_csv(spark, str(path), multi_line).drop(scan.POSITION)
+    assert frame.columns == ["ID.1", "text", "Text.1", "id", "TEXT.2", "x5", "X6"]
+    assert [tuple(r) for r in frame.collect()] == [("1", "a", "b", "2", "c", "d", "e")]
+    mapped = ensure_schema(frame, "set").collect()
+    assert [(r.orig_id, r.text) for r in mapped] == [("2", "a")]
+    path.write_text("Text,texT,label\na,b,1\n")
+    assert scan.read_csv(spark, str(path), multi_line).columns[:3] == ["Text", "texT.1", "label"]
+    path.write_text("x0,x1,x2\na,b,1\n")
+    assert scan.read_csv(spark, str(path), multi_line).columns[:3] == ["x0", "x1", "x2"]
