@@ -1,12 +1,13 @@
 """Exact top-k inner products through an impact-ordered index.
 
 Vectors are dealt into shards. In each shard, every dimension has posting
-segments: the vectors whose component falls into one quantisation level. A
-query visits the segments of all dimensions by descending impact (the most
-that a vector of the segment gains over the dimension's worst one) and adds
-impacts to accumulators. It stops only on proof: what the unvisited segments
-can still add at most must leave a short list of possible members, every other
-vector being below the k-th lower bound. Possible members are rescored exactly.
+segments: the vectors whose component falls into one quantisation level. They
+lie in tiers by descending impact (what a vector of the segment gains over the
+dimension's worst one), and a block of queries visits tier by tier, adding
+impacts to its accumulators. A query stops only on proof: what the unvisited
+segments can still add at most must leave a short list of possible members,
+every other vector being below the k-th lower bound. Possible members are
+rescored exactly.
 
 Vectors that are null or hold null or non-finite components, and rows without
 an id, take no part. Vectors of different lengths have no inner product and are
@@ -26,8 +27,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 SHARD_ROWS = 16_384  # vectors per index shard: bounds a task's memory
 QUERY_BLOCK = 256  # queries that meet a shard in one task
 LEVEL = 8  # width of a quantisation level
-SAFE = 1 << 60  # largest sum of products that the index may count with
+EXACT_SINGLE, EXACT_DOUBLE = 1 << 24, 1 << 53  # sums of whole numbers below these are exact as floats
 SHORT_LIST = 64  # possible members at which a search may stop
+TIER_SHARES = (0.75, 0.5, 0.0)  # of a dimension's levels: where its tiers end
+TOGETHER = 128  # queries that go through the tiers at a time: bounds the accumulators
 
 
 def quantise(embedding: Column, scale: int = 256) -> Column:
@@ -40,19 +43,35 @@ def quantise(embedding: Column, scale: int = 256) -> Column:
 
 
 class ShardIndex:
-    """Posting segments of one shard, impact-ordered per dimension."""
+    """Posting segments of one shard in tiers of descending impact, for blocks of queries.
+
+    A segment's impact on a query is the query's weight times the segment's gain: its distance from the
+    dimension's worst level, which is the lowest for positive weights and the highest for negative ones.
+    Tiers are cut by gain, so each holds the postings with the next largest gains of all dimensions, and one
+    product adds a tier's impacts to the accumulators of all queries that still need it.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
         self.largest = max(abs(int(vectors.max(initial=0))), abs(int(vectors.min(initial=0))))
-        levels = vectors // LEVEL
-        self.segments: list[list[tuple[int, int, np.ndarray]]] = []  # per dimension: (least, most, members)
-        for d in range(vectors.shape[1]):
-            order = np.argsort(levels[:, d], kind="stable")
-            cuts = np.flatnonzero(np.diff(levels[order, d])) + 1
-            self.segments.append(
-                [(int(vectors[m, d].min()), int(vectors[m, d].max()), m) for m in np.split(order, cuts)]
-            )
+        self._tiers: dict[type, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+    def tiers(self, kind: type) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Per tier, by descending gain: the postings' least gains for weights of either sign (0: no posting), and what
+        a vector can still gain at most in each dimension and sign by segments of later tiers."""
+        if kind not in self._tiers:
+            levels = self.vectors // LEVEL
+            floor = np.concatenate([levels.min(axis=0), -levels.max(axis=0)])
+            steps = np.concatenate([levels, -levels], axis=1) - floor  # levels above the worst one
+            span = steps.max(axis=0)
+            out, above = [], span + 1
+            for share in TIER_SHARES:
+                cut = np.ceil(span * share).astype(steps.dtype)
+                posted = (steps >= cut) & (steps < above)
+                out.append((np.where(posted, steps * LEVEL, 0).astype(kind), np.maximum(cut * LEVEL - 1, 0)))
+                above = cut
+            self._tiers[kind] = out
+        return self._tiers[kind]
 
     def _search_all(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The same where sums may leave 64 bits: exact whole numbers, told as the nearest long."""
@@ -63,48 +82,57 @@ class ShardIndex:
         told = [min(max(scores[i], limit.min), limit.max) for i in best]
         return self.ids[rest[best]], np.array(told, np.int64)
 
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the shard's k best, ties to the smaller id."""
-        n, weights = len(self.ids), query.tolist()
-        heaviest = max((abs(w) for w in weights), default=0)
-        if len(weights) * heaviest * self.largest >= SAFE:
-            return self._search_all(query_id, query, k)
-        visits = []  # (impact at most, impact at least, dimension, members)
-        for d, weight in enumerate(weights):
-            if weight:
-                bounds = [(*sorted((weight * a, weight * b)), members) for a, b, members in self.segments[d]]
-                floor = min(low for low, _, _ in bounds)
-                visits += [(high - floor, low - floor, d, members) for low, high, members in bounds]
-        visits.sort(key=lambda visit: -visit[0])
-        # Before visit i, a vector can still gain remaining[i] (the next impact of every
-        # dimension) and, as impacts count by their least value, slack[i] more.
-        left, remaining = dict.fromkeys(range(len(weights)), 0), [0] * (len(visits) + 1)
-        for i in range(len(visits) - 1, -1, -1):
-            most, _, d, _ = visits[i]
-            remaining[i] = remaining[i + 1] + most - left[d]
-            left[d] = most
-        widest, slack = dict.fromkeys(range(len(weights)), 0), [0] * (len(visits) + 1)
-        for i, (most, least, d, _) in enumerate(visits):
-            slack[i + 1] = slack[i] + max(0, most - least - widest[d])
-            widest[d] = max(widest[d], most - least)
-        lower = np.zeros(n, np.int64)
-        rest = np.arange(n)
-        keep = min(k + int((self.ids == query_id).sum()), n)  # the query's own rows may be among the best
-        step = max(16, len(visits) // 16)
-        for i, (_, least, _, members) in enumerate(visits):
-            lower[members] += least
-            done = i + 1
-            if done % step == 0 or done == len(visits):
-                open_ = remaining[done] + slack[done]
-                bound = np.partition(lower, n - keep)[n - keep]
-                rest = np.flatnonzero(lower + open_ >= bound)
-                if len(rest) <= max(SHORT_LIST, n // 64):
-                    break
+    def _rescore(self, rest: np.ndarray, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         rest = rest[self.ids[rest] != query_id]
-        scores = self.vectors[rest].astype(np.int64) @ query.astype(np.int64)
+        scores = self.vectors[rest].astype(np.int64) @ query
         best = np.lexsort((self.ids[rest], -scores))[:k]
         return self.ids[rest][best], scores[best]
 
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query, ids and scores of the shard's k best, ties to the smaller id."""
+        n, width = self.vectors.shape
+        found: list = [None] * len(queries)
+        heaviest = [max((abs(w) for w in q), default=0) for q in queries.tolist()]
+        # gains reach twice the largest component and a level more
+        sums = [width * h * 2 * (self.largest + LEVEL) for h in heaviest]
+        for i, total in enumerate(sums):
+            if total >= EXACT_DOUBLE:
+                found[i] = self._search_all(int(query_ids[i]), queries[i], k)
+        for kind, least, limit in ((np.float32, 0, EXACT_SINGLE), (np.float64, EXACT_SINGLE, EXACT_DOUBLE)):
+            chosen = [i for i, total in enumerate(sums) if least <= total < limit]
+            for start in range(0, len(chosen), TOGETHER):
+                self._search_tiers(np.array(chosen[start : start + TOGETHER]), query_ids, queries, k, kind, found)
+        return found
+
+    def _search_tiers(
+        self, open_: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, kind: type, found: list
+    ) -> None:
+        """Answers of the queries at ``open_``, put into ``found``; all sums are whole numbers that ``kind`` holds."""
+        n = len(self.ids)
+        asked = queries[open_]
+        weights = np.concatenate([np.maximum(asked, 0), np.maximum(-asked, 0)], axis=1)
+        lower = np.zeros((len(open_), n), kind)
+        own = [int((self.ids == query_ids[i]).sum()) for i in open_]  # the query's own rows may be among the best
+        tiers = self.tiers(kind)
+        for number, (gains, later) in enumerate(tiers):
+            lower += weights.astype(kind) @ gains.T
+            # counted by their least gain, postings gain a level less one more; others what later tiers hold
+            slack = weights @ np.maximum(later, LEVEL - 1)
+            keep = min(k + max(own), n)
+            bound = np.partition(lower, n - keep, axis=1)[:, n - keep]
+            near = lower >= (bound - slack)[:, None]
+            listed = near.sum(axis=1)
+            last = number == len(tiers) - 1
+            done = listed <= max(SHORT_LIST, n // 64) if not last else np.ones(len(open_), bool)
+            for row in np.flatnonzero(done).tolist():
+                i = int(open_[row])
+                found[i] = self._rescore(np.flatnonzero(near[row]), int(query_ids[i]), queries[i], k)
+            if done.all():
+                return
+            going = ~done
+            open_, weights, lower = open_[going], weights[going], lower[going]
+            own = [o for o, goes in zip(own, going) if goes]
+
 
 def top_k(
     vectors: DataFrame,
@@ -154,9 +182,11 @@ def top_k(
         asked = matrices(questions) if table.num_rows and questions.num_rows else {}
         for width, (ids_, vectors_) in (matrices(table) if asked else {}).items():
             index = ShardIndex(ids_, vectors_) if width in asked else None
-            for query_id, query in zip(*asked[width]) if index else ():
-                ids, scores = index.search(int(query_id), query.astype(np.int64), k)
-                out["query_id"] += [int(query_id)] * len(ids)
+            if index is None:
+                continue
+            query_ids, queries_ = asked[width]
+            for query_id, (ids, scores) in zip(query_ids.tolist(), index.search(query_ids, queries_.astype(np.int64), k)):
+                out["query_id"] += [query_id] * len(ids)
                 out["vec_id"] += ids.tolist()
                 out["score"] += scores.tolist()
         return pa.table({name: pa.array(values, pa.int64()) for name, values in out.items()})
