@@ -316,6 +316,33 @@ def test_regions_come_from_the_host(spark):
     assert wrappers.extract_main_text(df.limit(0), "page_id", "url", "html", {"page_id": F.col("page_id")}).count() == 0
 
 
+def test_every_page_of_a_host_shapes_its_wrapper(spark):
+    """Sixty structures in one host, one page each, and a hundred pages of one more."""
+    letters = [a + b for a in "abcdef" for b in "ghijklmnop"]
+    pages = [
+        (i, "https://many.example.org/", f"<body><div class='text'><p>Words {i} of the page.</p><div class='box{x}'>Box</div></div></body>")
+        for i, x in enumerate(letters)
+    ]
+    pages += [(100 + i, "https://many.example.org/", f"<body><div class='text'><p>Word {i}.</p></div></body>") for i in range(100)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5)
+    for fan_in in (wrappers.FAN_IN, 4):
+        found = wrappers.infer_wrappers(df, "url", "html", fan_in).collect()
+        assert [r.region for r in found] == [["body", "div.text"]]
+        assert all(f"<div.box{x}>" in found[0].wrapper for x in letters)
+        again = wrappers.infer_wrappers(df.unionByName(df).repartition(2), "url", "html", fan_in).collect()
+        assert again == found  # neither copies nor the deal of the rows matter
+
+
+def test_wrappers_align_with_wrappers():
+    def of(*pages):
+        return wrappers.infer_wrapper(list(pages))
+
+    a = of("<p>x</p><hr><i>one</i>", "<p>x</p><i>two</i>")
+    b = of("<p>x</p><i>three</i><u>v</u>", "<p>x</p><i>four</i>")
+    both = wrappers.align(a, wrappers.load(wrappers.dump(b)))
+    assert " ".join(map(str, both)) == "<p> #text </p> (<hr>)? <i> #slot </i> (<u> #text </u>)?"
+
+
 @pytest.mark.parametrize(
     "shape",
     [
