@@ -261,3 +261,33 @@ def test_long_texts_are_hashed_whole(spark, monkeypatch):
             hashlib.blake2b(data[i * 36 : (i + 1) * 36], digest_size=16, salt=i.to_bytes(4, "little")).digest()
             for i in range(14)
         ]
+
+
+def test_batches_are_read_in_pieces(spark, monkeypatch):
+    """However many rows a batch has, a few at a time are strings; the digests are those of the whole batch."""
+    from claimloom.functions import minhash
+
+    values = [f"texto {i % 90} de {i}" for i in range(500)]
+    whole = spark.createDataFrame(list(enumerate(values)), "id long, t string").coalesce(1)
+    want = [r.d for r in whole.select("id", minhash.band_digests(F.col("t"), 5, 128, 3, 14, 9).alias("d")).orderBy("id").collect()]
+    made, taken = [], []
+
+    class Batch:
+        def __init__(self, rows):
+            self.rows = rows
+
+        def __len__(self):
+            return len(self.rows)
+
+        def slice(self, start, length):
+            return Batch(self.rows[start : start + length])
+
+        def to_pylist(self):
+            taken.append(len(self.rows))
+            return self.rows
+
+    monkeypatch.setattr(minhash, "PIECE_ROWS", 40)
+    monkeypatch.setattr(F, "arrow_udf", lambda function, kind: made.append(function) or (lambda column: column))
+    minhash.band_digests(F.col("t"), 5, 128, 3, 14, 9)
+    found = [d for part in made[0](iter([Batch(values[:260]), Batch([]), Batch(values[260:])])) for d in part.to_pylist()]
+    assert found == want and max(taken) <= 40 and sum(taken) == 500
