@@ -258,6 +258,13 @@ members AS (
   SELECT id, rep AS text_id, coalesce(names, '') AS near_duplicate_groups
   FROM src JOIN distinct_body USING (body) LEFT JOIN named USING (rep))"""
 
+# Every row that shares a band with a text, its own rows included.
+_LISTS = """pairs AS (SELECT DISTINCT x.rep AS a, y.rep AS b FROM bands x JOIN bands y ON x.bucket = y.bucket),
+copies AS (SELECT DISTINCT id, rep FROM src JOIN distinct_body USING (body)),
+lists AS (
+  SELECT a, string_agg(CAST(id AS VARCHAR), ' ' ORDER BY id) AS near_duplicates
+  FROM pairs JOIN copies ON rep = b GROUP BY a)"""
+
 _WITH_URLS = """
 linked AS (
   SELECT d.doc_id, d.text || ' ' || coalesce(p.url, 'www.exemplo.com.br')
@@ -370,8 +377,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT least AS id_a, rep AS id_b, CAST(band AS INTEGER) AS band FROM groups WHERE least < rep""",
         "near_dup_verified": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS body FROM documents), {_near("src")}, {_VERIFIED}
             SELECT * FROM verified WHERE jaccard >= 0.7""",
-        "near_dup_lists": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS body FROM documents), {_near("src")}, {_MEMBERS}
-            SELECT id AS doc_id, text_id, near_duplicate_groups FROM members""",
+        "near_dup_lists": f"""WITH src AS (SELECT doc_id AS id, coalesce(text, '') AS body FROM documents), {_near("src")}, {_MEMBERS}, {_LISTS}
+            SELECT id AS doc_id, text_id, near_duplicate_groups, near_duplicates FROM members LEFT JOIN lists ON a = text_id""",
         "whole_run": f"""WITH {_FLAGGED}, src AS (SELECT uid AS id, text_clean AS body FROM good), {_near("src")}, {_MEMBERS},
             {_REVIEWS}, final AS (SELECT {_CLEAN_COLUMNS}, uid AS k FROM good)
             SELECT f.* EXCLUDE (k, uid, url_claim) REPLACE (coalesce(url_review, url_claim) AS url_review),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from claimloom import NearDuplicateSettings, near_duplicate_pairs, with_near_duplicates
 from claimloom.functions.minhash import lsh_bands
+from claimloom.operators.near_duplicates import find_near_duplicates
 
 PRIME, MASK = (1 << 61) - 1, (1 << 32) - 1
 
@@ -92,6 +93,41 @@ def test_texts_and_groups_hold_exactly_the_candidates(spark, texts, settings):
             assert int(group.split(":")[1]) == min(members[group])
 
 
+@pytest.mark.parametrize("rows_per_task", [1_000_000, 20, 1])
+def test_lists_hold_every_candidate(spark, texts, rows_per_task):
+    """Each row's list is whole: copies, near copies and the row itself, however large the bucket."""
+    settings = NearDuplicateSettings(rows_per_task=rows_per_task)
+    base = " ".join(f"palavra{i} do texto comum" for i in range(60))
+    more = [base if i < 40 else f"{base} {i}" for i in range(80)]
+    rows = texts + list(enumerate(more, len(texts)))
+    df = spark.createDataFrame(rows, "id long, t string").repartition(3)
+    got = find_near_duplicates(df, "id", "t", settings, lists=True).collect()
+    assert len(got) == len(rows)
+    assert {r.id: r.near_duplicates for r in got} == candidates(rows, settings)
+    assert max(len(r.near_duplicates) for r in got) >= 79
+
+
+def test_lists_with_repeated_and_null_keys(spark):
+    rows = [(1, "um texto"), (1, "um texto"), (1, "outra coisa"), (2, "um texto"), (None, "outra coisa"), (None, "nada"), (3, None)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    got = find_near_duplicates(df, "id", "t", lists=True).collect()
+    key = lambda r: (-1 if r[0] is None else r[0], r[1])
+    assert sorted([(r.id, r.near_duplicates) for r in got], key=key) == [
+        (None, []), (None, [1]), (1, [1]), (1, [1, 2]), (1, [1, 2]), (2, [1, 2]), (3, [3])
+    ]
+
+
+def test_query_of_lists_names_the_candidates(spark):
+    import __spark_entry__ as contract
+
+    folder = "/root/testdata/sf0.001"
+    got = contract.queries()["near_dup_lists"](spark, folder).collect()
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    want = candidates(texts, NearDuplicateSettings())
+    assert {r.doc_id: r.near_duplicates for r in got} == {k: " ".join(map(str, v)) for k, v in want.items()}
+    assert any(len(v) > 1 for v in want.values())
+
+
 def told_pairs(rows):
     """The pairs of texts that star edges (least text, other text, band) stand for."""
     stars = {}
