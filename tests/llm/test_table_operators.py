@@ -397,6 +397,57 @@ def test_matching_of_long_sequences(monkeypatch):
     assert sum(n for *_, n in wrappers.matching(long, long[:2000] + [-1] + long[2500:])) == 4500
 
 
+def common_length(a, b):
+    row = [0] * (len(b) + 1)
+    for x in a:
+        above = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(above[j] + 1 if x == y else max(above[j + 1], row[j]))
+    return row[-1]
+
+
+@pytest.mark.parametrize("held", [1, 50, 1 << 26])
+def test_long_sequences_are_compared_whole(monkeypatch, held):
+    """Also without a key that occurs once, and where such a key has moved."""
+    monkeypatch.setattr(wrappers, "FULL_COMPARISON", 30)
+    monkeypatch.setattr(wrappers, "HELD_BITS", held)
+    rng = random.Random(9)
+    for _ in range(300):
+        kinds = rng.choice([1, 2, 3, 20, 80])
+        a, b = ([f"k{rng.randrange(kinds)}" for _ in range(rng.randint(6, 50))] for _ in range(2))
+        found = wrappers.matching(a, b)
+        assert all(a[i : i + n] == b[j : j + n] and n > 0 for i, j, n in found)
+        assert all(i + n <= k and j + n <= m for (i, j, n), (k, m, _) in zip(found, found[1:]))
+        if len(a) * len(b) > 2500 // 4:  # beyond the limit also without their equal ends
+            assert sum(n for *_, n in found) == common_length(a, b)
+    moved = ["p", "q"] * 40
+    assert sum(n for *_, n in wrappers.matching(["x", *moved], [*moved, "x"])) == 80
+
+
+def test_long_stories_without_unique_tags():
+    """Stories of over 1,200 blocks that share no tag occurring once, repeat nothing, and differ at both ends; a
+    short note differs from page to page too."""
+    rng = random.Random(4)
+    blocks = ["<p>{}</p>", "<h2>{}</h2>", "<pre>{}</pre>", "<blockquote>{}</blockquote>", "<p><b>{}</b></p>", "<p><i>{}</i></p>"]
+
+    def story(k):
+        kinds = [k]
+        while len(kinds) < 1200 or kinds[-1] != k + 3:
+            kinds.append(rng.randrange(len(blocks)))
+            if any(kinds[-w:] == kinds[-2 * w : -w] for w in range(1, 5)):
+                kinds.pop()
+        return [(f"Line {i} of {k}", blocks[kind]) for i, kind in enumerate(kinds)]
+
+    page = "<html><body><div class='info'><p>Issue {}</p></div><article>{}</article></body></html>"
+    stories = [story(k) for k in range(3)]
+    pages = [page.format(k, "".join(block.format(line) for line, block in lines)) for k, lines in enumerate(stories)]
+    region = wrappers.region_of(wrappers.infer_wrapper(pages))
+    assert region[-1] == "article"
+    for html_, lines in zip(pages, stories):
+        assert wrappers.main_text(html_, region) == "\n".join(line for line, _ in lines)
+
+
 def test_long_and_malformed_pages():
     """Tens of thousands of elements, open or not, are read in one go."""
     rows = [f"<div class='row'><p>Line {{0}} of {i}</p></div>" if i % 3 else f"<ul><li>{i}</li></ul>" for i in range(12_000)]
